@@ -19,7 +19,7 @@ def fan_out(rows: DataFrame, sections: list[tuple[str, Column | None, dict[str,
     for label, condition, columns in sections:
         entry = F.struct(F.lit(label).alias("section"), *[c.alias(name) for name, c in columns.items()])
         structs.append(entry if condition is None else F.when(condition, entry))
-    return rows.select(F.inline(F.array_compact(F.array(*structs))))
+    return rows.select(F.inline(F.array(*structs))).where(F.col("section").isNotNull())
 
 
 def by_section(texts: dict[str, list[Column]], position: int) -> Column:

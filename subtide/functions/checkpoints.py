@@ -1,0 +1,24 @@
+"""Cutting lineage where a result is read more than once."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed now and read back from the session's checkpoint folder.
+
+    On a cluster ``spark.checkpoint.dir`` names a folder all executors share. Where
+    it is unset, as in a local session, a temporary folder serves.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None:
+        one_machine = context.master == "local" or context.master.startswith("local[")
+        if folder is None and not one_machine:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+    return df.checkpoint()

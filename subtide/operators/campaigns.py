@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subtide.domain import AUDIENCE_CAP, CAMPAIGN_SEGMENTS, DEFAULT_SEGMENT, LOW_ACTIVITY_DAYS, UPSELL_PLANS
+from subtide.functions.checkpoints import checkpointed
 from subtide.functions.numbers import ratio, round_as_printed, round_half_even
 from subtide.functions.running import running_total
 
@@ -114,7 +115,8 @@ def _join_calendar(rows: DataFrame, calendar: DataFrame, keys: list[str], shape:
 
 def _memberships(subs: DataFrame, shape: CalendarShape, active: bool, churned: bool) -> DataFrame:
     """Half-open date intervals in which a user is active, or has churned, one row per
-    calendar quarter they share with the campaigns."""
+    calendar quarter they share with the campaigns. An interval that never starts has
+    no ``since`` and drops out."""
     intervals = []
     if active:
         intervals.append(
@@ -133,7 +135,7 @@ def _memberships(subs: DataFrame, shape: CalendarShape, active: bool, churned: b
         F.expr("interval 3 months"),
     )
     return (
-        subs.select("user_id", "plan", F.inline(F.array_compact(F.array(*intervals))))
+        subs.select("user_id", "plan", F.inline(F.array(*intervals)))
         .where((since <= last) & (until.isNull() | ((until > first) & (until > since))))
         .withColumn("quarter", F.explode(quarters))
     )
@@ -256,10 +258,14 @@ def send_records(
     max_broadcast_recipients: int = MAX_BROADCAST_RECIPIENTS,
 ) -> DataFrame:
     """One record per campaign and recipient, numbered through the campaigns in send
-    order, with the outcomes that ``sends`` observed for the pair (false if none)."""
+    order, with the outcomes that ``sends`` observed for the pair (false if none).
+
+    The capped audience is read three times and is small beside what it is made from,
+    so it is checkpointed.
+    """
     shape = CalendarShape.of(campaigns, max_broadcast)
     pair = ["campaign_id", "user_id"]
-    recipients = cap_audience(campaign_audience(campaigns, subs, events, shape=shape), cap)
+    recipients = checkpointed(cap_audience(campaign_audience(campaigns, subs, events, shape=shape), cap))
 
     sizes = recipients.groupBy("campaign_id", "send_date").agg(F.count("*").alias("size"))
     offsets = running_total(
@@ -273,7 +279,7 @@ def send_records(
     numbered = recipients.withColumn("position", position).join(offsets, "campaign_id")
 
     flags = ["opened", "clicked", "replied", "unsubscribed"]
-    wanted = recipients.select(*pair).distinct()
+    wanted = recipients.select(*pair)
     observed = sends.select(*pair, *flags)
     any_of = [F.bool_or(flag).alias(flag) for flag in flags]
     if shape.campaigns * cap <= max_broadcast_recipients:

@@ -113,10 +113,13 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = star_table(spark, sf_dir, "orders").withColumn("ordered", F.col("o_orderdate").cast("date"))
+    # Day above, order key below in one long: a minimum that hash aggregation can keep,
+    # where a minimum over a struct would sort all orders. Keys must fit 48 bits.
+    day_and_key = F.shiftleft(F.unix_date("ordered").cast("long"), 48).bitwiseOR(F.col("o_orderkey"))
     first_orders = (
         orders.groupBy("o_custkey")
-        .agg(F.min(F.struct("ordered", "o_orderkey")).alias("first"))
-        .select(F.col("first.o_orderkey").alias("first_key"))
+        .agg(F.min(day_and_key).alias("first"))
+        .select(F.col("first").bitwiseAND(F.lit((1 << 48) - 1)).alias("first_key"))
     )
     customers = (
         star_table(spark, sf_dir, "customer")

@@ -1,0 +1,158 @@
+import datetime as dt
+import random
+
+import pytest
+from tables import D, rows, table
+
+from subtide.operators.churn import (
+    churn_by_plan,
+    churn_by_reason,
+    churn_monthly,
+    churn_report,
+    tenure_by_plan_status,
+)
+from subtide.operators.mrr import mrr_monthly
+
+AS_OF = D("2024-07-15")
+
+EDGE = [
+    {"user_id": "a", "signup_date": "2024-01-10"},
+    {"user_id": "b", "signup_date": "2024-01-31", "status": "churned", "churn_date": "2024-03-01", "churn_reason": "too_expensive"},
+    {"user_id": "c", "signup_date": "2024-02-01", "plan": "pro", "mrr": 399},
+    {"user_id": "d", "signup_date": "2024-03-05", "status": "churned", "churn_date": "2024-03-20", "churn_reason": "acquisition"},
+    {"user_id": "e", "signup_date": "2024-03-10", "status": "churned", "churn_date": "2024-02-10", "churn_reason": "acquisition"},
+    {"user_id": "f", "signup_date": "2024-01-15", "churn_date": "2024-05-05"},
+    {"user_id": "g", "signup_date": None, "mrr": 999, "status": "churned", "churn_date": "2024-03-09", "churn_reason": "poor_support"},
+    {"user_id": "h", "signup_date": "2024-06-02", "status": "churned", "churn_date": "2024-07-03", "churn_reason": None},
+    {"user_id": None, "signup_date": "2024-02-03"},
+    {"user_id": "i", "signup_date": "2024-07-01"},
+]
+
+
+def brute_force_months(people, as_of):
+    """Active at each month start by the definition, one person at a time."""
+    known = [p for p in people if p["signup_date"]]
+    month, result = min(D(p["signup_date"]) for p in known).replace(day=1), []
+    while month < as_of.replace(day=1):
+        active = sum(
+            1
+            for p in known
+            if p["user_id"] and D(p["signup_date"]) < month and (not p.get("churn_date") or D(p["churn_date"]) > month)
+        )
+        gone = [
+            p
+            for p in known
+            if p.get("status") == "churned" and p.get("churn_date") and D(p["churn_date"]).replace(day=1) == month
+        ]
+        lost = sum(p.get("mrr", 49) for p in gone)
+        rate = round(len(gone) * 100 / active + 1e-9, 2) if active else None
+        result.append((month.strftime("%Y-%m"), active, len(gone), lost, rate))
+        month = (month + dt.timedelta(days=32)).replace(day=1)
+    return result
+
+
+def test_churn_monthly_corner_cases(spark):
+    assert rows(churn_monthly(table(spark, "subscriptions", EDGE), AS_OF)) == brute_force_months(EDGE, AS_OF)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_churn_monthly_equals_counting_each_month(spark, seed):
+    rng = random.Random(seed)
+    people = []
+    for i in range(120):
+        signup = dt.date(2022, 1, 1) + dt.timedelta(days=rng.randrange(900))
+        churn = signup + dt.timedelta(days=rng.randrange(-40, 400))
+        if rng.random() < 0.3:
+            churn = churn.replace(day=1)
+        left = rng.random() < 0.6
+        people.append(
+            {
+                "user_id": f"u{i}",
+                "signup_date": signup.isoformat(),
+                "churn_date": churn.isoformat() if left else None,
+                "status": "churned" if left and rng.random() < 0.9 else "active",
+            }
+        )
+    assert rows(churn_monthly(table(spark, "subscriptions", people), AS_OF)) == brute_force_months(people, AS_OF)
+
+
+def test_churn_monthly_without_a_past_signup_is_empty(spark):
+    assert rows(churn_monthly(table(spark, "subscriptions", EDGE[-1:]), AS_OF)) == []
+    assert rows(churn_monthly(table(spark, "subscriptions", []), AS_OF)) == []
+
+
+def test_churn_by_plan_counts_active_tenure_to_as_of(spark):
+    people = [
+        {"user_id": "a", "signup_date": "2024-07-05"},
+        {"user_id": "b", "signup_date": "2024-01-01", "status": "churned", "churn_date": "2024-01-11"},
+        {"user_id": "c", "signup_date": "2024-01-01", "status": "churned", "churn_date": "2024-01-14"},
+        {"user_id": "d", "signup_date": "2024-07-10", "plan": "pro"},
+    ]
+    subs = table(spark, "subscriptions", people)
+    assert rows(churn_by_plan(subs, AS_OF)) == [("starter", 3, 2, 66.7, 12.0), ("pro", 1, 0, 0.0, None)]
+    assert rows(tenure_by_plan_status(subs, AS_OF)) == [
+        ("pro", "active", 1, 5.0, 5, 5),
+        ("starter", "active", 1, 10.0, 10, 10),
+        ("starter", "churned", 2, 12.0, 10, 13),
+    ]
+
+
+def test_churn_by_reason_shares(spark):
+    result = rows(churn_by_reason(table(spark, "subscriptions", EDGE), AS_OF))
+    # g has no signup date, h no reason.
+    assert [(r[0], r[1], r[2], r[3]) for r in result] == [("acquisition", 2, 66.7, 98), ("too_expensive", 1, 33.3, 49)]
+
+
+def text(value):
+    return None if value is None else str(value)
+
+
+def test_churn_report_stacks_the_four_sections(spark):
+    subs = table(spark, "subscriptions", EDGE)
+    stacked = [("1_monthly_churn", r[0], *map(text, r[1:])) for r in rows(churn_monthly(subs, AS_OF))]
+    stacked += sorted(("2_by_plan", r[0], *map(text, r[1:])) for r in rows(churn_by_plan(subs, AS_OF)))
+    stacked += sorted(("3_by_reason", r[0], *map(text, r[1:])) for r in rows(churn_by_reason(subs, AS_OF)))
+    stacked += sorted(
+        ("4_tenure", f"{r[0]} / {r[1]}", *map(text, r[2:])) for r in rows(tenure_by_plan_status(subs, AS_OF))
+    )
+    assert rows(churn_report(subs, AS_OF)) == stacked
+
+
+def test_churn_report_label_skips_missing_parts(spark):
+    subs = table(spark, "subscriptions", [{"user_id": "a", "plan": None, "signup_date": "2024-01-01"}])
+    assert [r[1] for r in rows(churn_report(subs, AS_OF)) if r[0] == "4_tenure"] == [" / active"]
+
+
+def test_mrr_months_and_churn_rules(spark):
+    result = rows(mrr_monthly(table(spark, "subscriptions", EDGE), AS_OF))
+    by_month = {r[0]: r[1:] for r in result}
+    assert list(by_month) == ["2024-01", "2024-02", "2024-03", "2024-05", "2024-06"]
+    assert by_month["2024-01"] == (3, 147, 0, 0, 147, 147, None, None)
+    # e churned before it signed up; its revenue is lost in the earlier month.
+    assert by_month["2024-02"][:5] == (2, 448, 1, 49, 399)
+    # b, d and g (no signup date) are lost; d and e join.
+    assert by_month["2024-03"][:5] == (2, 98, 3, 1097, -999)
+    # f has a churn date but is not churned: its month is listed with nothing lost.
+    assert by_month["2024-05"][:4] == (0, 0, 0, 0)
+
+
+def test_mrr_net_adds_up_to_cumulative(spark):
+    result = rows(mrr_monthly(table(spark, "subscriptions", EDGE), AS_OF))
+    assert sum(r[5] for r in result) == result[-1][6]
+
+
+def test_mrr_growth_is_missing_after_an_empty_balance(spark):
+    people = [
+        {"user_id": "a", "signup_date": "2024-01-02", "status": "churned", "churn_date": "2024-02-02"},
+        {"user_id": "b", "signup_date": "2024-03-02"},
+    ]
+    result = rows(mrr_monthly(table(spark, "subscriptions", people), AS_OF))
+    assert [(r[6], r[7], r[8]) for r in result] == [(49, None, None), (0, -100.0, 100.0), (49, None, None)]
+
+
+def test_as_of_defaults_to_today(spark):
+    today = dt.date.today()
+    signup = (today.replace(day=1) - dt.timedelta(days=1)).replace(day=1)
+    subs = table(spark, "subscriptions", [{"user_id": "a", "signup_date": signup.isoformat()}])
+    assert [r[0] for r in rows(mrr_monthly(subs))] == [signup.strftime("%Y-%m")]
+    assert [r[0] for r in rows(churn_monthly(subs))] == [signup.strftime("%Y-%m")]
