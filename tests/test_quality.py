@@ -1,0 +1,130 @@
+import pytest
+from tables import D, table
+
+from subtide.operators.quality import (
+    assert_quality,
+    quality_campaigns,
+    quality_events,
+    quality_leads,
+    quality_subscriptions,
+)
+
+AS_OF = D("2024-07-15")
+
+
+def counts(df):
+    found = df.collect()
+    assert all(r["passed"] == (r["violations"] == 0) for r in found)
+    return {f"{r['table_name']}.{r['check_name']}": r["violations"] for r in found}
+
+
+def failures(df):
+    return {name.split(".")[1]: n for name, n in counts(df).items() if n}
+
+
+CLEAN = {"user_id": "a", "signup_date": "2024-01-01"}
+GONE = {"user_id": "b", "signup_date": "2024-01-01", "status": "churned", "churn_date": "2024-02-01", "churn_reason": "x"}
+
+
+@pytest.mark.parametrize(
+    "bad, expected",
+    [
+        ([], {}),
+        ([CLEAN, CLEAN], {"duplicate_user_ids": 2}),
+        ([CLEAN | {"user_id": None}, CLEAN | {"user_id": None}], {"duplicate_user_ids": 1}),
+        ([GONE | {"user_id": "c", "churn_date": "2024-01-01"}], {"churn_not_after_signup": 1}),
+        ([GONE | {"user_id": "c", "churn_date": "2024-07-16"}], {"future_churn_dates": 1}),
+        ([GONE | {"user_id": "c", "churn_date": "2024-07-15"}], {}),
+        ([GONE | {"user_id": "c", "churn_reason": None}], {"churned_without_reason": 1}),
+        ([CLEAN | {"user_id": "c", "churn_date": "2024-02-01"}], {"active_with_churn_date": 1}),
+        ([CLEAN | {"user_id": "c", "churn_reason": "x"}], {"active_with_churn_reason": 1}),
+        ([CLEAN | {"user_id": "c", "mrr": 50}, CLEAN | {"user_id": "d", "mrr": None}], {"mrr_not_plan_price": 2}),
+        ([CLEAN | {"user_id": "c", "plan": "custom", "mrr": 7}], {}),
+    ],
+)
+def test_subscription_checks(spark, bad, expected):
+    assert failures(quality_subscriptions(table(spark, "subscriptions", [CLEAN, GONE, *bad]), AS_OF)) == expected
+
+
+def test_event_checks(spark):
+    subs = table(spark, "subscriptions", [CLEAN, GONE])
+    days = {
+        "a": ["2023-12-31", "2024-01-01", "2024-05-01"],
+        "b": ["2024-02-01", "2024-02-02", "2024-02-02", "2023-12-31"],
+        "stranger": ["2024-01-01"],
+        None: ["2024-01-01", "2024-01-01"],
+    }
+    events = [{"user_id": u, "event_date": d} for u, ds in days.items() for d in ds]
+    events = [e | {"event_id": str(i % 9)} for i, e in enumerate(events)]
+    assert counts(quality_events(table(spark, "product_events", events), subs)) == {
+        "product_events.duplicate_event_ids": 1,
+        "product_events.unknown_users": 3,
+        "product_events.events_after_churn": 2,
+        "product_events.events_before_signup": 2,
+    }
+
+
+def test_lead_checks(spark):
+    subs = table(spark, "subscriptions", [CLEAN, GONE, CLEAN | {"user_id": "c"}])
+    won = {"stage": "converted", "created_date": "2024-01-01", "converted_date": "2024-01-02"}
+    leads = [
+        won | {"lead_id": "1", "user_id": "a"},
+        won | {"lead_id": "1", "user_id": "a", "created_date": "2024-01-02"},
+        won | {"lead_id": "2", "user_id": None},
+        won | {"lead_id": "3", "user_id": "stranger"},
+        won | {"lead_id": "4", "user_id": "stranger", "created_date": None},
+        {"lead_id": "5", "stage": "new", "loss_reason": "x"},
+        {"lead_id": "6", "stage": "new", "user_id": "b", "loss_reason": None},
+        {"lead_id": "7", "stage": None, "loss_reason": None},
+    ]
+    assert failures(quality_leads(table(spark, "leads", leads), subs)) == {
+        "duplicate_lead_ids": 1,
+        "converted_without_user": 1,
+        "created_not_before_converted": 1,
+        "open_lead_with_user": 1,
+        "open_lead_without_reason": 2,
+        "unknown_users": 1,
+        "subscribers_without_lead": 1,
+    }
+
+
+def test_campaign_and_send_checks(spark):
+    subs = table(spark, "subscriptions", [CLEAN])
+    campaigns = table(spark, "email_campaigns", [{"campaign_id": c} for c in ("c1", "c2", "c2")])
+    good = {"campaign_id": "c1", "user_id": "a", "send_date": "2024-07-15", "opened": True}
+    sends = [
+        good | {"send_id": "1", "clicked": True},
+        good | {"send_id": "1", "replied": True},
+        good | {"send_id": "2", "campaign_id": "c9"},
+        good | {"send_id": "3", "campaign_id": None},
+        good | {"send_id": "4", "user_id": "stranger"},
+        good | {"send_id": "5", "opened": False, "clicked": True},
+        good | {"send_id": "6", "opened": False, "replied": True},
+        good | {"send_id": "7", "send_date": "2024-07-16"},
+    ]
+    found = counts(quality_campaigns(campaigns, table(spark, "email_sends", sends), subs, AS_OF))
+    assert found == {
+        "email_campaigns.duplicate_campaign_ids": 1,
+        "email_sends.duplicate_send_ids": 1,
+        "email_sends.clicked_without_open": 1,
+        "email_sends.replied_without_open": 1,
+        "email_sends.future_send_dates": 1,
+        "email_sends.unknown_campaigns": 2,
+        "email_sends.unknown_users": 1,
+    }
+
+
+def test_checks_of_empty_tables_pass(spark):
+    empty = {name: table(spark, name, []) for name in ("subscriptions", "product_events", "leads", "email_campaigns", "email_sends")}
+    subs = empty["subscriptions"]
+    assert failures(quality_subscriptions(subs, AS_OF)) == {}
+    assert failures(quality_events(empty["product_events"], subs)) == {}
+    assert failures(quality_leads(empty["leads"], subs)) == {}
+    assert failures(quality_campaigns(empty["email_campaigns"], empty["email_sends"], subs, AS_OF)) == {}
+
+
+def test_assert_quality_names_every_failure(spark):
+    assert_quality(quality_subscriptions(table(spark, "subscriptions", [CLEAN, GONE]), AS_OF))
+    bad = table(spark, "subscriptions", [CLEAN, CLEAN, GONE | {"churn_reason": None}])
+    with pytest.raises(ValueError, match="churned_without_reason: 1 violations; subscriptions.duplicate_user_ids: 1"):
+        assert_quality(quality_subscriptions(bad, AS_OF))
