@@ -5,33 +5,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from subtide.functions.checkpoints import checkpointed
+
 
 def running_total(
     rows: DataFrame,
     value: Column,
     order: list[str],
-    bucket: Column,
     within: tuple[str, ...] = (),
     name: str = "running_total",
 ) -> DataFrame:
-    """``rows`` plus the total of ``value`` up to and including each row.
+    """``rows`` plus the total of ``value`` up to and including each row, in the order
+    of the ``order`` columns; ``within`` columns restart the total.
 
-    ``bucket`` must never decrease along ``order``. Each bucket is summed on its
-    own; only one number per bucket goes through the window over the buckets. The
-    optional ``within`` columns restart the total.
+    Rows are split into ranges of that order, each range is summed on its own, and
+    only one number per range goes through the window over the ranges. The ranges are
+    even however the values cluster. Range bounds are sampled, so the split is
+    checkpointed: both readers then see the same one.
     """
-    keys = [*within, "_bucket"]
-    valued = rows.withColumns({"_bucket": bucket, "_value": value})
-    earlier = Window.partitionBy(*within).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = checkpointed(
+        rows.withColumn("_value", value)
+        .repartitionByRange(*within, *order)
+        .withColumn("_range", F.spark_partition_id())
+    )
+    keys = [*within, "_range"]
+    earlier = Window.partitionBy(*within).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        valued.groupBy(*keys)
-        .agg(F.sum("_value").alias("_bucket_total"))
-        .select(*keys, F.coalesce(F.sum("_bucket_total").over(earlier), F.lit(0)).alias("_offset"))
+        ranges.groupBy(*keys)
+        .agg(F.sum("_value").alias("_total"))
+        .select(
+            *[F.col(key).alias(f"_of_{key}") for key in keys],
+            F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"),
+        )
     )
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A missing value in the ``within`` columns is a group of its own.
+    same = [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys]
     return (
-        valued.withColumn("_inside", F.sum("_value").over(inside))
-        .join(offsets, keys)
-        .withColumn(name, F.col("_offset") + F.col("_inside"))
-        .drop("_bucket", "_value", "_inside", "_offset")
+        ranges.withColumn("_inside", F.sum("_value").over(inside))
+        .join(offsets, same)
+        .select(*rows.columns, (F.col("_offset") + F.col("_inside")).alias(name))
     )

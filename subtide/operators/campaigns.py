@@ -44,7 +44,6 @@ def campaign_labels(campaigns: DataFrame) -> DataFrame:
         campaigns.select("campaign_id", "campaign_type", "send_date"),
         F.lit(1).cast("long"),
         order=["send_date", "campaign_id"],
-        bucket=F.trunc("send_date", "month"),
         within=("campaign_type",),
         name="ordinal",
     )
@@ -115,19 +114,19 @@ def _join_calendar(rows: DataFrame, calendar: DataFrame, keys: list[str], shape:
 
 def _memberships(subs: DataFrame, shape: CalendarShape, active: bool, churned: bool) -> DataFrame:
     """Half-open date intervals in which a user is active, or has churned, one row per
-    calendar quarter they share with the campaigns. An interval that never starts has
-    no ``since`` and drops out."""
-    intervals = []
+    calendar quarter they share with the campaigns. The scan already leaves out users
+    whom no campaign can reach."""
+    first, last = F.lit(shape.first), F.lit(shape.last)
+    signup, churn, no_date = F.col("signup_date"), F.col("churn_date"), F.lit(None).cast("date")
+    intervals, in_reach = [], F.lit(False)
     if active:
-        intervals.append(
-            F.struct(F.lit(_ACTIVE).alias("kind"), F.col("signup_date").alias("since"), F.col("churn_date").alias("until"))
-        )
+        intervals.append(F.struct(F.lit(_ACTIVE).alias("kind"), signup.alias("since"), churn.alias("until")))
+        in_reach = in_reach | ((signup <= last) & (churn.isNull() | (churn > first)))
     if churned:
-        gone = F.struct(
-            F.lit(_CHURNED).alias("kind"), F.col("churn_date").alias("since"), F.lit(None).cast("date").alias("until")
-        )
-        intervals.append(F.when((F.col("status") == "churned") & F.col("churn_date").isNotNull(), gone))
-    first, last = F.lit(shape.first), F.lit(shape.last)
+        gone = (F.col("status") == "churned") & (churn <= last)
+        entry = F.struct(F.lit(_CHURNED).alias("kind"), churn.alias("since"), no_date.alias("until"))
+        intervals.append(F.when(gone, entry))
+        in_reach = in_reach | gone
     since, until = F.col("since"), F.col("until")
     quarters = F.sequence(
         F.trunc(F.greatest(since, first), "quarter"),
@@ -135,7 +134,8 @@ def _memberships(subs: DataFrame, shape: CalendarShape, active: bool, churned: b
         F.expr("interval 3 months"),
     )
     return (
-        subs.select("user_id", "plan", F.inline(F.array(*intervals)))
+        subs.where(in_reach)
+        .select("user_id", "plan", F.inline(F.array(*intervals)))
         .where((since <= last) & (until.isNull() | ((until > first) & (until > since))))
         .withColumn("quarter", F.explode(quarters))
     )
@@ -272,7 +272,6 @@ def send_records(
         sizes,
         F.col("size"),
         order=["send_date", "campaign_id"],
-        bucket=F.trunc("send_date", "month"),
         name="last_number",
     ).select("campaign_id", (F.col("last_number") - F.col("size")).alias("before"))
     position = F.row_number().over(Window.partitionBy("campaign_id").orderBy("user_id"))

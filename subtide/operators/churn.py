@@ -99,12 +99,12 @@ def _month_sections() -> list[tuple[str, Column | None, dict[str, Column]]]:
     ]
 
 
-def _fill_months(cells: DataFrame, as_of: dt.date) -> DataFrame:
+def _fill_months(cells: DataFrame, as_of: dt.date, *section_key: str) -> DataFrame:
     """Running active count per month, and a row for each month without a cell. Rows
     of other sections have no month and pass through. The windows see one row per
     month of the calendar."""
     current_month = month_start(F.lit(as_of))
-    section = Window.partitionBy("section")
+    section = Window.partitionBy(*section_key)
     by_month = section.orderBy("month")
     to_date = by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     no_month = F.col("month").isNull()
@@ -181,7 +181,7 @@ def churn_monthly(subs: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     the first signup month to the last complete month."""
     day = as_of_or_today(as_of)
     rows = subs.where(F.col("signup_date").isNotNull())
-    cells = fan_out(rows, _month_sections()).groupBy("section", "month").agg(*_sums())
+    cells = fan_out(rows, _month_sections()).groupBy("month").agg(*_sums())
     return (
         _fill_months(cells, day).orderBy("month").select(month_label("month").alias("month"), *_monthly_columns())
     )
@@ -262,7 +262,7 @@ def churn_report(subs: DataFrame, as_of: dt.date | None = None) -> DataFrame:
         .otherwise(F.col("first"))
     )
     return (
-        _fill_months(stacked, day)
+        _fill_months(stacked, day, "section")
         .select("section", dim.alias("dim"), *[by_section(texts, i) for i in range(4)])
         .select(*REPORT_COLUMNS)
         .orderBy("section", F.asc_nulls_last("dim"))

@@ -12,16 +12,16 @@ def weekly_active_users(events: DataFrame) -> DataFrame:
     """Distinct users and sessions per Monday-based week, the change to the previous
     reported week, and the mean over up to four reported weeks.
 
-    The exact distinct counts shuffle one row per user and week and one per session
-    and week, spread over both columns, so a busy week is never one task's work.
+    Events are first counted per week, user and session, so that the exact distinct
+    counts expand one row per session instead of one per event. No key of any of the
+    shuffles is a week alone until each task holds one row per week.
     """
-    weekly = (
-        events.groupBy(F.trunc("event_date", "week").alias("week_start"))
-        .agg(
-            F.countDistinct("user_id").alias("wau"),
-            F.countDistinct("session_id").alias("total_sessions"),
-            F.count("*").alias("events"),
-        )
+    week = F.trunc("event_date", "week").alias("week_start")
+    sessions = events.groupBy(week, "user_id", "session_id").agg(F.count("*").alias("n"))
+    weekly = sessions.groupBy("week_start").agg(
+        F.countDistinct("user_id").alias("wau"),
+        F.countDistinct("session_id").alias("total_sessions"),
+        F.sum("n").alias("events"),
     )
     by_week = Window.orderBy(F.asc_nulls_last("week_start"))
     change = F.col("wau") - F.col("previous")

@@ -1,0 +1,26 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from subtide.functions.running import running_total
+
+
+@pytest.mark.parametrize("within", [(), ("kind",)])
+def test_running_total_over_clustered_values(spark, within):
+    rng = random.Random(3)
+    # Two thirds of the rows share one day and one kind; some have no kind.
+    rows = [
+        (i, 5 if i % 3 else rng.randrange(10), "hot" if i % 3 else rng.choice(["a", "b", None]), rng.randrange(4))
+        for i in range(600)
+    ]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "id bigint, day int, kind string, amount bigint").repartition(5)
+    result = running_total(df, F.col("amount"), ["day", "id"], within, "so_far")
+    assert result.columns == ["id", "day", "kind", "amount", "so_far"]
+    expected, totals = {}, {}
+    for i, _, kind, amount in sorted(rows, key=lambda r: (r[1], r[0])):
+        group = kind if within else ""
+        totals[group] = totals.get(group, 0) + amount
+        expected[i] = totals[group]
+    assert {r["id"]: r["so_far"] for r in result.collect()} == expected
