@@ -34,3 +34,13 @@ def decimal_text(value: Column, places: int) -> Column:
     if places <= 1:
         return value.cast("decimal(38,1)").cast("string")
     return F.regexp_replace(value.cast("decimal(38,2)").cast("string"), "0$", "")
+
+
+def money_text(value: Column) -> Column:
+    """Whole dollars with thousands separators, for display."""
+    return F.concat(F.lit("$"), F.format_number(value, 0))
+
+
+def percent_text(value: Column, places: int = 1) -> Column:
+    """A percentage with a fixed number of digits, for display."""
+    return F.concat(F.format_number(value, places), F.lit("%"))

@@ -18,7 +18,8 @@ from subtide.functions.running import running_total
 # a salted shuffle. The same number bounds the capped audience that may be broadcast.
 MAX_BROADCAST_CAMPAIGNS = 2_000
 MAX_BROADCAST_RECIPIENTS = 200_000
-_SALTS = 32
+_JOIN_SALTS = 256
+_CAP_SALTS = 32
 
 _ACTIVE, _CHURNED = "active", "churned"
 
@@ -98,8 +99,8 @@ class CalendarShape:
         return cls(**row.asDict(), broadcastable=row["campaigns"] <= max_broadcast)
 
 
-def _salt() -> Column:
-    return F.pmod(F.xxhash64("user_id"), F.lit(_SALTS))
+def _salt(salts: int) -> Column:
+    return F.pmod(F.xxhash64("user_id"), F.lit(salts))
 
 
 def _join_calendar(rows: DataFrame, calendar: DataFrame, keys: list[str], shape: CalendarShape) -> DataFrame:
@@ -107,9 +108,9 @@ def _join_calendar(rows: DataFrame, calendar: DataFrame, keys: list[str], shape:
     else a shuffle whose keys are split by a salt of the user."""
     if shape.broadcastable:
         return rows.join(F.broadcast(calendar), keys)
-    salts = F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(_JOIN_SALTS - 1).cast("long"))
     salted = calendar.withColumn("_salt", F.explode(salts))
-    return rows.withColumn("_salt", _salt()).join(salted.hint("merge"), [*keys, "_salt"]).drop("_salt")
+    return rows.withColumn("_salt", _salt(_JOIN_SALTS)).join(salted.hint("merge"), [*keys, "_salt"]).drop("_salt")
 
 
 def _memberships(subs: DataFrame, shape: CalendarShape, active: bool, churned: bool) -> DataFrame:
@@ -229,7 +230,7 @@ def cap_audience(audience: DataFrame, cap: int = AUDIENCE_CAP) -> DataFrame:
     sliced = Window.partitionBy("campaign_id", "_salt").orderBy(*order)
     whole = Window.partitionBy("campaign_id").orderBy(*order)
     return (
-        audience.withColumns({"_digest": F.md5(F.concat_ws(":", "campaign_id", "user_id")), "_salt": _salt()})
+        audience.withColumns({"_digest": F.md5(F.concat_ws(":", "campaign_id", "user_id")), "_salt": _salt(_CAP_SALTS)})
         .withColumn("_rank", F.row_number().over(sliced))
         .where(F.col("_rank") <= cap)
         .withColumn("_rank", F.row_number().over(whole))

@@ -16,12 +16,16 @@ _CSV_OPTIONS = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
-    """CSV with a header and quoted fields; a value that does not fit the schema is an error.
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType, multi_line: bool = False, bad_values: str = "fail"
+) -> DataFrame:
+    """CSV with a header and quoted fields.
 
+    A value that does not fit the schema is an error, or missing with ``bad_values="null"``.
     Line breaks inside quotes need ``multi_line``, which stops Spark from splitting files.
     """
-    options = _CSV_OPTIONS | {"multiLine": str(multi_line).lower(), "enforceSchema": "false", "mode": "FAILFAST"}
+    mode = {"fail": "FAILFAST", "null": "PERMISSIVE"}[bad_values]
+    options = _CSV_OPTIONS | {"multiLine": str(multi_line).lower(), "enforceSchema": "false", "mode": mode}
     return spark.read.options(**options).schema(schema).csv(path)
 
 
@@ -48,10 +52,21 @@ def load_tables(
     return tables
 
 
-def write_table(df: DataFrame, base_path: str, name: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
-    """Write ``df`` as a folder of part files that ``read_table`` finds; returns its path."""
+def write_table(
+    df: DataFrame,
+    base_path: str,
+    name: str,
+    fmt: str = "parquet",
+    mode: str = "overwrite",
+    sort_by: list[str] | None = None,
+) -> str:
+    """Write ``df`` as a folder of part files that ``read_table`` finds; returns its path.
+
+    ``sort_by`` orders the rows within and across the part files, which lets later
+    filters on those columns skip files and row groups.
+    """
     path = f"{base_path.rstrip('/')}/{name}.{fmt}"
-    writer = df.write.mode(mode)
+    writer = (df.orderBy(*sort_by) if sort_by else df).write.mode(mode)
     if fmt == "csv":
         writer.options(**_CSV_OPTIONS).csv(path)
     elif fmt == "parquet":

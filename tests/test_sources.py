@@ -5,7 +5,7 @@ from tables import D, rows, table
 
 from subtide.operators.mrr import mrr_monthly
 from subtide.sources.schemas import SCHEMAS
-from subtide.sources.tables import load_tables, read_table, write_table
+from subtide.sources.tables import load_tables, read_csv, read_table, write_table
 
 CAMPAIGNS = [
     {"campaign_id": "cmp_001", "campaign_name": "News — May", "send_date": "2024-05-01", "subject_line": "features, tips & more"},
@@ -58,3 +58,26 @@ def test_unknown_format(spark, tmp_path):
         read_table(spark, str(tmp_path), "leads", "xml")
     with pytest.raises(ValueError, match="unknown format"):
         write_table(table(spark, "leads", []), str(tmp_path), "leads", "xml")
+
+
+def test_csv_value_that_does_not_fit_can_be_missing(spark, tmp_path):
+    path = tmp_path / "email_campaigns.csv"
+    path.write_text(f"{','.join(SCHEMAS['email_campaigns'].names)}\nc,n,t,s,not a date,l\n", encoding="utf-8")
+    campaigns = read_csv(spark, str(path), SCHEMAS["email_campaigns"], bad_values="null")
+    assert rows(campaigns) == [("c", "n", "t", "s", None, "l")]
+
+
+def test_csv_line_break_inside_quotes(spark, tmp_path):
+    path = tmp_path / "email_campaigns.csv"
+    path.write_text(f"{','.join(SCHEMAS['email_campaigns'].names)}\nc,\"two\nlines\",t,s,2024-01-01,l\n", encoding="utf-8")
+    campaigns = read_csv(spark, str(path), SCHEMAS["email_campaigns"], multi_line=True)
+    assert [r["campaign_name"] for r in campaigns.collect()] == ["two\nlines"]
+
+
+def test_sorted_table(spark, tmp_path):
+    log = [{"event_id": str(i), "user_id": f"u{i * 7 % 10}", "event_date": f"2024-01-{i + 1:02d}"} for i in range(20)]
+    events = table(spark, "product_events", log).repartition(4)
+    path = write_table(events, str(tmp_path), "product_events", "csv", sort_by=["user_id", "event_date"])
+    parts = sorted(p for p in (tmp_path / "product_events.csv").glob("part-*"))
+    found = [(line["user_id"], line["event_date"]) for part in parts for line in csv.DictReader(part.open())]
+    assert path.endswith("product_events.csv") and found == sorted(found) and len(found) == 20
