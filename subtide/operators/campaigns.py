@@ -113,7 +113,9 @@ def _join_calendar(rows: DataFrame, calendar: DataFrame, keys: list[str], shape:
     return rows.withColumn("_salt", _salt(_JOIN_SALTS)).join(salted.hint("merge"), [*keys, "_salt"]).drop("_salt")
 
 
-def _memberships(subs: DataFrame, shape: CalendarShape, active: bool, churned: bool) -> DataFrame:
+def _memberships(
+    subs: DataFrame, shape: CalendarShape, active: bool, churned: bool, carried: tuple[str, ...]
+) -> DataFrame:
     """Half-open date intervals in which a user is active, or has churned, one row per
     calendar quarter they share with the campaigns. The scan already leaves out users
     whom no campaign can reach."""
@@ -136,13 +138,20 @@ def _memberships(subs: DataFrame, shape: CalendarShape, active: bool, churned: b
     )
     return (
         subs.where(in_reach)
-        .select("user_id", "plan", F.inline(F.array(*intervals)))
+        .select("user_id", "plan", *carried, F.inline(F.array(*intervals)))
         .where((since <= last) & (until.isNull() | ((until > first) & (until > since))))
         .withColumn("quarter", F.explode(quarters))
     )
 
 
-def _members(calendar: DataFrame, subs: DataFrame, shape: CalendarShape, active: bool, churned: bool) -> DataFrame:
+def _members(
+    calendar: DataFrame,
+    subs: DataFrame,
+    shape: CalendarShape,
+    active: bool,
+    churned: bool,
+    carried: tuple[str, ...] = (),
+) -> DataFrame:
     """Each campaign of ``calendar`` with the users its segment's dates and plans allow;
     ``active`` and ``churned`` say which kinds of segment the calendar holds."""
     keyed = calendar.withColumns(
@@ -155,20 +164,29 @@ def _members(calendar: DataFrame, subs: DataFrame, shape: CalendarShape, active:
     in_interval = (F.col("since") <= sent) & (F.col("until").isNull() | (F.col("until") > sent))
     plan_fits = (F.col("segment") != "starter_growth") | F.col("plan").isin(UPSELL_PLANS)
     return (
-        _join_calendar(_memberships(subs, shape, active, churned), keyed, ["kind", "quarter"], shape)
+        _join_calendar(_memberships(subs, shape, active, churned, carried), keyed, ["kind", "quarter"], shape)
         .where(in_interval & plan_fits)
-        .select("campaign_id", "send_date", "user_id")
+        .select("campaign_id", "send_date", "user_id", *carried)
     )
 
 
-def _recently_active(calendar: DataFrame, events: DataFrame, shape: CalendarShape) -> DataFrame:
-    """Campaign and user pairs with an event in the 30 days that end on the send date."""
+def _recent_sends(calendar: DataFrame, events: DataFrame, shape: CalendarShape) -> DataFrame:
+    """Per user, the send dates that have an event of theirs in the 30 days ending there.
+
+    Whether a user was recently active depends on the date alone, so both the
+    broadcast side and the set of one user are bounded by the days of the calendar,
+    however many campaigns, users or events there are.
+    """
     span = LOW_ACTIVITY_DAYS - 1
     days = F.sequence(F.date_sub("send_date", span), F.col("send_date"))
-    windows = calendar.select("campaign_id", F.explode(days).alias("event_date"))
+    windows = calendar.select("send_date").distinct().select("send_date", F.explode(days).alias("event_date"))
     oldest = F.date_sub(F.lit(shape.first), span)
     in_reach = events.where(F.col("event_date").between(oldest, F.lit(shape.last))).select("user_id", "event_date")
-    return _join_calendar(in_reach, windows, ["event_date"], shape).select("campaign_id", "user_id").distinct()
+    return (
+        in_reach.join(F.broadcast(windows), "event_date")
+        .groupBy("user_id")
+        .agg(F.collect_set("send_date").alias("recent"))
+    )
 
 
 def campaign_audience(
@@ -182,8 +200,8 @@ def campaign_audience(
     nobody qualifies for has no row.
 
     Users and campaigns meet on the calendar quarters a user's interval covers, not by
-    comparing every user with every campaign. Only low_activity campaigns pay for the
-    events and the anti-join.
+    comparing every user with every campaign. Only low_activity campaigns read the
+    events; what they need of them joins users, not the much longer audience.
     """
     shape = shape or CalendarShape.of(campaigns, max_broadcast)
     segment = F.coalesce("segment", F.lit(DEFAULT_SEGMENT))
@@ -198,9 +216,10 @@ def campaign_audience(
             _members(calendar.where(~quiet), subs, shape, active=others > shape.churned, churned=shape.churned > 0)
         )
     if shape.low_activity:
-        active = _members(calendar.where(quiet), subs, shape, active=True, churned=False)
-        recent = _recently_active(calendar.where(quiet), events, shape)
-        parts.append(active.join(recent, ["campaign_id", "user_id"], "left_anti"))
+        recent = _recent_sends(calendar.where(quiet), events, shape)
+        users = subs.join(recent, "user_id", "left")
+        active = _members(calendar.where(quiet), users, shape, active=True, churned=False, carried=("recent",))
+        parts.append(active.where(~F.coalesce(F.array_contains("recent", F.col("send_date")), F.lit(False))))
     columns = ["campaign_id", "send_date", "user_id"]
     if not parts:
         return calendar.select("campaign_id", "send_date", F.lit("").alias("user_id")).where(F.lit(False))
