@@ -116,17 +116,23 @@ _LEADS = f"""
   )
 """
 
-_EMAIL_CAMPAIGNS = f"""
+
+def _campaigns(table: str, key: str, digits: int, title: str, day: str) -> str:
+    return f"""
   SELECT campaign_id, campaign_name, campaign_type,
          {_case("campaign_type", CAMPAIGN_SEGMENTS, "'all_active'")} AS segment, send_date, subject_line
   FROM (
-    SELECT 'cmp_' || lpad(CAST(n_nationkey + 1 AS VARCHAR), 3, '0') AS campaign_id, n_name AS campaign_name,
-           ['newsletter', 'promo', 'upsell', 're_engagement', 'winback'][n_nationkey % 5 + 1] AS campaign_type,
-           CAST(DATE '1995-06-30' + 90 * n_nationkey AS DATE) AS send_date, n_name AS subject_line
-    FROM nation
+    SELECT 'cmp_' || lpad(CAST({key} + 1 AS VARCHAR), {digits}, '0') AS campaign_id, {title} AS campaign_name,
+           ['newsletter', 'promo', 'upsell', 're_engagement', 'winback'][{key} % 5 + 1] AS campaign_type,
+           CAST({day} AS DATE) AS send_date, {title} AS subject_line
+    FROM {table}
   )
 """
 
+
+_EMAIL_CAMPAIGNS = _campaigns("nation", "n_nationkey", 3, "n_name", "DATE '1995-06-30' + 90 * n_nationkey")
+_ORDER_CAMPAIGNS = _campaigns("orders", "o_orderkey", 10, "o_orderpriority", "o_orderdate")
+
 _EMAIL_SENDS = """
   SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS send_id,
          'cmp_' || lpad(CAST(l_orderkey % 25 + 1 AS VARCHAR), 3, '0') AS campaign_id,
@@ -202,6 +208,7 @@ _TABLES = {
     "order_events": _ORDER_EVENTS,
     "leads": _LEADS,
     "email_campaigns": _EMAIL_CAMPAIGNS,
+    "order_campaigns": _ORDER_CAMPAIGNS,
     "email_sends": _EMAIL_SENDS,
     "subscriptions_dirty": _SUBSCRIPTIONS_DIRTY,
     "product_events_dirty": _PRODUCT_EVENTS_DIRTY,
@@ -441,7 +448,7 @@ QUALIFY row_number() OVER (PARTITION BY campaign_id ORDER BY md5(campaign_id ||
 """
 
 _LABELS = _over(
-    "email_campaigns",
+    "order_campaigns",
     """
 SELECT campaign_id, campaign_type, send_date, ordinal,
        CASE campaign_type
@@ -453,7 +460,7 @@ SELECT campaign_id, campaign_type, send_date, ordinal,
 FROM (
   SELECT *, strftime(send_date, '%b %Y') AS month,
          row_number() OVER (PARTITION BY campaign_type ORDER BY send_date, campaign_id) AS ordinal
-  FROM email_campaigns
+  FROM order_campaigns
 )
 """,
 )
@@ -686,12 +693,12 @@ FROM leads GROUP BY source
     "lead_loss_breakdown": _frequency("leads", "loss_reason", "leads"),
     "company_size_mix": _frequency("leads", "company_size", "leads"),
     "campaign_calendar_overview": _over(
-        "email_campaigns",
+        "order_campaigns",
         """
-SELECT COUNT(*) AS campaigns, MIN(send_date) AS first_send, MAX(send_date) AS last_send FROM email_campaigns
+SELECT COUNT(*) AS campaigns, MIN(send_date) AS first_send, MAX(send_date) AS last_send FROM order_campaigns
 """,
     ),
-    "campaign_type_mix": _frequency("email_campaigns", "campaign_type", "campaigns"),
+    "campaign_type_mix": _frequency("order_campaigns", "campaign_type", "campaigns"),
     "send_overview": _over(
         "email_sends",
         f"""
@@ -747,7 +754,7 @@ ORACLES: dict[str, str] = {
     "segment_default": _segment("all_active"),
     "campaign_audience": _over(_AUDIENCE_TABLES, _AUDIENCE),
     "campaign_audience_capped": _over(_AUDIENCE_TABLES, _CAPPED),
-    "campaign_segments": _over("email_campaigns", "SELECT campaign_id, campaign_type, segment FROM email_campaigns"),
+    "campaign_segments": _over("order_campaigns", "SELECT campaign_id, campaign_type, segment FROM order_campaigns"),
     "campaign_labels": _LABELS,
     "send_records": _SEND_RECORDS,
     "campaign_performance": _PERFORMANCE,

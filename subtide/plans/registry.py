@@ -19,6 +19,7 @@ TABLES: dict[str, Query] = {
     "order_events": star_tables.order_events,
     "leads": star_tables.leads,
     "email_campaigns": star_tables.email_campaigns,
+    "order_campaigns": star_tables.order_campaigns,
     "email_sends": star_tables.email_sends,
     "subscriptions_dirty": dirty_tables.subscriptions,
     "product_events_dirty": dirty_tables.product_events,
@@ -73,8 +74,8 @@ QUERIES: dict[str, Query] = {
     "segment_default": _segment("no_such_segment"),
     "campaign_audience": _on(campaigns.campaign_audience, *_AUDIENCE),
     "campaign_audience_capped": _on(campaigns.campaign_audience_capped, *_AUDIENCE),
-    "campaign_segments": _on(campaigns.campaign_segments, "email_campaigns"),
-    "campaign_labels": _on(campaigns.campaign_labels, "email_campaigns"),
+    "campaign_segments": _on(campaigns.campaign_segments, "order_campaigns"),
+    "campaign_labels": _on(campaigns.campaign_labels, "order_campaigns"),
     "send_records": _on(campaigns.send_records, *_AUDIENCE, "email_sends"),
     # Data quality
     "quality_subscriptions": _on(quality.quality_subscriptions, "subscriptions", as_of=AS_OF),
@@ -104,8 +105,8 @@ QUERIES: dict[str, Query] = {
     "lead_conversion_by_source": _on(profile.lead_conversion_by_source, "leads"),
     "lead_loss_breakdown": _on(profile.lead_loss_breakdown, "leads"),
     "company_size_mix": _on(profile.company_size_mix, "leads"),
-    "campaign_calendar_overview": _on(campaigns.campaign_calendar_overview, "email_campaigns"),
-    "campaign_type_mix": _on(profile.frequency, "email_campaigns", column="campaign_type", count="campaigns"),
+    "campaign_calendar_overview": _on(campaigns.campaign_calendar_overview, "order_campaigns"),
+    "campaign_type_mix": _on(profile.frequency, "order_campaigns", column="campaign_type", count="campaigns"),
     "campaign_performance": _on(campaigns.campaign_performance, "email_sends", "email_campaigns"),
     "send_overview": _on(campaigns.send_overview, "email_sends"),
     "table_profile": _on(_table_profiles, "subscriptions", "product_events"),

@@ -187,26 +187,38 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CAMPAIGN_TYPES = ["newsletter", "promo", "upsell", "re_engagement", "winback"]
 
 
-def _campaign_id(number: Column) -> Column:
-    return F.concat(F.lit("cmp_"), F.lpad(number.cast("string"), 3, "0"))
+def _campaign_id(number: Column, digits: int) -> Column:
+    return F.concat(F.lit("cmp_"), F.lpad(number.cast("string"), digits, "0"))
 
 
 def _campaign_day(number: Column) -> Column:
     return F.date_add(F.lit(dt.date(1995, 6, 30)), (number * 90).cast("int"))
 
 
-def email_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number = F.col("n_nationkey")
-    return star_table(spark, sf_dir, "nation").select(
-        _campaign_id(number + 1).alias("campaign_id"),
-        F.col("n_name").alias("campaign_name"),
-        _pick(_CAMPAIGN_TYPES, number % 5).alias("campaign_type"),
-        segment_of_type(_pick(_CAMPAIGN_TYPES, number % 5)).alias("segment"),
-        _campaign_day(number).alias("send_date"),
-        F.col("n_name").alias("subject_line"),
+def _campaigns(source: DataFrame, key: str, digits: int, title: str, day: Column) -> DataFrame:
+    kind = _pick(_CAMPAIGN_TYPES, F.col(key) % 5)
+    return source.select(
+        _campaign_id(F.col(key) + 1, digits).alias("campaign_id"),
+        F.col(title).alias("campaign_name"),
+        kind.alias("campaign_type"),
+        segment_of_type(kind).alias("segment"),
+        day.alias("send_date"),
+        F.col(title).alias("subject_line"),
     )
 
 
+def email_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A calendar of one campaign per nation, 90 days apart."""
+    nations = star_table(spark, sf_dir, "nation")
+    return _campaigns(nations, "n_nationkey", 3, "n_name", _campaign_day(F.col("n_nationkey")))
+
+
+def order_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A calendar that grows with the data: one campaign per order, on its day."""
+    orders = star_table(spark, sf_dir, "orders")
+    return _campaigns(orders, "o_orderkey", 10, "o_orderpriority", F.col("o_orderdate").cast("date"))
+
+
 def email_sends(spark: SparkSession, sf_dir: str) -> DataFrame:
     buyers = (
         star_table(spark, sf_dir, "orders").groupBy("o_orderkey").agg(F.min("o_custkey").alias("o_custkey"))
@@ -216,7 +228,7 @@ def email_sends(spark: SparkSession, sf_dir: str) -> DataFrame:
     opened = F.col("l_returnflag") != "N"
     return lines.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("send_id"),
-        _campaign_id(number + 1).alias("campaign_id"),
+        _campaign_id(number + 1, 3).alias("campaign_id"),
         user_id_of("o_custkey").alias("user_id"),
         _campaign_day(number).alias("send_date"),
         opened.alias("opened"),
