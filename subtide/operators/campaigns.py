@@ -65,7 +65,7 @@ def campaign_labels(campaigns: DataFrame) -> DataFrame:
         .when(kind == "upsell", series(F.lit("Upgrade Offer")))
         .when(kind == "re_engagement", series(F.lit("Re-engagement")))
         .when(kind == "winback", series(F.lit("Winback Campaign")))
-        .otherwise(series(F.initcap(kind)))
+        .otherwise(series(F.array_join(F.transform(F.split(kind, "_"), F.initcap), "_")))
     )
     return numbered.select("campaign_id", "campaign_type", "send_date", "ordinal", name.alias("campaign_name"))
 

@@ -192,17 +192,19 @@ def funnel_report(leads: DataFrame, subs: DataFrame) -> DataFrame:
     }
     overview = F.col("section") == OVERVIEW
     ordinal = F.concat(F.lpad(F.col("ord").cast("string"), 2, "0"), F.lit("_"), "stage")
+    lost_at = F.concat_ws("", "stage", F.lit(" → "), "loss_reason")
     stage_rows = stages.select(
         "section",
         F.when(overview, ordinal).otherwise(F.concat_ws("", "stage", "loss_reason")).alias("sort_key"),
-        F.when(overview, F.col("stage")).otherwise(F.concat_ws("", "stage", F.lit(" → "), "loss_reason")).alias("dim"),
+        F.when(overview, F.col("stage")).otherwise(lost_at).alias("dim"),
         *[by_section(stage_texts, i) for i in range(4)],
     )
 
-    sums = {c: F.col(c) for c in ("leads", "won", "won_mrr", "won_dated", "won_days", "fastest", "slowest", "dated_mrr")}
+    source_cells = _source_cells(leads, subs)
+    sums = {c: F.col(c) for c in source_cells.columns if c not in ("source", "plan")}
     sources = (
         fan_out(
-            _source_cells(leads, subs),
+            source_cells,
             [
                 (BY_SOURCE, None, {"source": F.col("source"), "plan": none, **sums}),
                 (TIME, F.col("won_dated") > 0, {"source": F.col("source"), "plan": F.col("plan"), **sums}),

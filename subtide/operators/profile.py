@@ -106,7 +106,11 @@ def account_age_days(subs: DataFrame, as_of: dt.date | None = None) -> DataFrame
 def _events_per_user(events: DataFrame) -> DataFrame:
     """Event counts per user; a user with very many events is one row per task before
     the shuffle, and one row when it joins."""
-    return events.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(F.count("event_id").alias("events"), F.count("*").alias("n"))
+    return (
+        events.where(F.col("user_id").isNotNull())
+        .groupBy("user_id")
+        .agg(F.count("event_id").alias("events"), F.count("*").alias("n"))
+    )
 
 
 def events_by_plan(events: DataFrame, subs: DataFrame) -> DataFrame:

@@ -240,7 +240,7 @@ def test_labels_number_campaigns_within_their_type(spark):
             {"campaign_id": "2", "campaign_type": "upsell", "send_date": "2025-01-01"},
             {"campaign_id": "1", "campaign_type": "promo", "send_date": "2024-12-31"},
             {"campaign_id": "6", "campaign_type": "newsletter", "send_date": "2024-02-29"},
-            {"campaign_id": "7", "campaign_type": "onboarding", "send_date": "2024-02-29"},
+            {"campaign_id": "7", "campaign_type": "trial_end", "send_date": "2024-02-29"},
         ],
     )
     labels = {r["campaign_id"]: r["campaign_name"] for r in campaign_labels(campaigns).collect()}
@@ -251,14 +251,14 @@ def test_labels_number_campaigns_within_their_type(spark):
         "2": "Upgrade Offer #4 — Jan 2025",
         "1": "Q4 Promotion — 2024",
         "6": "Monthly Newsletter — Feb 2024",
-        "7": "Onboarding #1 — Feb 2024",
+        "7": "Trial_End #1 — Feb 2024",
     }
     segments = {r["campaign_type"]: r["segment"] for r in campaign_segments(campaigns).collect()}
     assert segments == {
         "upsell": "starter_growth",
         "promo": "all_active",
         "newsletter": "all_active",
-        "onboarding": "all_active",
+        "trial_end": "all_active",
     }
 
 
