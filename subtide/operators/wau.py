@@ -12,17 +12,25 @@ def weekly_active_users(events: DataFrame) -> DataFrame:
     """Distinct users and sessions per Monday-based week, the change to the previous
     reported week, and the mean over up to four reported weeks.
 
-    Events are first counted per week, user and session, so that the exact distinct
-    counts expand one row per session instead of one per event. No key of any of the
-    shuffles is a week alone until each task holds one row per week.
+    Users and sessions are counted in two narrow passes that meet as one row per week.
+    Distinct counts of both columns in one aggregate would expand every event to three
+    rows before the first shuffle. Both passes shuffle on week and value, so a busy
+    week or a very active user is never one task's work.
     """
-    week = F.trunc("event_date", "week").alias("week_start")
-    sessions = events.groupBy(week, "user_id", "session_id").agg(F.count("*").alias("n"))
-    weekly = sessions.groupBy("week_start").agg(
-        F.countDistinct("user_id").alias("wau"),
-        F.countDistinct("session_id").alias("total_sessions"),
-        F.sum("n").alias("events"),
+    week = F.trunc("event_date", "week")
+    users = (
+        events.groupBy(week.alias("week_start"), "user_id")
+        .agg(F.count("*").alias("n"))
+        .groupBy("week_start")
+        .agg(F.count("user_id").alias("wau"), F.sum("n").alias("events"))
     )
+    sessions = (
+        events.select(week.alias("_week"), "session_id")
+        .distinct()
+        .groupBy("_week")
+        .agg(F.count("session_id").alias("total_sessions"))
+    )
+    weekly = users.join(sessions, F.col("week_start").eqNullSafe(F.col("_week")))
     by_week = Window.orderBy(F.asc_nulls_last("week_start"))
     change = F.col("wau") - F.col("previous")
     return (
