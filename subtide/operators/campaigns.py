@@ -15,10 +15,14 @@ from subtide.functions.numbers import ratio, round_as_printed, round_half_even
 from subtide.functions.running import running_total
 
 # A calendar of at most this many campaigns is broadcast; a larger one is joined by
-# a salted shuffle. The same number bounds the capped audience that may be broadcast.
+# a shuffle, salted this many ways.
 MAX_BROADCAST_CAMPAIGNS = 2_000
-MAX_BROADCAST_RECIPIENTS = 200_000
 _JOIN_SALTS = 256
+
+# A capped audience is broadcast if campaigns times cap are at most this many rows.
+MAX_BROADCAST_RECIPIENTS = 200_000
+
+# Slices in which a campaign's audience is capped before it is capped as a whole.
 _CAP_SALTS = 32
 
 _ACTIVE, _CHURNED = "active", "churned"
