@@ -29,7 +29,11 @@ def main(arguments: list[str] | None = None) -> None:
     if options.output:
         result.write.mode("overwrite").option("header", True).csv(options.output)
     else:
+        result = result.persist()
+        print(options.report.upper())
         result.show(options.rows, truncate=False)
+        print(f"{result.count()} rows")
+        result.unpersist()
 
 
 if __name__ == "__main__":

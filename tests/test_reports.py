@@ -45,7 +45,8 @@ def test_unknown_report(spark):
 
 def test_command_line(spark, folders, tmp_path, capfd):
     main(["churn_by_plan", str(folders / "csv"), "--format", "csv", "--as-of", "2001-08-02"])
-    assert "enterprise" in capfd.readouterr().out
+    shown = capfd.readouterr().out
+    assert "CHURN_BY_PLAN" in shown and "enterprise" in shown and "4 rows" in shown
     main(["plan_mix", str(folders / "parquet"), "--output", str(tmp_path / "out")])
     lines = [line for part in (tmp_path / "out").glob("*.csv") for line in csv.reader(part.open())]
     assert ["plan", "customers"] in lines and len(lines) == 5
