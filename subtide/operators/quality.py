@@ -35,6 +35,12 @@ def _key_and_row_checks(df: DataFrame, table: str, key: str, repeated: str, row_
     return _rows(per_key.agg(*[F.sum(name).alias(name) for name in checks]), table, checks)
 
 
+def _row_checks(df: DataFrame, table: str, rules: dict[str, Column]) -> DataFrame:
+    """Rows that break a same-row rule, without a shuffle. For a large table whose rules
+    do not read its key: no column is read twice, and the key is shuffled alone."""
+    return _rows(df.agg(*[F.count_if(rule).alias(name) for name, rule in rules.items()]), table, list(rules))
+
+
 def _presence(child: DataFrame, parents: dict[str, tuple[str, DataFrame]]) -> DataFrame:
     """Per foreign key value: rows in ``child`` and rows in the parent table.
 
@@ -128,11 +134,10 @@ def quality_campaigns(
 ) -> DataFrame:
     calendar = _key_and_row_checks(campaigns, "email_campaigns", "campaign_id", "duplicate_campaign_ids", {})
     opened = F.coalesce("opened", F.lit(False))
-    own = _key_and_row_checks(
+    keys = _key_and_row_checks(sends, "email_sends", "send_id", "duplicate_send_ids", {})
+    own = _row_checks(
         sends,
         "email_sends",
-        "send_id",
-        "duplicate_send_ids",
         {
             "clicked_without_open": F.col("clicked") & ~opened,
             "replied_without_open": F.col("replied") & ~opened,
@@ -146,7 +151,8 @@ def quality_campaigns(
         F.sum(F.when(F.col("reference") == "user", orphans)).alias("unknown_users"),
     )
     return (
-        calendar.unionByName(own)
+        calendar.unionByName(keys)
+        .unionByName(own)
         .unionByName(_rows(unknown, "email_sends", ["unknown_campaigns", "unknown_users"]))
     )
 

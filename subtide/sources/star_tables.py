@@ -1,8 +1,9 @@
 """The five tables derived from the star-schema test tables (rules: FIXTURES.md §2).
 
-Nothing here depends on one key being small: customers are reduced with map-side
-partial aggregates, and a customer's first order is found by an aggregate and a join
-on the unique order key, not by a window over all the orders of one customer.
+Customers are reduced with map-side partial aggregates, and a customer's first order
+is found by an aggregate and a join on the unique order key, not by a window over all
+the orders of one customer. The lookups of a line's order and of an order's customer
+name join on keys that may be hot; adaptive execution splits those partitions.
 Lookups are left joins to sides grouped by their key, so Catalyst drops a lookup
 whose columns a query does not use.
 """
