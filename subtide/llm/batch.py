@@ -122,3 +122,27 @@ def shingle_hashes(word_hashes: np.ndarray, n: int) -> np.ndarray:
     for k in range(1, n):
         out = mixed(out * _U64(_BASE) + word_hashes[k : len(word_hashes) - n + 1 + k])
     return out
+
+
+class HashSet:
+    """Places of hashes in a sorted array of keys; a bit table skips most of those that are not in it."""
+
+    BITS = 20
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = keys
+        self.table = np.zeros(1 << self.BITS, bool)
+        self.table[self._slot(keys)] = True
+
+    def _slot(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & _U64((1 << self.BITS) - 1)).astype(np.int64)
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each hash in ``keys``, -1 if it is none of them."""
+        out = np.full(len(hashes), -1, np.int64)
+        maybe = np.flatnonzero(self.table[self._slot(hashes)])
+        if len(maybe):
+            at = np.minimum(np.searchsorted(self.keys, hashes[maybe]), len(self.keys) - 1)
+            hit = self.keys[at] == hashes[maybe]
+            out[maybe[hit]] = at[hit]
+        return out

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from subtide.llm.decontamination import benchmark_matches
 from subtide.llm.packing import best_fit_packing
 from subtide.llm.shared import table
 
@@ -16,12 +17,18 @@ def _tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where documents hold passages of the benchmark."""
+    return benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 4096 tokens."""
     return best_fit_packing(table(spark, sf_dir, "documents"), _tokenizer())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
