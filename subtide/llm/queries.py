@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from subtide.llm.decontamination import benchmark_matches
+from subtide.llm.licenses import license_scan
 from subtide.llm.packing import best_fit_packing
 from subtide.llm.shared import table
 
@@ -22,6 +23,11 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates in all documents."""
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 4096 tokens."""
     return best_fit_packing(table(spark, sf_dir, "documents"), _tokenizer())
@@ -29,6 +35,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_license_scan": op9_license_scan,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
