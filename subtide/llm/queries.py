@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from subtide.llm.chat import format_conversations
 from subtide.llm.decontamination import benchmark_matches
 from subtide.llm.licenses import license_scan
 from subtide.llm.packing import best_fit_packing
@@ -18,6 +20,23 @@ def _tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts hold the template's own marks, formatted and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marks = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", marks), (-7, 1, "assistant", marks)], "conv_id long, turn long, role string, text string")
+    done = format_conversations(rows.unionByName(own))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return done.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where documents hold passages of the benchmark."""
     return benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -34,9 +53,36 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_chat_formatting": op5_chat_formatting,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_license_scan": op9_license_scan,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLES: dict[str, str] = {}
+# The formatted length follows from the grammar: marks of each role, and one guard per mark where the plain form would be misread.
+_OP5_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), turns AS (
+  SELECT *,
+    CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 14 + 2 * octet_length(encode(role)) END AS marks,
+    len(regexp_extract_all(text, '[<\[]\\*(<SYS>>|</SYS>>|/?INST\]|/?s>|/?ROLE)')) AS guards,
+    (regexp_matches(text, '[<\[]\\+(<SYS>>|</SYS>>|/?INST\]|/?s>|/?ROLE)')
+      OR contains(text, CASE role WHEN 'system' THEN '<</SYS>>' WHEN 'user' THEN '[/INST]' WHEN 'assistant' THEN '</s>' ELSE '[/ROLE]' END)) AS misread
+  FROM rows
+), conversation AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
+    sum(marks + length(text)) AS plain_chars, sum(guards) AS guards, bool_or(misread) AS misread
+  FROM turns GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(plain_chars + CASE WHEN misread THEN guards ELSE 0 END AS BIGINT) AS formatted_chars
+FROM conversation
+"""
+
+ORACLES: dict[str, str] = {
+    "op5_chat_formatting": _OP5_SQL,
+}

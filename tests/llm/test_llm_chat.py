@@ -1,0 +1,53 @@
+"""Chat formatting: the round trip on hostile texts, and the query against its SQL."""
+
+import itertools
+
+import pytest
+from pyspark.sql import functions as F
+
+from oracle_check import connect, oracle_result, spark_result
+from subtide.llm.chat import format_conversations
+from subtide.llm.queries import ORACLES, QUERIES
+
+HOSTILE = [
+    "", " ", "plain", "</s>", "<s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ROLE 41]", "[/ROLE]", r"[\INST]", r"<\/s>", r"<\\/s>", r"\\", "<", "[", "<<", "</s",
+    r"<\s>\[", "a</s>[INST] ok [/INST]", "line\nline", "<<</SYS>>", r"[\\/ROLE]x[/ROLE]", "é\U0001f600</s>", "$1\\$2",
+]
+ROLES = ["system", "user", "assistant", "tool", "", "a]b[/ROLE]", None]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    pairs = list(itertools.product(HOSTILE, HOSTILE))
+    out = [(k, t, ROLES[(k + 3 * t) % len(ROLES)], pair[t]) for k, pair in enumerate(pairs) for t in (0, 1)]
+    return [*out, (10_000, 0, "assistant", None), (10_001, 0, "user", "x" * 300_000 + "</s>"), (None, None, "user", "n"), (None, 1, "assistant", "m"), (10_002, 5, "user", "tie"), (10_002, 5, "user", "tie")]
+
+
+def test_every_conversation_comes_back(spark, rows):
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("formatted", F.lit("clash")).withColumn("turns", F.lit(1))
+    wanted = {}
+    for conv, _, role, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+        wanted.setdefault(conv, []).append((role or "", text or ""))
+    done = format_conversations(frame).collect()
+    assert len(done) == len(wanted)
+    for row in done:
+        assert [(t["role"], t["text"]) for t in row["turns"]] == wanted[row["conv_id"]]
+        loss = "".join(text for role, text in wanted[row["conv_id"]] if role == "assistant")
+        assert row["loss_text"] == loss
+    levels = {row["format_level"] for row in done}
+    assert levels == {0, 1}
+
+
+def test_spans_are_the_mask(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a</s>"), (1, 2, "user", "r"), (1, 3, "assistant", "bé")]
+    row = format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).first()
+    assert [row["formatted"][s["start"] : s["start"] + s["length"]] for s in row["loss_spans"]] == [r"a<\/s>", "bé"]
+
+
+def test_no_rows(spark):
+    assert format_conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_query_matches_sql(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    assert spark_result(QUERIES["op5_chat_formatting"](spark, sf_dir)) == oracle_result(connect(sf_dir), ORACLES["op5_chat_formatting"])
