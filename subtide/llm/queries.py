@@ -11,6 +11,7 @@ from subtide.llm.chat import format_conversations
 from subtide.llm.decontamination import benchmark_matches
 from subtide.llm.licenses import license_scan
 from subtide.llm.packing import best_fit_packing
+from subtide.llm.repeats import repeated_spans
 from subtide.llm.shared import table
 
 
@@ -20,6 +21,11 @@ def _tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without strings of 400 bytes that also start elsewhere."""
+    return repeated_spans(table(spark, sf_dir, "documents"), 400).drop("spans")
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts hold the template's own marks, formatted and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -53,6 +59,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op5_chat_formatting": op5_chat_formatting,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_license_scan": op9_license_scan,
