@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from subtide.llm.chat import format_conversations
 from subtide.llm.decontamination import benchmark_matches
+from subtide.llm.jaccard_join import jaccard_components
 from subtide.llm.licenses import license_scan
 from subtide.llm.packing import best_fit_packing
 from subtide.llm.repeats import repeated_spans
@@ -26,6 +27,11 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans(table(spark, sf_dir, "documents"), 400).drop("spans")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose word trigrams overlap by nine tenths."""
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts hold the template's own marks, formatted and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -60,6 +66,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op3_jaccard_join": op3_jaccard_join,
     "op5_chat_formatting": op5_chat_formatting,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_license_scan": op9_license_scan,
