@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from subtide.llm.chat import format_conversations
 from subtide.llm.decontamination import benchmark_matches
+from subtide.llm.html_text import extract_main_text
 from subtide.llm.jaccard_join import jaccard_components
 from subtide.llm.licenses import license_scan
 from subtide.llm.packing import best_fit_packing
@@ -49,6 +50,11 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where documents hold passages of the benchmark."""
     return benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -68,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op3_jaccard_join": op3_jaccard_join,
     "op5_chat_formatting": op5_chat_formatting,
+    "op7_html_extraction": op7_html_extraction,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_license_scan": op9_license_scan,
     "op10_best_fit_packing": op10_best_fit_packing,
