@@ -12,6 +12,7 @@ from subtide.llm.decontamination import benchmark_matches
 from subtide.llm.html_text import extract_main_text
 from subtide.llm.jaccard_join import jaccard_components
 from subtide.llm.licenses import license_scan
+from subtide.llm.line_quality import quality_verdicts
 from subtide.llm.packing import best_fit_packing
 from subtide.llm.repeats import repeated_spans
 from subtide.llm.shared import table
@@ -28,6 +29,11 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans(table(spark, sf_dir, "documents"), 400).drop("spans")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of all documents and what is left without lines that their host repeats."""
+    return quality_verdicts(table(spark, sf_dir, "documents")).drop("host", "t1", "t2", "boilerplate")
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose word trigrams overlap by nine tenths."""
     return jaccard_components(table(spark, sf_dir, "documents"))
@@ -72,6 +78,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op2_quality_rules": op2_quality_rules,
     "op3_jaccard_join": op3_jaccard_join,
     "op5_chat_formatting": op5_chat_formatting,
     "op7_html_extraction": op7_html_extraction,
@@ -104,6 +111,44 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_char
 FROM conversation
 """
 
+_OP2_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, source AS host, coalesce(text, '') AS text FROM documents
+), worded AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM docs
+), lines AS (
+  SELECT row, host, text, line, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM (SELECT row, host, text, unnest(string_split(text, chr(10))) AS line FROM docs)
+), worded_lines AS (
+  SELECT row, host, text, line, len(words) AS n, array_to_string(words, ' ') AS plain FROM lines WHERE len(words) > 0
+), dup_lines AS (
+  SELECT row, count(*) - count(DISTINCT line) AS n_dup_lines FROM worded_lines GROUP BY row
+), windows AS (
+  SELECT row, unnest(generate_series(1, len(words) - 4)) AS place, words FROM worded WHERE len(words) >= 5
+), keyed AS (
+  SELECT row, place, array_to_string(words[place:place + 4], ' ') AS shingle FROM windows
+), twice AS (
+  SELECT row, place FROM (SELECT row, place, count(*) OVER (PARTITION BY row, shingle) AS n FROM keyed) WHERE n > 1
+), repeat_words AS (
+  SELECT row, count(DISTINCT place + k) AS n_repeat_words FROM twice, (SELECT unnest(generate_series(0, 4)) AS k) GROUP BY row
+), hosts AS (
+  SELECT host, count(*) AS documents FROM docs GROUP BY host
+), frequent AS (
+  SELECT host, plain FROM (SELECT host, plain, count(DISTINCT text) AS texts FROM worded_lines WHERE n <= 30 GROUP BY host, plain) AS f
+  JOIN hosts USING (host) WHERE texts > 20 AND texts > 0.001 * documents
+), gone AS (
+  SELECT row, sum(n) AS n_boilerplate_words FROM worded_lines JOIN frequent USING (host, plain) GROUP BY row
+), counted AS (
+  SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, CAST(coalesce(n_boilerplate_words, 0) AS BIGINT) AS n_boilerplate_words
+  FROM worded LEFT JOIN dup_lines USING (row) LEFT JOIN repeat_words USING (row) LEFT JOIN gone USING (row)
+)
+SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
+  (NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND n_words - n_boilerplate_words >= 0.2 * n_words) AS kept
+FROM counted
+"""
+
 ORACLES: dict[str, str] = {
+    "op2_quality_rules": _OP2_SQL,
     "op5_chat_formatting": _OP5_SQL,
 }
