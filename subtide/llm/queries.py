@@ -14,7 +14,9 @@ from subtide.llm.jaccard_join import jaccard_components
 from subtide.llm.licenses import license_scan
 from subtide.llm.line_quality import quality_verdicts
 from subtide.llm.packing import best_fit_packing
+from subtide.llm.quality_ranking import quality_scores
 from subtide.llm.repeats import repeated_spans
+from subtide.llm.secrets import secret_scan
 from subtide.llm.shared import table
 
 
@@ -39,6 +41,11 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from the labels outside the held-out fold."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts hold the template's own marks, formatted and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -56,6 +63,11 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strings that may be secrets in all documents, and which of them are."""
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return extract_main_text(table(spark, sf_dir, "pages"))
@@ -80,7 +92,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_chat_formatting": op5_chat_formatting,
+    "op6_secret_scan": op6_secret_scan,
     "op7_html_extraction": op7_html_extraction,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_license_scan": op9_license_scan,
