@@ -112,7 +112,8 @@ def prefix_intervals(lcp: list[int], least: int) -> list[tuple[int, int, int]]:
         depth, left = (lcp[i] if i < len(lcp) else -1), i - 1
         while stack and stack[-1][0] > depth:
             top, left = stack.pop()
-            if top >= least and left < i - 1:
+            # The whole array is an interval of depth 0 only if some neighbours differ at once.
+            if top >= least and left < i - 1 and (top or 0 in lcp[1:]):
                 out.append((top, left, i - 1))
         if not stack or stack[-1][0] < depth:
             stack.append((depth, left))
@@ -142,8 +143,6 @@ def maximal_groups(contexts: list[tuple[bytes, int]], least: int) -> list[tuple[
             number += i > first and lcp[i] == depth
             child[order[i]] = number
         left_order, _, lefts = _scan([before[k] for k in members], max(0, least - depth))
-        if depth >= least and not any(m == 0 for m, _, _ in lefts):
-            lefts.append((0, 0, len(members) - 1))
         for m, a, b in lefts:
             own = [members[k] for k in left_order[a : b + 1]]
             if m + depth >= least and len({child[k] for k in own}) > 1:
@@ -197,36 +196,55 @@ def _contexts(texts: DataFrame, wanted: DataFrame, least: int, gram: int) -> Dat
     return texts.join(lists, "tid").select("text", "wanted").mapInArrow(take, "anchor long, class long, n long, n_classes long, context binary, place int")
 
 
-_GROUP_SCHEMA = "anchor long, class long, group string, start int, length int"
-_GROUP_ARROW = pa.schema([("anchor", pa.int64()), ("class", pa.int64()), ("group", pa.string()), ("start", pa.int32()), ("length", pa.int32())])
+_GROUP = pa.struct([("group", pa.string()), ("start", pa.int32()), ("length", pa.int32())])
+_FOUND_SCHEMA = "anchor long, class long, found array<struct<group:string,start:int,length:int>>"
+_FOUND_ARROW = pa.schema([("anchor", pa.int64()), ("class", pa.int64()), ("found", pa.list_(_GROUP))])
 
 
-def _tree_groups(contexts: DataFrame, least: int) -> DataFrame:
-    """Maximal repeats of each anchor, one row per group and class; contexts of an anchor meet in one task."""
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Maximal spans covered by the given ones, touching ones joined."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
 
-    def bucket_rows(anchor: int, bucket: list[tuple[int, bytes, int]]) -> Iterator[tuple[int, int, str, int, int]]:
+def _tree_groups(contexts: DataFrame, least: int, by_group: bool) -> DataFrame:
+    """Per class the maximal repeats it is in, or the merged spans that they cover; contexts of an anchor meet in one task."""
+
+    def bucket_rows(anchor: int, bucket: list[tuple[int, bytes, int]]) -> Iterator[tuple[int, int, list]]:
+        found: dict[int, list[tuple[str, int, int]]] = {}
         for before, after, members in maximal_groups([(c, at) for _, c, at in bucket], least):
             first = bucket[members[0]]
             text = first[1][first[2] - before : first[2] + after]
-            group = hashlib.blake2b(text, digest_size=12).hexdigest()
+            group = hashlib.blake2b(text, digest_size=12).hexdigest() if by_group else ""
             for k in members:
-                yield anchor, bucket[k][0], group, bucket[k][2] - before, before + after
+                own, one = found.setdefault(k, []), (group, bucket[k][2] - before, before + after)
+                if by_group or not own:
+                    own.append(one)
+                else:
+                    own[:] = [("", a, b - a) for a, b in merged([(s, s + n) for _, s, n in [*own, one]])]
+        for k, own in found.items():
+            yield anchor, bucket[k][0], [dict(zip(("group", "start", "length"), g, strict=True)) for g in own]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[int, int, str, int, int]] = []
+        out: list[tuple[int, int, list]] = []
         bucket: list[tuple[int, bytes, int]] = []
         current = None
 
         def batch_of(rows: list) -> pa.RecordBatch:
-            columns = list(zip(*rows, strict=True)) or [()] * len(_GROUP_ARROW)
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _GROUP_ARROW, strict=True)], schema=_GROUP_ARROW)
+            columns = list(zip(*rows, strict=True)) or [()] * len(_FOUND_ARROW)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FOUND_ARROW, strict=True)], schema=_FOUND_ARROW)
 
         for rows in batches:
             for anchor, own, context, place in zip(*(c.to_pylist() for c in rows.columns), strict=True):
                 if anchor != current:
                     out.extend(bucket_rows(current, bucket))
                     current, bucket = anchor, []
-                    if len(out) > 20_000:
+                    if len(out) > 5_000:
                         yield batch_of(out)
                         out = []
                 bucket.append((own, context, place))
@@ -234,7 +252,7 @@ def _tree_groups(contexts: DataFrame, least: int) -> DataFrame:
         yield batch_of(out)
 
     columns = contexts.select("anchor", "class", "context", "place")
-    return columns.repartition("anchor").sortWithinPartitions("anchor", "class").mapInArrow(scan, _GROUP_SCHEMA)
+    return columns.repartition("anchor").sortWithinPartitions("anchor", "class").mapInArrow(scan, _FOUND_SCHEMA)
 
 
 def _window_groups(contexts: DataFrame, least: int) -> DataFrame:
@@ -251,7 +269,8 @@ def _window_groups(contexts: DataFrame, least: int) -> DataFrame:
 
     every = contexts.select("anchor", "class", "context").mapInArrow(windows, "anchor long, class long, group string, start int")
     repeated = every.groupBy("group").agg(F.count("*").alias("classes")).where("classes > 1").select("group")
-    return every.join(repeated, "group").select("anchor", "class", "group", "start", F.lit(least).alias("length"))
+    one = F.struct("group", "start", F.lit(least).alias("length"))
+    return every.join(repeated, "group").groupBy("anchor", "class").agg(F.collect_list(one).alias("found"))
 
 
 def _prepared(docs: DataFrame) -> DataFrame:
@@ -259,8 +278,12 @@ def _prepared(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode(text, "UTF-8").alias("text"), F.unhex(F.md5(F.encode(text, "UTF-8"))).alias("tid"))
 
 
-def _repeat_classes(docs: DataFrame, least: int, gram: int, bucket: int) -> tuple[DataFrame, DataFrame]:
-    """Classes of anchors that occur twice, by text; and the groups of repeats, by class."""
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.groupBy("tid").agg(F.first("text").alias("text"))
+
+
+def _repeat_classes(docs: DataFrame, least: int, gram: int, bucket: int, by_group: bool) -> tuple[DataFrame, DataFrame]:
+    """Classes of anchors that occur twice, by text; and the repeats found in each class."""
     every = _classes(docs, least, gram)
     twice = every.groupBy("anchor").agg(F.sum("n").alias("total")).where("total > 1").select("anchor")
     live = written(every.join(twice, "anchor"), "repeat-classes")
@@ -268,74 +291,70 @@ def _repeat_classes(docs: DataFrame, least: int, gram: int, bucket: int) -> tupl
     classes = written(classes, "repeat-class-counts")
     several = classes.groupBy("anchor").agg(F.count("*").alias("n_classes")).where("n_classes > 1")
     wanted = classes.join(several, "anchor")
-    texts = docs.groupBy("tid").agg(F.first("text").alias("text"))
-    contexts = written(_contexts(texts, wanted, least, gram), "repeat-contexts")
-    whole = classes.where("n > 1").select(
-        "anchor", "class", F.concat(F.hex("anchor"), F.hex("class")).alias("group"), F.lit(0).alias("start"), F.col("size").alias("length")
-    )
-    groups = whole.unionByName(_tree_groups(contexts.where(F.col("n_classes") <= bucket), least))
+    contexts = written(_contexts(_texts(docs), wanted, least, gram), "repeat-contexts")
+    one = F.struct(F.concat(F.hex("anchor"), F.hex("class")).alias("group"), F.lit(0).alias("start"), F.col("size").alias("length"))
+    whole = classes.where("n > 1").select("anchor", "class", F.array(one).alias("found"))
+    groups = whole.unionByName(_tree_groups(contexts.where(F.col("n_classes") <= bucket), least, by_group))
     crowded = contexts.where(F.col("n_classes") > bucket)
     if not crowded.isEmpty():
         groups = groups.unionByName(_window_groups(crowded, least))
     return live, groups
 
 
-_SPANS = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
+_SPANS = "tid binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
 _SPANS_ARROW = pa.schema(
-    [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
+    [("tid", pa.binary()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
     + [("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]
 )
 
 
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], b))
-        else:
-            out.append((a, b))
-    return out
-
-
 def maximal_repeats(docs: DataFrame, least: int = 400, gram: int = GRAM, bucket: int = BUCKET) -> DataFrame:
     """One row per group of repeats and class of occurrences: group, length, anchor, class, start in the context, texts, occurrences."""
-    live, groups = _repeat_classes(_prepared(docs), least, gram, bucket)
+    live, groups = _repeat_classes(_prepared(docs), least, gram, bucket, by_group=True)
     counts = live.groupBy("anchor", "class").agg(F.count_distinct("tid").alias("texts"), F.sum("n").alias("occurrences"))
-    return groups.join(counts, ["anchor", "class"]).select("group", "length", "anchor", "class", "start", "texts", "occurrences")
+    each = groups.select("anchor", "class", F.inline("found"))
+    return each.join(counts, ["anchor", "class"]).select("group", "length", "anchor", "class", "start", "texts", "occurrences")
 
 
 def repeated_spans(docs: DataFrame, least: int = 400, gram: int = GRAM, bucket: int = BUCKET) -> DataFrame:
-    """Per document the maximal byte spans covered by strings of ``least`` bytes that also start elsewhere, and what is left without them."""
+    """Per document the maximal byte spans covered by strings of ``least`` bytes that also start elsewhere, and what is left without them.
+
+    Columns: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (array of struct(start, end)).
+    """
     prepared = _prepared(docs)
-    live, groups = _repeat_classes(prepared, least, gram, bucket)
-    covered = groups.groupBy("anchor", "class").agg(F.collect_set(F.struct("start", "length")).alias("spans"))
+    live, groups = _repeat_classes(prepared, least, gram, bucket, by_group=False)
+    covered = groups.groupBy("anchor", "class").agg(F.flatten(F.collect_list(F.transform("found", lambda g: F.struct(g["start"].alias("start"), g["length"].alias("length"))))).alias("spans"))
     by_text = live.select("tid", "anchor", "class").distinct().join(covered, ["anchor", "class"]).groupBy("tid").agg(F.collect_list(F.struct("anchor", "class", "spans")).alias("found"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            doc_ids, found, spans_of = rows.column(0), rows.column(2), {}
-            has = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
-            some = rows.column(1).take(pa.array(has))
-            for first, data, offsets in batch.runs(some):
+            for first in range(0, rows.num_rows, 128):
+                yield cut_rows(rows.slice(first, 128))
+
+    def cut_rows(rows: pa.RecordBatch) -> pa.RecordBatch:
+        found, out = rows.column(2), []
+        for first, data, offsets in batch.runs(rows.column(1)):
+            known = [{(f["anchor"], f["class"]): [(s["start"], s["length"]) for s in f["spans"]] for f in found[first + r].as_py() or ()} for r in range(len(offsets) - 1)]
+            spans: list[list[tuple[int, int]]] = [[] for _ in known]
+            if any(known):
                 runs = Runs(data, offsets, least, gram)
-                known = [{(f["anchor"], f["class"]): [(s["start"], s["length"]) for s in f["spans"]] for f in found[int(has[first + r])].as_py()} for r in range(len(offsets) - 1)]
                 anchors_of = [{a for a, _ in k} for k in known]
                 anchors = runs.anchor.view(np.int64).tolist()
                 for k, row in enumerate(runs.row.tolist()):
                     if anchors[k] in anchors_of[row]:
                         base = int(runs.first[k] - offsets[row])
-                        for start, length in known[row].get((anchors[k], runs.class_hash(k)), ()):
-                            spans_of.setdefault(int(has[first + row]), []).append((base + start, base + start + length))
-            out = []
-            for k in range(rows.num_rows):
-                text, spans = rows.column(1)[k].as_py(), merged(spans_of.get(k, []))
+                        spans[row] += [(base + start, base + start + length) for start, length in known[row].get((anchors[k], runs.class_hash(k)), ())]
+            for r, own in enumerate(map(merged, spans)):
+                text = data[offsets[r] : offsets[r + 1]].tobytes()
                 digest, at = hashlib.sha256(), 0
-                for a, b in spans:
+                for a, b in own:
                     digest.update(text[at:a])
                     at = b
                 digest.update(text[at:])
-                out.append((doc_ids[k].as_py(), len(text), sum(b - a for a, b in spans), len(spans), digest.hexdigest(), [{"start": a, "end": b} for a, b in spans]))
-            columns = list(zip(*out, strict=True)) or [()] * len(_SPANS_ARROW)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SPANS_ARROW, strict=True)], schema=_SPANS_ARROW)
+                out.append((rows.column(0)[first + r].as_py(), len(text), sum(b - a for a, b in own), len(own), digest.hexdigest(), [{"start": a, "end": b} for a, b in own]))
+        columns = list(zip(*out, strict=True)) or [()] * len(_SPANS_ARROW)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SPANS_ARROW, strict=True)], schema=_SPANS_ARROW)
 
-    return prepared.join(by_text, "tid", "left").select("doc_id", "text", "found").mapInArrow(cut, _SPANS)
+    # Each text is cut once; its copies take the result.
+    by_content = _texts(prepared).join(by_text, "tid", "left").select("tid", "text", "found").mapInArrow(cut, _SPANS)
+    return prepared.select("doc_id", "tid").join(by_content, "tid").drop("tid")
