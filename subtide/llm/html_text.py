@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from subtide.llm.shared import bounded
+
 # Tags of HTML by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -246,4 +248,4 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1).cast(pa.string()), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], schema=schema)
 
     columns = [F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")]
-    return pages.select(*columns).mapInArrow(extract, "page_id long, url string, text string, n_chars long")
+    return bounded(pages).select(*columns).mapInArrow(extract, "page_id long, url string, text string, n_chars long")

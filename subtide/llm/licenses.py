@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from subtide.llm import batch
 from subtide.llm.decontamination import WORD_BYTES
-from subtide.llm.shared import text_column
+from subtide.llm.shared import bounded, text_column
 
 # Phrases of the base labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -163,7 +163,7 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str, tuple[str, ...
     ``score`` is the highest share among the templates found; 0.5 where only a base phrase was, else 0.
     """
     templates = TEMPLATES if templates is None else templates
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column("text").alias("text"))
+    texts = bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_column("text").alias("text"))
     vocabulary = np.unique(np.concatenate([hashed(t[1]) for t in templates]))
     index = Index(templates, *_template_word_counts(texts.select("text"), vocabulary), anchors)
     first_words = batch.HashSet(np.unique(np.array([p[0] for p, _ in index.phrases], np.uint64)))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subtide.llm import batch
-from subtide.llm.shared import text_column, written
+from subtide.llm.shared import bounded, text_column, written
 
 GRAM = 96
 BUCKET = 32_768
@@ -275,7 +275,7 @@ def _window_groups(contexts: DataFrame, least: int) -> DataFrame:
 
 def _prepared(docs: DataFrame) -> DataFrame:
     text = text_column("text")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode(text, "UTF-8").alias("text"), F.unhex(F.md5(F.encode(text, "UTF-8"))).alias("tid"))
+    return bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.encode(text, "UTF-8").alias("text"), F.unhex(F.md5(F.encode(text, "UTF-8"))).alias("tid"))
 
 
 def _texts(docs: DataFrame) -> DataFrame:

@@ -36,6 +36,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_BATCH_ROWS, _BATCH_BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded(docs: DataFrame, rows: int = 1_000, size: int = 4 << 20) -> DataFrame:
+    """``docs``, in a session whose batches for Python are small enough for long texts.
+
+    Spark's default of 10,000 rows lets a batch of long texts take hundreds of MB on both sides. A number of rows that the
+    session's user has chosen stays as it is.
+    """
+    conf = docs.sparkSession.conf
+    if conf.get(_BATCH_ROWS) == "10000":
+        conf.set(_BATCH_ROWS, str(rows))
+        conf.set(_BATCH_BYTES, str(size))
+    return docs
+
+
 def text_column(text: str) -> Column:
     """The text as a string, null as empty."""
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
