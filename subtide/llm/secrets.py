@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subtide.llm import batch
-from subtide.llm.shared import text_column
+from subtide.llm.shared import bounded, text_column
 
 MIN_LENGTH = 16
 AROUND = 80
@@ -40,7 +40,7 @@ FEATURES = [
 ]
 
 _CANDIDATE = np.zeros(256, bool)
-_CANDIDATE[list(b"+/=_-")] = True
+_CANDIDATE[list(b"+/_-")] = True
 _CANDIDATE[48:58] = _CANDIDATE[65:91] = _CANDIDATE[97:123] = True
 _KIND = np.zeros(256, np.int8)
 _KIND[48:58], _KIND[65:91], _KIND[97:123] = 1, 2, 3
@@ -74,7 +74,7 @@ def trigram_dictionary(docs: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(totals[at], pa.int64())], names=["trigram", "n"])
 
     counts = np.zeros(TRIGRAMS)
-    summed = docs.select(text_column("text").alias("text")).mapInArrow(count, "trigram int, n long").groupBy("trigram").agg(F.sum("n").alias("n"))
+    summed = bounded(docs).select(text_column("text").alias("text")).mapInArrow(count, "trigram int, n long").groupBy("trigram").agg(F.sum("n").alias("n"))
     for row in summed.collect():  # at most 26 ** 3 rows
         counts[row["trigram"]] = row["n"]
     return counts > counts.mean()
