@@ -5,44 +5,46 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from subtide.functions.checkpoints import checkpointed
+# Leading characters of a key whose rows of one day are numbered together.
+LEADING = 11
 
 
 def running_total(
     rows: DataFrame,
     value: Column,
-    order: list[str],
+    day: str,
+    key: str,
     within: tuple[str, ...] = (),
     name: str = "running_total",
 ) -> DataFrame:
     """``rows`` plus the total of ``value`` up to and including each row, in the order
-    of the ``order`` columns; ``within`` columns restart the total.
+    of ``day`` and the text ``key``; ``within`` columns restart the total.
 
-    Rows are split into ranges of that order, each range is summed on its own, and
-    only one number per range goes through the window over the ranges. The ranges are
-    even however the values cluster. Range bounds are sampled, so the split is
-    checkpointed: both readers then see the same one.
+    Rows are totalled within a day and the first characters of the key. The totals of earlier
+    first characters of that day, and of earlier days, come from aggregates, so even a day
+    that holds most rows is split, and nothing has to be sampled or stored.
     """
-    ranges = checkpointed(
-        rows.withColumn("_value", value)
-        .repartitionByRange(*within, *order)
-        .withColumn("_range", F.spark_partition_id())
+    prepared = rows.withColumns({"_value": value, "_lead": F.substring(key, 1, LEADING)})
+    earlier = (Window.unboundedPreceding, -1)
+    per_lead = prepared.groupBy(*within, day, "_lead").agg(F.sum("_value").alias("_total"))
+    days = per_lead.groupBy(*within, day).agg(F.sum("_total").alias("_total"))
+    days = days.select(
+        *[F.col(c).alias(f"_of_{c}") for c in (*within, day)],
+        F.coalesce(F.sum("_total").over(Window.partitionBy(*within).orderBy(day).rowsBetween(*earlier)), F.lit(0)).alias("_days"),
     )
-    keys = [*within, "_range"]
-    earlier = Window.partitionBy(*within).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranges.groupBy(*keys)
-        .agg(F.sum("_value").alias("_total"))
-        .select(
-            *[F.col(key).alias(f"_of_{key}") for key in keys],
-            F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"),
-        )
+    in_day = Window.partitionBy(*within, day).orderBy("_lead").rowsBetween(*earlier)
+    leads = per_lead.withColumn("_leads", F.coalesce(F.sum("_total").over(in_day), F.lit(0)))
+
+    def same(*columns: str) -> list[Column]:
+        # A missing value is a group of its own.
+        return [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in columns]
+
+    offsets = leads.join(days, same(*within, day)).select(
+        *[F.col(c).alias(f"_of_{c}") for c in (*within, day, "_lead")], (F.col("_days") + F.col("_leads")).alias("_offset")
     )
-    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # A missing value in the ``within`` columns is a group of its own.
-    same = [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys]
+    inside = Window.partitionBy(*within, day, "_lead").orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        ranges.withColumn("_inside", F.sum("_value").over(inside))
-        .join(offsets, same)
+        prepared.withColumn("_inside", F.sum("_value").over(inside))
+        .join(offsets, same(*within, day, "_lead"))
         .select(*rows.columns, (F.col("_offset") + F.col("_inside")).alias(name))
     )

@@ -2,29 +2,15 @@
 
 from __future__ import annotations
 
-import datetime as dt
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subtide.domain import AUDIENCE_CAP, CAMPAIGN_SEGMENTS, DEFAULT_SEGMENT, LOW_ACTIVITY_DAYS, UPSELL_PLANS
-from subtide.functions.checkpoints import checkpointed
 from subtide.functions.numbers import ratio, round_as_printed, round_half_even
 from subtide.functions.running import running_total
 
-# A calendar of at most this many campaigns is broadcast; a larger one is joined by
-# a shuffle, salted this many ways.
-MAX_BROADCAST_CAMPAIGNS = 2_000
-_JOIN_SALTS = 256
-
-# A capped audience is broadcast if campaigns times cap are at most this many rows.
-MAX_BROADCAST_RECIPIENTS = 200_000
-
-# Slices in which a campaign's audience is capped before it is capped as a whole.
-_CAP_SALTS = 32
-
 _ACTIVE, _CHURNED = "active", "churned"
 
 
@@ -42,13 +28,20 @@ def campaign_segments(campaigns: DataFrame) -> DataFrame:
     )
 
 
+def _titled(text: Column) -> Column:
+    """Every run of letters with a capital first and small letters after it."""
+    runs = F.regexp_extract_all(text, F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
+    return F.array_join(F.transform(runs, F.initcap), "")
+
+
 def campaign_labels(campaigns: DataFrame) -> DataFrame:
     """Campaign names: by type, with the campaign's number within its type in send
     order, or its quarter, and the month or year it is sent in."""
     numbered = running_total(
         campaigns.select("campaign_id", "campaign_type", "send_date"),
         F.lit(1).cast("long"),
-        order=["send_date", "campaign_id"],
+        day="send_date",
+        key="campaign_id",
         within=("campaign_type",),
         name="ordinal",
     )
@@ -69,61 +62,30 @@ def campaign_labels(campaigns: DataFrame) -> DataFrame:
         .when(kind == "upsell", series(F.lit("Upgrade Offer")))
         .when(kind == "re_engagement", series(F.lit("Re-engagement")))
         .when(kind == "winback", series(F.lit("Winback Campaign")))
-        .otherwise(series(F.array_join(F.transform(F.split(kind, "_"), F.initcap), "_")))
+        .otherwise(series(_titled(kind)))
     )
     return numbered.select("campaign_id", "campaign_type", "send_date", "ordinal", name.alias("campaign_name"))
 
 
-@dataclass(frozen=True)
-class CalendarShape:
-    """What planning an audience needs to know of the campaign calendar: one aggregate
-    row, read before the audience plan is built."""
-
-    campaigns: int
-    low_activity: int
-    churned: int
-    first: dt.date | None
-    last: dt.date | None
-    broadcastable: bool
-
-    @classmethod
-    def of(cls, campaigns: DataFrame, max_broadcast: int = MAX_BROADCAST_CAMPAIGNS) -> CalendarShape:
-        segment = F.col("segment")
-        row = (
-            campaigns.where(F.col("send_date").isNotNull())
-            .agg(
-                F.count("*").alias("campaigns"),
-                F.count_if(segment == "low_activity").alias("low_activity"),
-                F.count_if(segment == "churned").alias("churned"),
-                F.min("send_date").alias("first"),
-                F.max("send_date").alias("last"),
-            )
-            .first()
-        )
-        return cls(**row.asDict(), broadcastable=row["campaigns"] <= max_broadcast)
+def _slices(df: DataFrame) -> int:
+    """Into how many slices users are dealt: as many as a shuffle has partitions."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _salt(salts: int) -> Column:
-    return F.pmod(F.xxhash64("user_id"), F.lit(salts))
+def _slice_of_user(slices: int) -> Column:
+    return F.pmod(F.xxhash64("user_id"), F.lit(slices))
 
 
-def _join_calendar(rows: DataFrame, calendar: DataFrame, keys: list[str], shape: CalendarShape) -> DataFrame:
-    """Join rows that have a ``user_id`` to the calendar: broadcast within the bound,
-    else a shuffle whose keys are split by a salt of the user."""
-    if shape.broadcastable:
-        return rows.join(F.broadcast(calendar), keys)
-    salts = F.sequence(F.lit(0).cast("long"), F.lit(_JOIN_SALTS - 1).cast("long"))
-    salted = calendar.withColumn("_salt", F.explode(salts))
-    return rows.withColumn("_salt", _salt(_JOIN_SALTS)).join(salted.hint("merge"), [*keys, "_salt"]).drop("_salt")
+def _reach(calendar: DataFrame) -> tuple[Column, Column]:
+    """First and last send date, as scalar subqueries that run with the plan."""
+    return calendar.agg(F.min("send_date")).scalar(), calendar.agg(F.max("send_date")).scalar()
 
 
-def _memberships(
-    subs: DataFrame, shape: CalendarShape, active: bool, churned: bool, carried: tuple[str, ...]
-) -> DataFrame:
+def _memberships(subs: DataFrame, reach: tuple[Column, Column], active: bool, churned: bool) -> DataFrame:
     """Half-open date intervals in which a user is active, or has churned, one row per
     calendar quarter they share with the campaigns. The scan already leaves out users
     whom no campaign can reach."""
-    first, last = F.lit(shape.first), F.lit(shape.last)
+    first, last = reach
     signup, churn, no_date = F.col("signup_date"), F.col("churn_date"), F.lit(None).cast("date")
     intervals, in_reach = [], F.lit(False)
     if active:
@@ -132,189 +94,153 @@ def _memberships(
     if churned:
         gone = (F.col("status") == "churned") & (churn <= last)
         entry = F.struct(F.lit(_CHURNED).alias("kind"), churn.alias("since"), no_date.alias("until"))
-        intervals.append(F.when(gone, entry))
+        intervals.append(F.when(F.col("status") == "churned", entry))
         in_reach = in_reach | gone
     since, until = F.col("since"), F.col("until")
     quarters = F.sequence(
-        F.trunc(F.greatest(since, first), "quarter"),
-        F.trunc(F.least(F.date_sub(until, 1), last), "quarter"),
+        F.trunc(F.greatest(since, F.col("_first")), "quarter"),
+        F.trunc(F.least(F.date_sub(until, 1), F.col("_last")), "quarter"),
         F.expr("interval 3 months"),
     )
     return (
         subs.where(in_reach)
-        .select("user_id", "plan", *carried, F.inline(F.array(*intervals)))
-        .where((since <= last) & (until.isNull() | ((until > first) & (until > since))))
-        .withColumn("quarter", F.explode(quarters))
+        .select("user_id", "plan", first.alias("_first"), last.alias("_last"), F.inline(F.array(*intervals)))
+        .where((since <= F.col("_last")) & (until.isNull() | ((until > F.col("_first")) & (until > since))))
+        .select("user_id", "plan", "kind", "since", "until", F.explode(quarters).alias("quarter"))
     )
 
 
-def _members(
-    calendar: DataFrame,
-    subs: DataFrame,
-    shape: CalendarShape,
-    active: bool,
-    churned: bool,
-    carried: tuple[str, ...] = (),
-) -> DataFrame:
-    """Each campaign of ``calendar`` with the users its segment's dates and plans allow;
-    ``active`` and ``churned`` say which kinds of segment the calendar holds."""
+def _members(calendar: DataFrame, memberships: DataFrame) -> DataFrame:
+    """Each campaign of ``calendar`` with the users its segment's dates and plans allow.
+
+    Users and campaigns meet on the calendar quarters a user's interval covers, not by
+    comparing every user with every campaign. Quarters are few, so users are dealt into slices
+    and every slice meets the calendar; which side travels is up to adaptive execution.
+    """
+    slices = _slices(calendar)
     keyed = calendar.withColumns(
         {
             "kind": F.when(F.col("segment") == "churned", _CHURNED).otherwise(_ACTIVE),
             "quarter": F.trunc("send_date", "quarter"),
+            "_slice": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))),
         }
     )
     sent = F.col("send_date")
     in_interval = (F.col("since") <= sent) & (F.col("until").isNull() | (F.col("until") > sent))
     plan_fits = (F.col("segment") != "starter_growth") | F.col("plan").isin(UPSELL_PLANS)
-    return (
-        _join_calendar(_memberships(subs, shape, active, churned, carried), keyed, ["kind", "quarter"], shape)
-        .where(in_interval & plan_fits)
-        .select("campaign_id", "send_date", "user_id", *carried)
-    )
+    rows = memberships.withColumn("_slice", _slice_of_user(slices))
+    return rows.join(keyed, ["kind", "quarter", "_slice"]).where(in_interval & plan_fits)
 
 
-def _recent_sends(calendar: DataFrame, events: DataFrame, shape: CalendarShape) -> DataFrame:
-    """Per user, the send dates that have an event of theirs in the 30 days ending there.
+def _recent_days(events: DataFrame, reach: tuple[Column, Column]) -> DataFrame:
+    """Per user and quarter, the days of events that are recent on some date of the quarter.
 
-    Whether a user was recently active depends on the date alone, so both the
-    broadcast side and the set of one user are bounded by the days of the calendar,
-    however many campaigns, users or events there are.
+    A user's events of a day are one row before anything else happens; such a row matters for the
+    quarter of its day and, at the end of it, the next. A list holds the days of a quarter and the
+    ``LOW_ACTIVITY_DAYS`` before it, however many campaigns or events there are.
     """
-    span = LOW_ACTIVITY_DAYS - 1
-    days = F.sequence(F.date_sub("send_date", span), F.col("send_date"))
-    windows = calendar.select("send_date").distinct().select("send_date", F.explode(days).alias("event_date"))
-    oldest = F.date_sub(F.lit(shape.first), span)
-    in_reach = events.where(F.col("event_date").between(oldest, F.lit(shape.last))).select("user_id", "event_date")
+    first, last = reach
+    span, day = LOW_ACTIVITY_DAYS - 1, F.col("event_date")
+    days = events.where((day >= F.date_sub(first, span)) & (day <= last)).select("user_id", "event_date").distinct()
+    quarters = F.array_distinct(F.array(F.trunc(day, "quarter"), F.trunc(F.date_add(day, span), "quarter")))
     return (
-        in_reach.join(F.broadcast(windows), "event_date")
-        .groupBy("user_id")
-        .agg(F.collect_set("send_date").alias("recent"))
+        days.withColumn("quarter", F.explode(quarters))
+        .groupBy("user_id", "quarter")
+        .agg(F.collect_list("event_date").alias("days"))
     )
 
 
 def campaign_audience(
-    campaigns: DataFrame,
-    subs: DataFrame,
-    events: DataFrame,
-    max_broadcast: int = MAX_BROADCAST_CAMPAIGNS,
-    shape: CalendarShape | None = None,
+    campaigns: DataFrame, subs: DataFrame, events: DataFrame, only: str | None = None
 ) -> DataFrame:
     """Each campaign with every member of its segment on its send date; a campaign
     nobody qualifies for has no row.
 
-    Users and campaigns meet on the calendar quarters a user's interval covers, not by
-    comparing every user with every campaign. Only low_activity campaigns read the
-    events; what they need of them joins users, not the much longer audience.
+    Only low_activity campaigns read the events; what they need of them joins users' quarters, not
+    the much longer audience. ``only`` says that all campaigns have this segment, so that
+    the plan leaves out the others' parts.
     """
-    shape = shape or CalendarShape.of(campaigns, max_broadcast)
     segment = F.coalesce("segment", F.lit(DEFAULT_SEGMENT))
     calendar = campaigns.where(F.col("send_date").isNotNull()).select(
         "campaign_id", "send_date", segment.alias("segment")
     )
+    reach = _reach(calendar)
     quiet = F.col("segment") == "low_activity"
-    others = shape.campaigns - shape.low_activity
     parts = []
-    if others:
-        parts.append(
-            _members(calendar.where(~quiet), subs, shape, active=others > shape.churned, churned=shape.churned > 0)
-        )
-    if shape.low_activity:
-        recent = _recent_sends(calendar.where(quiet), events, shape)
-        users = subs.join(recent, "user_id", "left")
-        active = _members(calendar.where(quiet), users, shape, active=True, churned=False, carried=("recent",))
-        parts.append(active.where(~F.coalesce(F.array_contains("recent", F.col("send_date")), F.lit(False))))
-    columns = ["campaign_id", "send_date", "user_id"]
-    if not parts:
-        return calendar.select("campaign_id", "send_date", F.lit("").alias("user_id")).where(F.lit(False))
-    return reduce(DataFrame.unionByName, [part.select(*columns) for part in parts])
-
-
-def resolve_segment(
-    segment: str,
-    campaigns: DataFrame,
-    subs: DataFrame,
-    events: DataFrame,
-    max_broadcast: int = MAX_BROADCAST_CAMPAIGNS,
-) -> DataFrame:
+    if only != "low_activity":
+        memberships = _memberships(subs, reach, active=only != "churned", churned=only in (None, "churned"))
+        parts.append(_members(calendar.where(~quiet), memberships))
+    if only in (None, "low_activity"):
+        active = _memberships(subs, reach, active=True, churned=False)
+        with_days = active.join(_recent_days(events, reach), ["user_id", "quarter"], "left")
+        sent = F.col("send_date")
+        recent = F.exists("days", lambda day: (day > F.date_sub(sent, LOW_ACTIVITY_DAYS)) & (day <= sent))
+        parts.append(_members(calendar.where(quiet), with_days).where(~F.coalesce(recent, F.lit(False))))
+    return reduce(DataFrame.unionByName, [part.select("campaign_id", "send_date", "user_id") for part in parts])
+
+
+def resolve_segment(segment: str, campaigns: DataFrame, subs: DataFrame, events: DataFrame) -> DataFrame:
     """Members of one segment on each campaign's send date, whatever segment the
     campaign itself names. An unknown segment means everyone active."""
-    return campaign_audience(campaigns.withColumn("segment", F.lit(segment)), subs, events, max_broadcast)
+    return campaign_audience(campaigns.withColumn("segment", F.lit(segment)), subs, events, only=segment)
 
 
 def cap_audience(audience: DataFrame, cap: int = AUDIENCE_CAP) -> DataFrame:
     """At most ``cap`` users of each campaign, the same ones on every run: those with
     the smallest digest of campaign and user.
 
-    Each campaign is first cut within salted slices, so that the final cut of even a
+    Each campaign is first cut within slices of users, so that the final cut of even a
     campaign to all users sees no more than ``cap`` rows per slice.
     """
-    order = ["_digest", "user_id"]
-    sliced = Window.partitionBy("campaign_id", "_salt").orderBy(*order)
+    order, slices = ["_digest", "user_id"], _slices(audience)
+    sliced = Window.partitionBy("campaign_id", "_slice").orderBy(*order)
     whole = Window.partitionBy("campaign_id").orderBy(*order)
     return (
-        audience.withColumns({"_digest": F.md5(F.concat_ws(":", "campaign_id", "user_id")), "_salt": _salt(_CAP_SALTS)})
+        audience.withColumns({"_digest": F.md5(F.concat_ws(":", "campaign_id", "user_id")), "_slice": _slice_of_user(slices)})
         .withColumn("_rank", F.row_number().over(sliced))
         .where(F.col("_rank") <= cap)
         .withColumn("_rank", F.row_number().over(whole))
         .where(F.col("_rank") <= cap)
-        .drop("_digest", "_salt", "_rank")
+        .drop("_digest", "_slice", "_rank")
     )
 
 
 def campaign_audience_capped(
-    campaigns: DataFrame,
-    subs: DataFrame,
-    events: DataFrame,
-    cap: int = AUDIENCE_CAP,
-    max_broadcast: int = MAX_BROADCAST_CAMPAIGNS,
+    campaigns: DataFrame, subs: DataFrame, events: DataFrame, cap: int = AUDIENCE_CAP
 ) -> DataFrame:
-    return cap_audience(campaign_audience(campaigns, subs, events, max_broadcast), cap)
+    return cap_audience(campaign_audience(campaigns, subs, events), cap)
 
 
 def send_records(
-    campaigns: DataFrame,
-    subs: DataFrame,
-    events: DataFrame,
-    sends: DataFrame,
-    cap: int = AUDIENCE_CAP,
-    max_broadcast: int = MAX_BROADCAST_CAMPAIGNS,
-    max_broadcast_recipients: int = MAX_BROADCAST_RECIPIENTS,
+    campaigns: DataFrame, subs: DataFrame, events: DataFrame, sends: DataFrame, cap: int = AUDIENCE_CAP
 ) -> DataFrame:
     """One record per campaign and recipient, numbered through the campaigns in send
     order, with the outcomes that ``sends`` observed for the pair (false if none).
 
-    The capped audience is read three times and is small beside what it is made from,
-    so it is checkpointed.
+    Position and size of a capped audience come from windows over its at most ``cap`` rows, where the cap
+    has put them already; one row of each campaign then gives the number it begins at.
     """
-    shape = CalendarShape.of(campaigns, max_broadcast)
     pair = ["campaign_id", "user_id"]
-    recipients = checkpointed(cap_audience(campaign_audience(campaigns, subs, events, shape=shape), cap))
-
-    sizes = recipients.groupBy("campaign_id", "send_date").agg(F.count("*").alias("size"))
-    offsets = running_total(
-        sizes,
-        F.col("size"),
-        order=["send_date", "campaign_id"],
-        name="last_number",
-    ).select("campaign_id", (F.col("last_number") - F.col("size")).alias("before"))
-    position = F.row_number().over(Window.partitionBy("campaign_id").orderBy("user_id"))
-    numbered = recipients.withColumn("position", position).join(offsets, "campaign_id")
-
+    campaign = Window.partitionBy("campaign_id")
+    recipients = campaign_audience_capped(campaigns, subs, events, cap).withColumns(
+        {"position": F.row_number().over(campaign.orderBy("user_id")), "size": F.count("*").over(campaign)}
+    )
+    sizes = recipients.where("position = 1").select("campaign_id", "send_date", "size")
+    offsets = running_total(sizes, F.col("size"), day="send_date", key="campaign_id", name="last_number").select(
+        "campaign_id", (F.col("last_number") - F.col("size")).alias("before")
+    )
     flags = ["opened", "clicked", "replied", "unsubscribed"]
-    wanted = recipients.select(*pair)
-    observed = sends.select(*pair, *flags)
-    any_of = [F.bool_or(flag).alias(flag) for flag in flags]
-    if shape.campaigns * cap <= max_broadcast_recipients:
-        outcomes = observed.join(F.broadcast(wanted), pair, "left_semi").groupBy(*pair).agg(*any_of)
-    else:
-        outcomes = observed.groupBy(*pair).agg(*any_of)
-    return numbered.join(outcomes, pair, "left").select(
-        F.format_string("snd_%06d", F.col("before") + F.col("position")).alias("send_id"),
-        "campaign_id",
-        "user_id",
-        "send_date",
-        *[F.coalesce(flag, F.lit(False)).alias(flag) for flag in flags],
+    outcomes = sends.groupBy(*pair).agg(*[F.bool_or(flag).alias(flag) for flag in flags])
+    return (
+        recipients.join(offsets, "campaign_id")
+        .join(outcomes, pair, "left")
+        .select(
+            F.format_string("snd_%06d", F.col("before") + F.col("position")).alias("send_id"),
+            "campaign_id",
+            "user_id",
+            "send_date",
+            *[F.coalesce(flag, F.lit(False)).alias(flag) for flag in flags],
+        )
     )
 
 

@@ -11,6 +11,9 @@ from subtide.domain import DECLINE_PHASE_END, NORMAL_PHASE_END
 from subtide.functions.dates import as_of_or_today, days_between, month_start
 from subtide.functions.numbers import ratio, round_as_printed, round_half_even
 
+# Parts into which the events of one user are dealt.
+_SLICES = 32
+
 
 def _churned() -> Column:
     return F.col("status") == "churned"
@@ -113,10 +116,15 @@ def _events_per_user(events: DataFrame) -> DataFrame:
     )
 
 
+def _one_per_user(subs: DataFrame, column: str) -> DataFrame:
+    """One value of each user: a subscription that is there twice does not count events twice."""
+    return subs.where(F.col(column).isNotNull()).groupBy("user_id").agg(F.min(column).alias(column))
+
+
 def events_by_plan(events: DataFrame, subs: DataFrame) -> DataFrame:
     return (
         _events_per_user(events)
-        .join(subs.where(F.col("plan").isNotNull()).select("user_id", "plan"), "user_id")
+        .join(_one_per_user(subs, "plan"), "user_id")
         .groupBy("plan")
         .agg(F.sum("events").alias("total_events"), F.count("*").alias("unique_users"))
         .withColumn(
@@ -130,7 +138,7 @@ def avg_events_per_user_by_status(events: DataFrame, subs: DataFrame) -> DataFra
     """Mean events of the users that have any, by subscription status."""
     return (
         _events_per_user(events)
-        .join(subs.where(F.col("status").isNotNull()).select("user_id", "status"), "user_id")
+        .join(_one_per_user(subs, "status"), "user_id")
         .groupBy("status")
         .agg(round_half_even(F.avg("n"), 1).alias("avg_events_per_user"))
         .orderBy("status")
@@ -156,11 +164,13 @@ def decay_phases(events: DataFrame, subs: DataFrame) -> DataFrame:
     lives = subs.where(_churned() & F.col("signup_date").isNotNull() & F.col("churn_date").isNotNull()).select(
         "user_id", phase_end(NORMAL_PHASE_END).alias("normal_end"), phase_end(DECLINE_PHASE_END).alias("decline_end")
     )
-    per_day = (
-        events.where(F.col("event_date").isNotNull())
-        .groupBy("user_id", "event_date")
-        .agg(F.count("*").alias("n"))
-    )
+    # Only churned users' events are summed. The users meet them in slices, so a user with very many
+    # events is split until the sums per day have made them few.
+    dealt = events.where(F.col("event_date").isNotNull()).withColumn("_slice", F.pmod(F.xxhash64("event_id"), F.lit(_SLICES)))
+    slices = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SLICES - 1).cast("long")))
+    churned_users = lives.select("user_id", slices.alias("_slice"))
+    of_churned = dealt.join(churned_users, ["user_id", "_slice"], "left_semi")
+    per_day = of_churned.groupBy("user_id", "event_date").agg(F.count("*").alias("n"))
     n, day = F.col("n"), F.col("event_date")
     normal, silent = day <= F.col("normal_end"), day > F.col("decline_end")
     phases = per_day.join(lives, "user_id").agg(

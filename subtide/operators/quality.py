@@ -35,14 +35,11 @@ def _key_and_row_checks(df: DataFrame, table: str, key: str, repeated: str, row_
     return _rows(per_key.agg(*[F.sum(name).alias(name) for name in checks]), table, checks)
 
 
-def _row_checks(df: DataFrame, table: str, rules: dict[str, Column]) -> DataFrame:
-    """Rows that break a same-row rule, without a shuffle. For a large table whose rules
-    do not read its key: no column is read twice, and the key is shuffled alone."""
-    return _rows(df.agg(*[F.count_if(rule).alias(name) for name, rule in rules.items()]), table, list(rules))
-
-
-def _presence(child: DataFrame, parents: dict[str, tuple[str, DataFrame]]) -> DataFrame:
-    """Per foreign key value: rows in ``child`` and rows in the parent table.
+def _presence(
+    child: DataFrame, parents: dict[str, tuple[str, DataFrame]], rules: dict[str, Column] | None = None
+) -> DataFrame:
+    """Per foreign key value: rows in ``child`` and rows in the parent table, and the child rows that break
+    each of the ``rules``, counted with the first reference alone.
 
     ``parents`` maps a label to (child column, parent table with that column). Values are counted
     map-side on both sides and meet in one shuffle, so a value that most rows share
@@ -50,18 +47,24 @@ def _presence(child: DataFrame, parents: dict[str, tuple[str, DataFrame]]) -> Da
     """
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
 
-    def entry(label: str, column: str) -> Column:
-        return F.struct(F.lit(label).alias("reference"), F.col(column).cast("string").alias("value"))
+    def entry(label: str, column: str) -> list[Column]:
+        return [F.lit(label).alias("reference"), F.col(column).cast("string").alias("value")]
 
-    keys = [entry(label, column) for label, (column, _) in parents.items()]
-    sides = [child.select(F.inline(F.array(*keys))).select("*", one.alias("in_child"), none.alias("in_parent"))]
+    rules = rules or {}
+    broken = {name: F.coalesce(rule.cast("long"), none) for name, rule in rules.items()}
+    references = []
+    for k, (label, (column, _)) in enumerate(parents.items()):
+        counted = [(value if k == 0 else none).alias(name) for name, value in broken.items()]
+        references.append(F.struct(*entry(label, column), one.alias("in_child"), none.alias("in_parent"), *counted))
+    sides = [child.select(F.inline(F.array(*references)))]
     for label, (column, parent) in parents.items():
-        known = parent.where(F.col(column).isNotNull()).select(F.inline(F.array(entry(label, column))))
-        sides.append(known.select("*", none.alias("in_child"), one.alias("in_parent")))
+        known = parent.where(F.col(column).isNotNull()).select(*entry(label, column))
+        sides.append(known.select("*", none.alias("in_child"), one.alias("in_parent"), *[none.alias(n) for n in rules]))
+    counts = ["in_child", "in_parent", *rules]
     return (
         reduce(DataFrame.unionByName, sides)
         .groupBy("reference", "value")
-        .agg(F.sum("in_child").alias("in_child"), F.sum("in_parent").alias("in_parent"))
+        .agg(*[F.sum(name).alias(name) for name in counts])
     )
 
 
@@ -135,26 +138,20 @@ def quality_campaigns(
     calendar = _key_and_row_checks(campaigns, "email_campaigns", "campaign_id", "duplicate_campaign_ids", {})
     opened = F.coalesce("opened", F.lit(False))
     keys = _key_and_row_checks(sends, "email_sends", "send_id", "duplicate_send_ids", {})
-    own = _row_checks(
-        sends,
-        "email_sends",
-        {
-            "clicked_without_open": F.col("clicked") & ~opened,
-            "replied_without_open": F.col("replied") & ~opened,
-            "future_send_dates": F.col("send_date") > F.lit(as_of_or_today(as_of)),
-        },
-    )
-    references = _presence(sends, {"campaign": ("campaign_id", campaigns), "user": ("user_id", subs)})
+    rules = {
+        "clicked_without_open": F.col("clicked") & ~opened,
+        "replied_without_open": F.col("replied") & ~opened,
+        "future_send_dates": F.col("send_date") > F.lit(as_of_or_today(as_of)),
+    }
+    references = _presence(sends, {"campaign": ("campaign_id", campaigns), "user": ("user_id", subs)}, rules)
     orphans = F.when(F.col("in_parent") == 0, F.col("in_child"))
     unknown = references.agg(
         F.sum(F.when(F.col("reference") == "campaign", orphans)).alias("unknown_campaigns"),
         F.sum(F.when(F.col("reference") == "user", orphans)).alias("unknown_users"),
+        *[F.sum(name).alias(name) for name in rules],
     )
-    return (
-        calendar.unionByName(keys)
-        .unionByName(own)
-        .unionByName(_rows(unknown, "email_sends", ["unknown_campaigns", "unknown_users"]))
-    )
+    own = _rows(unknown, "email_sends", [*rules, "unknown_campaigns", "unknown_users"])
+    return calendar.unionByName(keys).unionByName(own)
 
 
 def assert_quality(checks: DataFrame) -> None:

@@ -43,6 +43,11 @@ def _printed(value: str, places: int) -> str:
     return f"CAST(printf('%.{places}f', CAST({value} AS DOUBLE)) AS DOUBLE)"
 
 
+def _padded(number: str, digits: int) -> str:
+    text = f"CAST({number} AS VARCHAR)"
+    return f"lpad({text}, CAST(greatest({digits}, length({text})) AS INTEGER), '0')"
+
+
 # --- the five tables -------------------------------------------------------------
 
 _LIVES = """
@@ -67,7 +72,7 @@ _SUBSCRIPTIONS = f"""
          datediff('day', first_day, {AS_OF}) AS account_age_days,
          {_list(ACQUISITION_CHANNELS)}[c_nationkey % 5 + 1] AS acquisition_channel
   FROM (
-    SELECT 'usr_' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS user_id, c_name AS company_name, {_PLAN} AS plan,
+    SELECT 'usr_' || {_padded("c_custkey", 8)} AS user_id, c_name AS company_name, {_PLAN} AS plan,
            first_day, last_day, last_day < DATE '2000-08-02' AND last_day > first_day AS gone,
            c_nationkey, payment_failures, n_name AS country, c_mktsegment AS industry
     FROM customer JOIN ({_LIVES}) lives ON c_custkey = o_custkey
@@ -78,7 +83,7 @@ _SUBSCRIPTIONS = f"""
 
 def _events(table: str, key: str, user: str, kind: str, moment: str) -> str:
     return f"""
-  SELECT CAST({key} AS VARCHAR) AS event_id, 'usr_' || lpad(CAST({user} AS VARCHAR), 8, '0') AS user_id,
+  SELECT CAST({key} AS VARCHAR) AS event_id, 'usr_' || {_padded(user, 8)} AS user_id,
          {kind} AS event_name, CAST({moment} AS DATE) AS event_date,
          CASE WHEN {key} % 100 < 78 THEN 'web' ELSE 'mobile' END AS platform,
          'ses_' || {user} || '_' || CAST({moment} AS DATE) AS session_id
@@ -95,7 +100,7 @@ _LOSS = " ".join(
 )
 
 _LEADS = f"""
-  SELECT lead_id, CASE WHEN rn = 1 THEN 'usr_' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') END AS user_id,
+  SELECT lead_id, CASE WHEN rn = 1 THEN 'usr_' || {_padded("o_custkey", 8)} END AS user_id,
          'first' AS first_name, 'last' AS last_name, c_name AS company, lead_id || '@example.com' AS email,
          c_mktsegment AS industry, {_list(COMPANY_SIZES)}[o_orderkey % 5 + 1] AS company_size,
          CASE WHEN b < 12 THEN 'referral' WHEN b < 30 THEN 'inbound' WHEN b < 52 THEN 'linkedin'
@@ -122,7 +127,7 @@ def _campaigns(table: str, key: str, digits: int, title: str, day: str) -> str:
   SELECT campaign_id, campaign_name, campaign_type,
          {_case("campaign_type", CAMPAIGN_SEGMENTS, "'all_active'")} AS segment, send_date, subject_line
   FROM (
-    SELECT 'cmp_' || lpad(CAST({key} + 1 AS VARCHAR), {digits}, '0') AS campaign_id, {title} AS campaign_name,
+    SELECT 'cmp_' || {_padded(f"{key} + 1", digits)} AS campaign_id, {title} AS campaign_name,
            ['newsletter', 'promo', 'upsell', 're_engagement', 'winback'][{key} % 5 + 1] AS campaign_type,
            CAST({day} AS DATE) AS send_date, {title} AS subject_line
     FROM {table}
@@ -133,10 +138,10 @@ def _campaigns(table: str, key: str, digits: int, title: str, day: str) -> str:
 _EMAIL_CAMPAIGNS = _campaigns("nation", "n_nationkey", 3, "n_name", "DATE '1995-06-30' + 90 * n_nationkey")
 _ORDER_CAMPAIGNS = _campaigns("orders", "o_orderkey", 10, "o_orderpriority", "o_orderdate")
 
-_EMAIL_SENDS = """
+_EMAIL_SENDS = f"""
   SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS send_id,
-         'cmp_' || lpad(CAST(l_orderkey % 25 + 1 AS VARCHAR), 3, '0') AS campaign_id,
-         'usr_' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS user_id,
+         'cmp_' || {_padded("l_orderkey % 25 + 1", 3)} AS campaign_id,
+         'usr_' || {_padded("o_custkey", 8)} AS user_id,
          CAST(DATE '1995-06-30' + CAST(90 * (l_orderkey % 25) AS INTEGER) AS DATE) AS send_date,
          l_returnflag <> 'N' AS opened,
          l_returnflag <> 'N' AND l_linestatus = 'F' AS clicked,

@@ -25,6 +25,9 @@ CHURN_BEFORE = AS_OF - dt.timedelta(days=365)
 _SOURCE_BOUNDS = {"referral": 12, "inbound": 30, "linkedin": 52, "cold_email": 82, "cold_call": 92, "paid_ad": 100}
 
 
+# Any non-negative long has at most so many digits.
+_KEY_DIGITS = 19
+
 # The columns read here; given, so that no job opens a file to find them.
 _STAR_SCHEMAS = {
     "nation": "n_nationkey int, n_name string",
@@ -41,8 +44,14 @@ def star_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_STAR_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _padded(number: Column, digits: int) -> Column:
+    """At least so many digits; a longer number stays whole."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.lit(digits), F.length(text)), F.lit("0"))
+
+
 def user_id_of(key: Column | str) -> Column:
-    return F.concat(F.lit("usr_"), F.lpad(F.col(key) if isinstance(key, str) else key, 8, "0"))
+    return F.concat(F.lit("usr_"), _padded(F.col(key) if isinstance(key, str) else key, 8))
 
 
 def _pick(values: list[str], position: Column) -> Column:
@@ -126,13 +135,14 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = star_table(spark, sf_dir, "orders").withColumn("ordered", F.col("o_orderdate").cast("date"))
-    # Day above, order key below in one long: a minimum that hash aggregation can keep,
-    # where a minimum over a struct would sort all orders. Keys must fit 48 bits.
-    day_and_key = F.shiftleft(F.unix_date("ordered").cast("long"), 48).bitwiseOR(F.col("o_orderkey"))
+    # Day above, order key below in one decimal that holds any of both: a minimum that hash
+    # aggregation can keep, where a minimum over a struct would sort all orders.
+    above = F.lit(str(10**_KEY_DIGITS)).cast("decimal(20,0)")
+    day_and_key = F.unix_date("ordered").cast("decimal(10,0)") * above + F.col("o_orderkey").cast("decimal(19,0)")
     first_orders = (
         orders.groupBy("o_custkey")
         .agg(F.min(day_and_key).alias("first"))
-        .select(F.col("first").bitwiseAND(F.lit((1 << 48) - 1)).alias("first_key"))
+        .select(F.pmod("first", above).cast("long").alias("first_key"))
     )
     customers = (
         star_table(spark, sf_dir, "customer")
@@ -189,7 +199,7 @@ _CAMPAIGN_TYPES = ["newsletter", "promo", "upsell", "re_engagement", "winback"]
 
 
 def _campaign_id(number: Column, digits: int) -> Column:
-    return F.concat(F.lit("cmp_"), F.lpad(number.cast("string"), digits, "0"))
+    return F.concat(F.lit("cmp_"), _padded(number, digits))
 
 
 def _campaign_day(number: Column) -> Column:

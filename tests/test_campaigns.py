@@ -6,7 +6,6 @@ import pytest
 from tables import D, rows, table
 
 from subtide.operators.campaigns import (
-    CalendarShape,
     campaign_audience,
     campaign_audience_capped,
     campaign_labels,
@@ -48,11 +47,19 @@ def calendar(spark, *campaigns):
     )
 
 
+def joined_by(spark, broadcast, request):
+    """Let Spark broadcast small sides, or not, until the test ends."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, before if broadcast else "-1")
+    request.addfinalizer(lambda: spark.conf.set(key, before))
+
+
 def members(df):
     return sorted(r["user_id"] for r in df.collect())
 
 
-@pytest.mark.parametrize("max_broadcast", [100, 0])
+@pytest.mark.parametrize("broadcast", [True, False])
 @pytest.mark.parametrize(
     "segment, expected",
     [
@@ -63,10 +70,11 @@ def members(df):
         ("churned", ["backwards", "gone_on_day"]),
     ],
 )
-def test_segment_members(spark, segment, expected, max_broadcast):
+def test_segment_members(spark, segment, expected, broadcast, request):
+    joined_by(spark, broadcast, request)
     campaigns = calendar(spark, ("c1", "ignored", SEND))
     result = resolve_segment(
-        segment, campaigns, table(spark, "subscriptions", SUBS), table(spark, "product_events", EVENTS), max_broadcast
+        segment, campaigns, table(spark, "subscriptions", SUBS), table(spark, "product_events", EVENTS)
     )
     assert members(result) == expected
 
@@ -111,9 +119,10 @@ def reference_segment(segment, day, subs, events):
     return {s["user_id"] for s in active}
 
 
-@pytest.mark.parametrize("max_broadcast", [100, 0])
+@pytest.mark.parametrize("broadcast", [True, False])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_random_audiences(spark, seed, max_broadcast):
+def test_random_audiences(spark, seed, broadcast, request):
+    joined_by(spark, broadcast, request)
     rng = random.Random(seed)
     start = dt.date(2023, 1, 1)
 
@@ -144,7 +153,6 @@ def test_random_audiences(spark, seed, max_broadcast):
         calendar(spark, *campaigns),
         table(spark, "subscriptions", subs),
         table(spark, "product_events", events),
-        max_broadcast,
     )
     expected = sorted(
         (cid, D(sent), user) for cid, segment, sent in campaigns for user in reference_segment(segment, D(sent), subs, events)
@@ -163,14 +171,6 @@ def test_segments_nest(spark):
     assert not found["churned"] & found["all_active"]
 
 
-def test_calendar_shape(spark):
-    shape = CalendarShape.of(
-        calendar(spark, ("a", "churned", "2024-02-01"), ("b", "low_activity", "2024-01-01"), ("c", "x", None)), 1
-    )
-    assert (shape.campaigns, shape.low_activity, shape.churned) == (2, 1, 1)
-    assert (shape.first, shape.last, shape.broadcastable) == (D("2024-01-01"), D("2024-02-01"), False)
-
-
 def audience(spark, sizes):
     pairs = [(c, D(SEND), f"usr_{i:04d}") for c, n in sizes.items() for i in range(n)]
     return spark.createDataFrame(pairs, "campaign_id string, send_date date, user_id string")
@@ -191,8 +191,9 @@ def test_cap_does_not_depend_on_the_partitioning(spark):
     assert sorted(rows(cap_audience(everyone.repartition(7), 25))) == sorted(rows(cap_audience(everyone.coalesce(1), 25)))
 
 
-@pytest.mark.parametrize("limits", [(100, 1000), (0, 0)])
-def test_send_records(spark, limits):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_send_records(spark, broadcast, request):
+    joined_by(spark, broadcast, request)
     campaigns = calendar(
         spark, ("cmp_1", "all_active", "2024-07-05"), ("cmp_2", "churned", SEND), ("cmp_3", "churned", "2020-01-01")
     )
@@ -210,8 +211,6 @@ def test_send_records(spark, limits):
         table(spark, "subscriptions", SUBS),
         table(spark, "product_events", EVENTS),
         sends,
-        max_broadcast=limits[0],
-        max_broadcast_recipients=limits[1],
     )
     found = sorted(rows(result))
     assert found[:2] == [
@@ -271,3 +270,28 @@ def test_performance_rounds_half_to_even(spark):
     sends = table(spark, "email_sends", sends)
     assert rows(campaign_performance(sends, campaigns)) == [("promo", 400, 0.502, 0.0, 0.002, 0.0)]
     assert rows(send_overview(sends)) == [(401, 50.1, 0.2)]
+
+
+def test_unknown_types_are_titled_like_words(spark):
+    campaigns = calendar(spark, *[(f"c{k}", "all_active", SEND) for k in range(4)])
+    kinds = ["flash-sale", "q4promo", "BLACK_friday", "été!now"]
+    rows_ = [(r["campaign_id"], kinds[k], r["send_date"]) for k, r in enumerate(sorted(campaigns.collect()))]
+    labels = campaign_labels(spark.createDataFrame(rows_, "campaign_id string, campaign_type string, send_date date"))
+    titles = {r["campaign_type"]: r["campaign_name"].split(" #")[0] for r in labels.collect()}
+    assert titles == {kind: kind.title() for kind in kinds}
+
+
+def test_daily_sends_do_not_multiply_activity(spark):
+    """A year of daily low_activity sends: what meets the memberships is at most two rows per user and day."""
+    from subtide.operators.campaigns import _reach, _recent_days
+
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=k) for k in range(366)]
+    campaigns = calendar(spark, *[(f"c{k:03d}", "low_activity", d.isoformat()) for k, d in enumerate(days)])
+    events = [{"event_id": str(k), "user_id": f"u{k % 5}", "event_date": days[(k * 7) % 366].isoformat()} for k in range(4000)]
+    table_ = table(spark, "product_events", events)
+    user_days = len({(e["user_id"], e["event_date"]) for e in events})
+    found = _recent_days(table_, _reach(campaigns)).collect()
+    assert sum(len(r["days"]) for r in found) <= 2 * user_days
+    assert max(len(r["days"]) for r in found) <= 92 + 30
+    quarters = {(r["user_id"], r["quarter"]) for r in found}
+    assert len(quarters) == len(found) <= user_days

@@ -4,6 +4,8 @@ import pytest
 from oracle_check import TEST_DATA, connect, oracle_result, spark_result, type_differences
 
 import __spark_entry__ as entry_points
+from subtide.plans.oracles import ORACLES
+from subtide.plans.registry import QUERIES
 
 SF_DIR = f"{TEST_DATA}/sf0.01"
 
@@ -14,13 +16,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = entry_points.queries()[name](spark, SF_DIR)
-    sql = entry_points.oracle_sql()[name]
+    df = QUERIES[name](spark, SF_DIR)
+    sql = ORACLES[name]
     assert type_differences(con, df, sql) == []
     found, wanted = spark_result(df), oracle_result(con, sql)
     assert found == wanted

@@ -97,3 +97,12 @@ def test_table_profile_and_account_age(spark):
     assert rows(profile.table_profile("subs", subs.select("user_id"))) == [("subs", 4, "user_id", None, None)]
     ages = rows(profile.account_age_days(subs, D("2024-03-02")))
     assert [r[2] for r in ages] == [61, 31, 1, None]
+
+
+def test_a_doubled_subscription_counts_events_once(spark):
+    from subtide.operators.profile import avg_events_per_user_by_status, events_by_plan
+
+    subs = table(spark, "subscriptions", [{"user_id": "u1", "plan": "pro", "status": "active"}] * 2)
+    events = table(spark, "product_events", [{"event_id": str(k), "user_id": "u1"} for k in range(2)])
+    assert rows(events_by_plan(events, subs)) == [("pro", 2, 1, 2.0)]
+    assert rows(avg_events_per_user_by_status(events, subs)) == [("active", 2.0)]

@@ -1,22 +1,25 @@
 import random
+import string
 
 import pytest
 from pyspark.sql import functions as F
 
-from subtide.functions.running import running_total
+from subtide.functions.running import LEADING, running_total
 
 
 @pytest.mark.parametrize("within", [(), ("kind",)])
-def test_running_total_over_clustered_values(spark, within):
+@pytest.mark.parametrize("width", [3, 14])
+def test_running_total_over_clustered_values(spark, within, width):
     rng = random.Random(3)
     # Two thirds of the rows share one day and one kind; some have no kind.
+    keys = rng.sample(range(10**3), 600) if width == 3 else rng.sample(range(10**6), 600)
     rows = [
-        (i, 5 if i % 3 else rng.randrange(10), "hot" if i % 3 else rng.choice(["a", "b", None]), rng.randrange(4))
-        for i in range(600)
+        (f"k{k:0{width}d}" + rng.choice(["", "x"]), 5 if i % 3 else rng.randrange(10), "hot" if i % 3 else rng.choice(["a", "b", None]), rng.randrange(4))
+        for i, k in enumerate(keys)
     ]
     rng.shuffle(rows)
-    df = spark.createDataFrame(rows, "id bigint, day int, kind string, amount bigint").repartition(5)
-    result = running_total(df, F.col("amount"), ["day", "id"], within, "so_far")
+    df = spark.createDataFrame(rows, "id string, day int, kind string, amount bigint").repartition(5)
+    result = running_total(df, F.col("amount"), "day", "id", within, "so_far")
     assert result.columns == ["id", "day", "kind", "amount", "so_far"]
     expected, totals = {}, {}
     for i, _, kind, amount in sorted(rows, key=lambda r: (r[1], r[0])):
@@ -24,3 +27,19 @@ def test_running_total_over_clustered_values(spark, within):
         totals[group] = totals.get(group, 0) + amount
         expected[i] = totals[group]
     assert {r["id"]: r["so_far"] for r in result.collect()} == expected
+
+
+def test_keys_of_any_length_keep_their_order(spark):
+    rng = random.Random(4)
+    rows = list({("".join(rng.choices(string.ascii_letters[:5], k=rng.randint(1, 2 * LEADING))), None if k % 9 == 0 else k % 2) for k in range(300)})
+    result = running_total(spark.createDataFrame(rows, "id string, day int"), F.lit(1), "day", "id")
+    ordered = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    found = {(r["id"], r["day"]): r["running_total"] for r in result.collect()}
+    assert found == {row: n for n, row in enumerate(ordered, start=1)}
+
+
+def test_a_day_with_most_rows_is_split(spark):
+    rows = spark.range(30_000).selectExpr("concat('cmp_', lpad(id, 10, '0')) AS id", "CASE WHEN id % 3 = 0 THEN 1 ELSE id % 50 END AS day")
+    sizes = rows.groupBy("day", F.substring("id", 1, LEADING)).count().agg(F.max("count")).first()[0]
+    assert sizes <= 1_000
+    assert running_total(rows, F.lit(1), "day", "id").agg(F.max("running_total")).first()[0] == 30_000

@@ -5,7 +5,8 @@ import duckdb
 import pytest
 from oracle_check import TEST_DATA, connect, oracle_result, spark_result
 
-import __spark_entry__ as entry_points
+from subtide.plans.oracles import ORACLES
+from subtide.plans.registry import QUERIES
 
 HOT = {
     "orders": "o_custkey: CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END",
@@ -35,7 +36,7 @@ def con(skewed):
     return connect(skewed)
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_oracle_on_skewed_tables(spark, skewed, con, name):
-    found = spark_result(entry_points.queries()[name](spark, skewed))
-    assert found == oracle_result(con, entry_points.oracle_sql()[name])
+    found = spark_result(QUERIES[name](spark, skewed))
+    assert found == oracle_result(con, ORACLES[name])
