@@ -1,4 +1,8 @@
-"""``python -m subtide mrr data/ --format csv``: show one report over a folder of tables."""
+"""``python -m subtide mrr data/ --format csv``: show one report over a folder of tables.
+
+``python -m subtide write_checked data/ --output out/ --tables leads --sort-by leads=created_date,lead_id`` copies
+tables whose quality checks pass.
+"""
 
 from __future__ import annotations
 
@@ -7,33 +11,44 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from subtide.plans.reports import REPORTS, run_report
+from subtide.plans.reports import CHECKS, REPORTS, run_report, write_checked_tables
 from subtide.session import SETTINGS
 
-
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="subtide", description="Subscription analytics reports.")
-    parser.add_argument("report", choices=sorted(REPORTS))
+    parser.add_argument("report", choices=[*sorted(REPORTS), "write_checked"])
     parser.add_argument("data", help="folder with the tables")
     parser.add_argument("--format", choices=["csv", "parquet"], default="parquet")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="report date (default: today)")
-    parser.add_argument("--rows", type=int, default=1000, help="rows to show")
-    parser.add_argument("--output", help="write the result to this folder as CSV instead of showing it")
+    parser.add_argument("--rows", type=int, help="show only so many rows (default: all)")
+    parser.add_argument("--output", help="write to this folder instead of showing: a report as CSV, checked tables as Parquet")
+    parser.add_argument("--multi-line", action="store_true", help="CSV fields may hold line breaks")
+    parser.add_argument("--bad-values", choices=["fail", "null"], default="fail", help="CSV values that do not fit their column")
+    parser.add_argument("--tables", nargs="+", choices=list(CHECKS), help="what write_checked copies (default: all)")
+    parser.add_argument("--sort-by", nargs="+", default=[], metavar="TABLE=COLUMN,...", help="order of the rows that write_checked writes")
     options = parser.parse_args(arguments)
+    if options.report == "write_checked" and not options.output:
+        parser.error("write_checked needs --output")
 
     builder = SparkSession.builder.appName("subtide")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    result = run_report(options.report, spark, options.data, options.format, options.as_of)
+    reading = {"multi_line": options.multi_line, "bad_values": options.bad_values}
+    if options.report == "write_checked":
+        sort_by = {table: columns.split(",") for table, _, columns in (entry.partition("=") for entry in options.sort_by)}
+        for path in write_checked_tables(spark, options.data, options.output, options.tables, sort_by, options.as_of, options.format, **reading):
+            print(path)
+        return
+    result = run_report(options.report, spark, options.data, options.format, options.as_of, **reading)
     if options.output:
         result.write.mode("overwrite").option("header", True).csv(options.output)
     else:
-        result = result.persist()
         print(options.report.upper())
+        if options.rows is None:  # everything ends on the screen, so it may as well be computed once and brought here
+            rows = result.collect()
+            result, options.rows = spark.createDataFrame(rows, result.schema), len(rows)
         result.show(options.rows, truncate=False)
-        print(f"{result.count()} rows")
-        result.unpersist()
 
 
 if __name__ == "__main__":

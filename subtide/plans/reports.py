@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +15,19 @@ from subtide.sources.tables import load_tables, write_table
 
 SUBS, EVENTS, LEADS, CALENDAR, SENDS = "subscriptions", "product_events", "leads", "email_campaigns", "email_sends"
 
+
+def _segment(name: str) -> Callable[..., DataFrame]:
+    return partial(campaigns.resolve_segment, name)
+
+
+def _table_profiles(*tables: DataFrame) -> DataFrame:
+    dated = {SUBS: None, EVENTS: "event_date", LEADS: "created_date", CALENDAR: "send_date", SENDS: "send_date"}
+    each = [profile.table_profile(name, df, date) for (name, date), df in zip(dated.items(), tables, strict=True)]
+    return reduce(DataFrame.unionByName, each)
+
+
+_AUDIENCE = [CALENDAR, SUBS, EVENTS]
+
 # name -> (operator, its tables in order, whether it takes the as-of date)
 REPORTS: dict[str, tuple[Callable[..., DataFrame], list[str], bool]] = {
     "wau": (wau.weekly_active_users, [EVENTS], False),
@@ -30,10 +44,13 @@ REPORTS: dict[str, tuple[Callable[..., DataFrame], list[str], bool]] = {
     "time_to_convert": (funnel.time_to_convert, [LEADS, SUBS], False),
     "audience": (campaigns.campaign_audience, [CALENDAR, SUBS, EVENTS], False),
     "audience_capped": (campaigns.campaign_audience_capped, [CALENDAR, SUBS, EVENTS], False),
+    **{f"segment_{name}": (_segment(name), _AUDIENCE, False) for name in ("all_active", "starter_growth", "low_activity", "churned")},
     "campaign_segments": (campaigns.campaign_segments, [CALENDAR], False),
     "campaign_labels": (campaigns.campaign_labels, [CALENDAR], False),
     "send_records": (campaigns.send_records, [CALENDAR, SUBS, EVENTS, SENDS], False),
     "campaign_performance": (campaigns.campaign_performance, [SENDS, CALENDAR], False),
+    "campaign_type_mix": (partial(profile.frequency, column="campaign_type", count="campaigns"), [CALENDAR], False),
+    "table_profile": (_table_profiles, [SUBS, EVENTS, LEADS, CALENDAR, SENDS], False),
     "campaign_calendar_overview": (campaigns.campaign_calendar_overview, [CALENDAR], False),
     "send_overview": (campaigns.send_overview, [SENDS], False),
     "plan_summary": (profile.plan_summary, [SUBS], False),
@@ -61,20 +78,55 @@ REPORTS: dict[str, tuple[Callable[..., DataFrame], list[str], bool]] = {
 
 
 def run_report(
-    name: str, spark: SparkSession, base_path: str, fmt: str = "parquet", as_of: dt.date | None = None
+    name: str,
+    spark: SparkSession,
+    base_path: str,
+    fmt: str = "parquet",
+    as_of: dt.date | None = None,
+    multi_line: bool = False,
+    bad_values: str = "fail",
 ) -> DataFrame:
     """The named result over the tables in ``base_path``; reads only the tables it needs."""
     if name not in REPORTS:
         raise KeyError(f"no report named {name!r}; known: {', '.join(sorted(REPORTS))}")
     operator, names, dated = REPORTS[name]
-    tables = load_tables(spark, base_path, names, fmt)
+    tables = load_tables(spark, base_path, names, fmt, multi_line=multi_line, bad_values=bad_values)
     options = {"as_of": as_of_or_today(as_of)} if dated else {}
     return operator(*[tables[n] for n in names], **options)
 
 
 def write_checked(
-    df: DataFrame, checks: DataFrame, base_path: str, name: str, fmt: str = "parquet"
+    df: DataFrame, checks: DataFrame, base_path: str, name: str, fmt: str = "parquet", sort_by: list[str] | None = None
 ) -> str:
     """Write a table only if all of its quality checks pass; raise ``ValueError`` otherwise."""
     assert_quality(checks)
-    return write_table(df, base_path, name, fmt)
+    return write_table(df, base_path, name, fmt, sort_by=sort_by)
+
+
+# Table -> the report that checks it.
+CHECKS = {
+    SUBS: "quality_subscriptions",
+    EVENTS: "quality_events",
+    LEADS: "quality_leads",
+    CALENDAR: "quality_campaigns",
+    SENDS: "quality_campaigns",
+}
+
+
+def write_checked_tables(
+    spark: SparkSession,
+    base_path: str,
+    target: str,
+    names: list[str] | None = None,
+    sort_by: dict[str, list[str]] | None = None,
+    as_of: dt.date | None = None,
+    fmt: str = "parquet",
+    target_fmt: str = "parquet",
+    **reading: bool | str,
+) -> list[str]:
+    """Copy tables to ``target``, each sorted by its ``sort_by`` columns, if the checks of all of them pass; else write none."""
+    names = names or list(CHECKS)
+    for check in dict.fromkeys(CHECKS[name] for name in names):
+        assert_quality(run_report(check, spark, base_path, fmt, as_of, **reading))
+    tables = load_tables(spark, base_path, names, fmt, **reading)
+    return [write_table(df, target, name, target_fmt, sort_by=(sort_by or {}).get(name)) for name, df in tables.items()]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from subtide.sources.schemas import SCHEMAS
 
@@ -19,33 +19,46 @@ _CSV_OPTIONS = {
 def read_csv(
     spark: SparkSession, path: str, schema: StructType, multi_line: bool = False, bad_values: str = "fail"
 ) -> DataFrame:
-    """CSV with a header and quoted fields.
+    """CSV with a header and quoted fields; columns go by their names in the header, in any
+    order, and further ones are left out.
 
     A value that does not fit the schema is an error, or missing with ``bad_values="null"``.
     Line breaks inside quotes need ``multi_line``, which stops Spark from splitting files.
     """
     mode = {"fail": "FAILFAST", "null": "PERMISSIVE"}[bad_values]
     options = _CSV_OPTIONS | {"multiLine": str(multi_line).lower(), "enforceSchema": "false", "mode": mode}
-    return spark.read.options(**options).schema(schema).csv(path)
+    header = spark.read.options(**options).csv(path).columns
+    if missing := [name for name in schema.names if name not in header]:
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    found = StructType([schema[name] if name in schema.names else StructField(name, StringType()) for name in header])
+    return spark.read.options(**options).schema(found).csv(path).select(*schema.names)
 
 
-def read_table(spark: SparkSession, base_path: str, name: str, fmt: str = "parquet") -> DataFrame:
+def read_table(
+    spark: SparkSession, base_path: str, name: str, fmt: str = "parquet", multi_line: bool = False, bad_values: str = "fail"
+) -> DataFrame:
     """One of the five tables from ``base_path``: ``<name>.csv`` or ``<name>.parquet``,
-    each either a file or a folder of part files."""
+    each either a file or a folder of part files. The last two options are ``read_csv``'s."""
     schema = SCHEMAS[name]
     path = f"{base_path.rstrip('/')}/{name}.{fmt}"
     if fmt == "csv":
-        return read_csv(spark, path, schema)
+        return read_csv(spark, path, schema, multi_line, bad_values)
     if fmt == "parquet":
         return spark.read.schema(schema).parquet(path)
     raise ValueError(f"unknown format: {fmt}")
 
 
 def load_tables(
-    spark: SparkSession, base_path: str, names: list[str] | None = None, fmt: str = "parquet", views: bool = False
+    spark: SparkSession,
+    base_path: str,
+    names: list[str] | None = None,
+    fmt: str = "parquet",
+    views: bool = False,
+    multi_line: bool = False,
+    bad_values: str = "fail",
 ) -> dict[str, DataFrame]:
     """Several tables by name; with ``views`` they are also registered for ``spark.sql``."""
-    tables = {name: read_table(spark, base_path, name, fmt) for name in names or list(SCHEMAS)}
+    tables = {name: read_table(spark, base_path, name, fmt, multi_line, bad_values) for name in names or list(SCHEMAS)}
     if views:
         for name, table in tables.items():
             table.createOrReplaceTempView(name)

@@ -46,12 +46,42 @@ def test_unknown_report(spark):
 def test_command_line(spark, folders, tmp_path, capfd):
     main(["churn_by_plan", str(folders / "csv"), "--format", "csv", "--as-of", "2001-08-02"])
     shown = capfd.readouterr().out
-    assert "CHURN_BY_PLAN" in shown and "enterprise" in shown and "4 rows" in shown
+    assert "CHURN_BY_PLAN" in shown and "enterprise" in shown
     main(["plan_mix", str(folders / "parquet"), "--output", str(tmp_path / "out")])
     lines = [line for part in (tmp_path / "out").glob("*.csv") for line in csv.reader(part.open())]
     assert ["plan", "customers"] in lines and len(lines) == 5
 
 
+def test_command_line_shows_every_row(spark, tmp_path, capfd):
+    many = [{"user_id": f"u{k:04d}", "signup_date": "2024-01-01"} for k in range(1500)]
+    write_table(table(spark, "subscriptions", many), str(tmp_path), "subscriptions")
+    main(["account_age_days", str(tmp_path), "--as-of", "2024-07-01"])
+    assert capfd.readouterr().out.count("u0") + 500 >= 1500
+    main(["account_age_days", str(tmp_path), "--as-of", "2024-07-01", "--rows", "10"])
+    assert "only showing top 10 rows" in capfd.readouterr().out
+
+
+def test_command_line_writes_checked_tables(spark, tmp_path, capfd):
+    people = [{"user_id": f"u{9 - k}", "signup_date": "2024-01-01"} for k in range(9)]
+    write_table(table(spark, "subscriptions", people), str(tmp_path / "in"), "subscriptions", "csv")
+    arguments = ["write_checked", str(tmp_path / "in"), "--format", "csv", "--output", str(tmp_path / "out"), "--as-of", "2024-07-01", "--tables", "subscriptions"]
+    main([*arguments, "--sort-by", "subscriptions=user_id"])
+    assert [r["user_id"] for r in read_table(spark, str(tmp_path / "out"), "subscriptions").collect()] == [f"u{k}" for k in range(1, 10)]
+    write_table(table(spark, "subscriptions", people + people[:1]), str(tmp_path / "in"), "subscriptions", "csv")
+    with pytest.raises(ValueError, match="duplicate_user_ids: 1"):
+        main([*arguments[:5], str(tmp_path / "other"), *arguments[6:]])
+    assert not (tmp_path / "other").exists()
+
+
+def test_lenient_and_multi_line_csv_reach_the_reports(spark, tmp_path):
+    header = "campaign_id,campaign_name,campaign_type,segment,send_date,subject_line"
+    (tmp_path / "email_campaigns.csv").write_text(f'{header}\nc1,"two\nlines",promo,x,2024-01-01,l\nc2,n,promo,x,not a date,l\n', encoding="utf-8")
+    found = run_report("campaign_calendar_overview", spark, str(tmp_path), "csv", multi_line=True, bad_values="null")
+    assert rows(found) == [(2, D("2024-01-01"), D("2024-01-01"))]
+    with pytest.raises(Exception, match="(?i)malformed|not a date"):
+        run_report("campaign_calendar_overview", spark, str(tmp_path), "csv", multi_line=True).collect()
+
+
 def test_write_checked_blocks_bad_tables(spark, tmp_path):
     good = table(spark, "subscriptions", [{"user_id": "a", "signup_date": "2024-01-01"}])
     bad = good.unionByName(good)
