@@ -115,3 +115,35 @@ def test_quality_counts(t, data):
     assert found["unknown_users"] == len(users - known)
     assert found["subscribers_without_lead"] == len(known - users)
     assert found["duplicate_lead_ids"] == len(leads) - len({lead["lead_id"] for lead in leads})
+
+
+def test_lines_of_a_hot_order_are_split(spark, tmp_path, request):
+    """Adaptive execution splits the order that has a third of all lines, given partitions small enough to show it here."""
+    import duckdb
+
+    from subtide.sources.star_tables import email_sends
+
+    con = duckdb.connect()
+    source = "/root/testdata/sf0.01"
+    con.execute(f"COPY (FROM '{source}/orders.parquet') TO '{tmp_path}/orders.parquet' (FORMAT parquet)")
+    # Several files, so that a partition has blocks of several tasks to be split by.
+    (tmp_path / "lineitem.parquet").mkdir()
+    hot = "* REPLACE (CASE WHEN l_partkey % 3 = 0 THEN 5 ELSE l_orderkey END AS l_orderkey)"
+    for k in range(8):
+        lines = f"SELECT {hot} FROM '{source}/lineitem.parquet' WHERE l_suppkey % 8 = {k}"
+        con.execute(f"COPY ({lines}) TO '{tmp_path}/lineitem.parquet/part-{k}.parquet' (FORMAT parquet)")
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.files.openCostInBytes": "128m",
+    }
+    for key, value in small.items():
+        before = spark.conf.get(key, None)
+        request.addfinalizer(lambda key=key, before=before: spark.conf.unset(key) if before is None else spark.conf.set(key, before))
+        spark.conf.set(key, value)
+    sends = email_sends(spark, str(tmp_path))
+    sends.collect()
+    assert "skew=true" in sends._jdf.queryExecution().executedPlan().toString()
