@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subtide.llm import batch
-from subtide.llm.shared import text_column
+from subtide.llm.shared import bounded, text_column
 
 SHINGLE = 5
 SCHEMA = "doc_id long, item_id long, start_word long, n_words long, hamming int, similarity double"
@@ -191,48 +191,64 @@ def _shingle_counts(rows: list[tuple[int, str]]) -> Counter:
     return counts
 
 
+def _blocks(benchmark: DataFrame, radius: int, block_chars: int) -> Iterator[Items]:
+    """The benchmark in blocks that a task can hold, one at a time on the driver."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_column("text").alias("text"))
+    total = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
+    blocks = -(-total // block_chars) or 1
+    for k in range(blocks):
+        mine = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
+        rows = [(r["item_id"], r["text"]) for r in mine.collect()]
+        yield Items(rows, max(1, len(rows)), _shingle_counts(rows), radius)
+
+
+def _matches(texts: pa.Array, block: Items, least: float) -> Iterator[tuple[int, list[tuple[int, int, int, int, float]]]]:
+    """(row, matches) for the rows that may have some."""
+    for first, data, offsets in batch.runs(texts):
+        words = batch.words(data, offsets, inside=WORD_BYTES)
+        hashes = words.hashes()
+        # Rows in which no shingle of the run is known need no closer look.
+        known = np.zeros(len(hashes) + 1, bool)
+        for n in {min(SHINGLE, s) for s in block.by_size}:
+            known[: max(0, len(hashes) - n + 1)] |= block.known.places(batch.shingle_hashes(hashes, n)) >= 0
+        for row in np.unique(np.searchsorted(words.first, np.flatnonzero(known), "right") - 1).tolist():
+            yield first + row, block.matches(hashes[words.first[row] : words.first[row + 1]], least)
+
+
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, radius: int = 20, block_chars: int = 4_000_000) -> DataFrame:
     """One row per document, item and place where a window of the item's size is similar enough.
 
     ``block_chars`` bounds the characters of items that tasks hold at a time; an item longer than that
     is a block of its own. Rarity is counted within a block.
     """
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_column("text").alias("text"))
-    total = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
-    blocks = -(-total // block_chars) or 1
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column("text").alias("text"))
+    texts = bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_column("text").alias("text"))
 
     def against(block: Items) -> DataFrame:
         def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for rows in batches:
-                out = []
-                for first, data, offsets in batch.runs(rows.column(1)):
-                    words = batch.words(data, offsets, inside=WORD_BYTES)
-                    hashes = words.hashes()
-                    # Rows in which no shingle of the run is known need no closer look.
-                    known = np.zeros(len(hashes) + 1, bool)
-                    for n in {min(SHINGLE, s) for s in block.by_size}:
-                        known[: max(0, len(hashes) - n + 1)] |= block.known.places(batch.shingle_hashes(hashes, n)) >= 0
-                    hits = np.unique(np.searchsorted(words.first, np.flatnonzero(known), "right") - 1)
-                    for row in hits.tolist():
-                        own = hashes[words.first[row] : words.first[row + 1]]
-                        doc_id = rows.column(0)[first + row].as_py()
-                        out += [(doc_id, *match) for match in block.matches(own, least)]
+                out = [(rows.column(0)[row].as_py(), *match) for row, matches in _matches(rows.column(1), block, least) for match in matches]
                 columns = list(zip(*out, strict=True)) or [()] * len(_ARROW)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW, strict=True)], schema=_ARROW)
 
         return texts.mapInArrow(found, SCHEMA)
 
-    results = []
-    for k in range(blocks):
-        mine = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        rows = [(r["item_id"], r["text"]) for r in mine.collect()]
-        results.append(against(Items(rows, max(1, len(rows)), _shingle_counts(rows), radius)))
-    return reduce(DataFrame.unionAll, results)
+    return reduce(DataFrame.unionAll, [against(block) for block in _blocks(benchmark, radius, block_chars)])
+
+
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, radius: int = 20, block_chars: int = 4_000_000) -> DataFrame:
+    """The rows of ``docs`` whose text holds no passage of the benchmark, one scan per block of items."""
+    at = docs.columns.index("text")
+
+    def clean_of(block: Items):  # noqa: ANN202
+        def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows in batches:
+                keep = np.ones(rows.num_rows, bool)
+                for row, matches in _matches(rows.column(at), block, least):
+                    keep[row] = not matches
+                yield rows.filter(pa.array(keep))
 
+        return clean
 
-def without_benchmark(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, radius: int = 20) -> DataFrame:
-    """The rows of ``docs`` whose document holds no passage of the benchmark; rows with a null doc_id stay only if no such row holds one."""
-    leaked = benchmark_matches(docs, benchmark, least, radius).select("doc_id").distinct()
-    leaked = leaked.withColumnRenamed("doc_id", "_leaked_id")
-    return docs.join(leaked, F.col("doc_id").cast("long").eqNullSafe(F.col("_leaked_id")), "left_anti")
+    for block in _blocks(benchmark, radius, block_chars):
+        docs = bounded(docs).mapInArrow(clean_of(block), docs.schema)
+    return docs

@@ -20,7 +20,8 @@ from subtide.llm.secrets import secret_scan
 from subtide.llm.shared import table
 
 
-def _tokenizer() -> str:
+def tokenizer_file() -> str:
+    """The vocabulary that the packing query and the pipeline use; operators take any."""
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
@@ -38,7 +39,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose word trigrams overlap by nine tenths."""
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +86,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 4096 tokens."""
-    return best_fit_packing(table(spark, sf_dir, "documents"), _tokenizer())
+    return best_fit_packing(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
