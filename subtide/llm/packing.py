@@ -19,7 +19,9 @@ for itself, ties go by task and place, an empty table gives no rows, other colum
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,66 +30,113 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from subtide.llm.shared import text_column, written
+from subtide.llm import batch
+from subtide.llm.shared import bounded, text_column, written
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 350_000
 
+# Letters whose lower case is one letter and whose normal form is their own, then ASCII signs that
+# begin no contraction and no special token: such a word is two pre-tokens at most, whatever stands around it.
+_PLAIN = re.compile("([a-zà-öø-ÿ]*)([!\"#$%&()*+,\\-./:;=>?@\\[\\\\\\]^_`{}~]*)")
 
-class _WordIds:
-    """Ids by white-space separated word; encoding never looks across white space."""
+
+_ALNUM = np.zeros(256, bool)
+_ALNUM[48:58] = _ALNUM[97:123] = True
+
+
+def _byte_letters() -> list[str]:
+    """The letter by which byte-level models write each byte: printable ones by themselves, the others by letters from U+0100 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256))
+    return [chr(b) if b in printable else chr(256 + next(others)) for b in range(256)]
+
+
+class _WordIds(dict):
+    """Word -> place of its ids. Encoding never looks across white space, so words are encoded once and kept.
+
+    ``plain`` says that the model's normaliser lower-cases and that letters and signs are
+    pre-tokens of their own, so that plain words may go to the model directly. It is found
+    by comparing both ways on sample words.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        added = self.tokenizer.get_added_tokens_decoder()
-        self.special = [t.content.encode() for t in added.values()]
-        self.mark_id, self.mark = next(((i, t.content) for i, t in added.items() if t.special), (None, ""))
+        self.model, self.letters, self.plain = self.tokenizer.model, _byte_letters(), True
+        self.forget()
+        samples = ["reet", "reet,", "Reet.", "élan", "straße!!", "a&&&", ".", "x(%)", "ñandú###", "ÉTÉ"]
+        self.plain = all(self._plain_ids(w) in (None, self._library_ids(w)) for w in samples)
+
+    def forget(self) -> None:
+        """Begin a new generation; words of the one before are taken over when they occur again."""
+        self.before, self.before_ids = dict(self), (self.ids, self.starts, self.lengths) if self else None
         self.clear()
+        self.ids, self.starts, self.lengths = array("I"), array("q"), array("q")
 
-    def clear(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.ids, self.starts, self.lengths = np.zeros(1 << 20, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.used = 0
-
-    def _store(self, word: bytes, ids: np.ndarray) -> None:
-        at = len(self.place)
-        if at == len(self.starts):
-            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used : self.used + len(ids)] = ids
-        self.starts[at], self.lengths[at] = self.used, len(ids)
-        self.used += len(ids)
-        self.place[word] = at
-
-    def learn(self, words: set[bytes]) -> None:
-        alone = [w for w in words if self.mark_id is None or any(s in w for s in self.special) or self.mark.encode() in w]
-        for word in alone:
-            self._store(word, np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, np.uint32))
-        rest = [w for w in words if w not in self.place]
-        for k in range(0, len(rest), 4096):
-            some = rest[k : k + 4096]
-            joined = self.mark.join([w.decode() for w in some])
-            ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, np.uint32)
-            for word, own in zip(some, np.split(ids, np.flatnonzero(ids == self.mark_id)), strict=True):
-                self._store(word, own[1:] if len(own) and own[0] == self.mark_id else own)
+    def _library_ids(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def _plain_ids(self, word: str) -> list[int] | None:
+        match = _PLAIN.fullmatch(word.lower())
+        if match is None:
+            return None
+        letters, signs = match.groups()
+        if not letters.isascii():
+            letters = "".join([self.letters[b] for b in letters.encode()])
+        return [t.id for part in (letters, signs) if part for t in self.model.tokenize(part)]
+
+    def __missing__(self, word: bytes) -> int:
+        known = self.before.get(word)
+        if known is not None:
+            old_ids, old_starts, old_lengths = self.before_ids
+            ids = old_ids[old_starts[known] : old_starts[known] + old_lengths[known]]
+        elif self.plain and word.isalpha() and word.islower():  # of bytes: ASCII letters
+            ids = [t.id for t in self.model.tokenize(word.decode())]
+        else:
+            text = word.decode()
+            ids = self._plain_ids(text) if self.plain else None
+            if ids is None:
+                ids = self._library_ids(text)
+        place = self[word] = len(self.starts)
+        self.starts.append(len(self.ids))
+        self.lengths.append(len(ids))
+        self.ids.extend(ids)
+        return place
+
+    @staticmethod
+    def _spaced(texts: list[bytes]) -> list[bytes]:
+        """The texts in small letters, with a space before a full stop or comma that ends a word of ASCII letters or digits.
+
+        Both make fewer different words and change no id: the model lower-cases, and such a sign is a pre-token of
+        its own. Texts that may hold a special token, which is found before that, stay as they are.
+        """
+        data = np.frombuffer(b"\n".join(texts), np.uint8)
+        lowered = batch.LOWER[data]
+        if len(data) < 3:
+            return texts
+        ends = np.append(batch.SPACE[lowered[2:]], True)
+        mark = np.flatnonzero(((lowered[1:] == 44) | (lowered[1:] == 46)) & _ALNUM[lowered[:-1]] & ends) + 1
+        spaced = np.insert(lowered, mark, 32).tobytes()
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        edges = np.concatenate([[0], np.cumsum(lengths)])
+        edges += np.searchsorted(mark, edges)
+        return [t if b"<|" in t else spaced[a : b - 1] for t, a, b in zip(texts, edges.tolist(), edges[1:].tolist(), strict=False)]
 
     def encode(self, texts: list[bytes], end_id: int) -> list[np.ndarray]:
-        split = [t.split() for t in texts]
-        missing = set().union(*split) - self.place.keys()
-        if len(self.place) + len(missing) > CACHED_WORDS and self.place:
-            self.clear()
-            missing = set().union(*split)
-        self.learn(missing)
+        if len(self) > CACHED_WORDS:
+            self.forget()
+        split = [t.split() for t in (self._spaced(texts) if self.plain else texts)]
+        places = [np.fromiter(map(self.__getitem__, own), np.int64, len(own)) for own in split]
+        # An array may not grow while numpy looks at it; these views end with the call.
+        all_ids, starts, all_lengths = (np.frombuffer(x, x.typecode) if len(x) else np.zeros(0, x.typecode) for x in (self.ids, self.starts, self.lengths))
         out = []
-        for own in split:
-            at = np.fromiter(map(self.place.__getitem__, own), np.int64, len(own))
-            lengths = self.lengths[at]
+        for at in places:
+            lengths = all_lengths[at]
             ends = np.cumsum(lengths)
-            total = int(ends[-1]) if len(own) else 0
+            total = int(ends[-1]) if len(at) else 0
             ids = np.empty(total + 1, np.uint32)
-            ids[:total] = self.ids[np.repeat(self.starts[at] - ends + lengths, lengths) + np.arange(total)]
+            ids[:total] = all_ids[np.repeat(starts[at] - ends + lengths, lengths) + np.arange(total)]
             ids[total] = end_id
             out.append(ids)
         return out
@@ -111,9 +160,9 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, max_tokens: int, end_id: i
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, task = _word_ids(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(max_tokens + 1, np.int64)
-        for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                part = batch.slice(first, 256)
+        for arrived in batches:
+            for first in range(0, arrived.num_rows, 256):
+                part = arrived.slice(first, 256)
                 doc_ids, rows = part.column(0).to_pylist(), []
                 for doc_id, ids in zip(doc_ids, encoder.encode(part.column(1).to_pylist(), end_id), strict=True):
                     for k, start in enumerate(range(0, len(ids), max_tokens)):
@@ -123,7 +172,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, max_tokens: int, end_id: i
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     kinds = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, rank long" + ", ids array<long>" * with_ids
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode(text_column("text"), "UTF-8").alias("text")).mapInArrow(cut, kinds)
+    return bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.encode(text_column("text"), "UTF-8").alias("text")).mapInArrow(cut, kinds)
 
 
 class _Plan:
@@ -282,12 +331,12 @@ def best_fit_packing(docs: DataFrame, tokenizer: str, max_tokens: int = 4096, en
     out = pieces.select(*names).schema.add("sequence_id", "long").add("offset", "long")
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length, rank = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("length", "at"))
+        for rows in batches:
+            length, rank = (rows.column(k).to_numpy(zero_copy_only=False) for k in ("length", "at"))
             row = plan[np.searchsorted(keys, (length << 48) + rank, "right") - 1]
             place = rank - row[:, 1]
             sequence, offset = row[:, 3] + place // row[:, 4], row[:, 5] + place % row[:, 4] * length
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in names), pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())], names=[*names, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*(rows.column(k) for k in names), pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())], names=[*names, "sequence_id", "offset"])
 
-    at = pieces.join(offsets.select("task", "length", "before"), ["task", "length"]).withColumn("at", F.col("rank") + F.col("before"))
+    at = pieces.join(offsets.select("task", "length", "before").hint("merge"), ["task", "length"]).withColumn("at", F.col("rank") + F.col("before"))
     return at.select(*names, "at").mapInArrow(placed, out)
