@@ -11,7 +11,7 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from subtide.plans.reports import CHECKS, REPORTS, run_report, write_checked_tables
+from subtide.plans.reports import CHECKS, REPORTS, displayed, run_report, write_checked_tables
 from subtide.session import SETTINGS
 
 def main(arguments: list[str] | None = None) -> None:
@@ -21,6 +21,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--format", choices=["csv", "parquet"], default="parquet")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="report date (default: today)")
     parser.add_argument("--rows", type=int, help="show only so many rows (default: all)")
+    parser.add_argument("--pretty", action="store_true", help="show revenue in dollars and percentages with their sign")
     parser.add_argument("--output", help="write to this folder instead of showing: a report as CSV, checked tables as Parquet")
     parser.add_argument("--multi-line", action="store_true", help="CSV fields may hold line breaks")
     parser.add_argument("--bad-values", choices=["fail", "null"], default="fail", help="CSV values that do not fit their column")
@@ -45,6 +46,7 @@ def main(arguments: list[str] | None = None) -> None:
         result.write.mode("overwrite").option("header", True).csv(options.output)
     else:
         print(options.report.upper())
+        result = displayed(result) if options.pretty else result
         if options.rows is None:  # everything ends on the screen, so it may as well be computed once and brought here
             rows = result.collect()
             result, options.rows = spark.createDataFrame(rows, result.schema), len(rows)

@@ -6,9 +6,11 @@ import datetime as dt
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from subtide.functions.dates import as_of_or_today
+from subtide.functions.numbers import money_text, percent_text
 from subtide.operators import campaigns, churn, funnel, mrr, profile, quality, wau
 from subtide.operators.quality import assert_quality
 from subtide.sources.tables import load_tables, write_table
@@ -95,6 +97,19 @@ def run_report(
     return operator(*[tables[n] for n in names], **options)
 
 
+def displayed(df: DataFrame) -> DataFrame:
+    """Revenue in dollars and percentages with their sign, as text; other columns as they are."""
+
+    def shown(name: str, kind: str) -> Column:
+        if kind != "string" and (name == "mrr" or name.endswith("_mrr")):
+            return money_text(F.col(name)).alias(name)
+        if kind != "string" and name.endswith("_pct"):
+            return percent_text(F.col(name), 2).alias(name)
+        return F.col(name)
+
+    return df.select(*[shown(name, kind) for name, kind in df.dtypes])
+
+
 def write_checked(
     df: DataFrame, checks: DataFrame, base_path: str, name: str, fmt: str = "parquet", sort_by: list[str] | None = None
 ) -> str:

@@ -52,6 +52,12 @@ def test_command_line(spark, folders, tmp_path, capfd):
     assert ["plan", "customers"] in lines and len(lines) == 5
 
 
+def test_command_line_shows_signs(spark, folders, capfd):
+    main(["mrr", str(folders / "parquet"), "--as-of", "2001-08-02", "--pretty"])
+    shown = capfd.readouterr().out
+    assert "$" in shown and "%" in shown
+
+
 def test_command_line_shows_every_row(spark, tmp_path, capfd):
     many = [{"user_id": f"u{k:04d}", "signup_date": "2024-01-01"} for k in range(1500)]
     write_table(table(spark, "subscriptions", many), str(tmp_path), "subscriptions")
