@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from subtide.llm import batch
 from subtide.llm.shared import bounded, text_column, written
 
-CACHED_WORDS = 350_000
+CACHED_WORDS = 500_000
 
 # Letters whose lower case is one letter and whose normal form is their own, then ASCII signs that
 # begin no contraction and no special token: such a word is two pre-tokens at most, whatever stands around it.

@@ -163,7 +163,64 @@ SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
 FROM counted
 """
 
+# Bytes are pairs of hex digits. Every window of 400 bytes is counted by its MD5; windows that repeat form islands.
+_OP1_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents
+), windows AS (
+  SELECT row, start, md5_number(substring(digits, 2 * start + 1, 800)) AS piece
+  FROM (SELECT row, digits, unnest(generate_series(0, len(digits) // 2 - 400)) AS start FROM docs WHERE len(digits) >= 800)
+), repeated AS (
+  SELECT row, start FROM windows SEMI JOIN (SELECT piece FROM windows GROUP BY piece HAVING count(*) > 1) AS again USING (piece)
+), marked AS (
+  SELECT row, start, sum(CASE WHEN start <= before + 400 THEN 0 ELSE 1 END) OVER (PARTITION BY row ORDER BY start) AS island
+  FROM (SELECT row, start, lag(start) OVER (PARTITION BY row ORDER BY start) AS before FROM repeated)
+), islands AS (
+  SELECT row, min(start) AS first, max(start) + 400 AS past FROM marked GROUP BY row, island
+), gaps AS (
+  SELECT row, first, past, lag(past, 1, 0) OVER (PARTITION BY row ORDER BY first) AS gap FROM islands
+), cut AS (
+  SELECT row, CAST(sum(past - first) AS BIGINT) AS n_removed, count(*) AS n_spans, max(past) AS last_past,
+    string_agg(substring(digits, 2 * gap + 1, 2 * (first - gap)), '' ORDER BY first) AS kept
+  FROM gaps JOIN docs USING (row) GROUP BY row
+)
+SELECT doc_id, len(digits) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substring(digits, 2 * coalesce(last_past, 0) + 1))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (row)
+"""
+
+_OP3_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT row, shingle FROM (
+    SELECT row, unnest(CASE WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+      ELSE list_transform(generate_series(1, len(words) - 2), lambda k: array_to_string(words[k:k + 2], ' ')) END) AS shingle
+    FROM docs WHERE len(words) > 0)
+), sizes AS (
+  SELECT row, count(*) AS n FROM shingles GROUP BY row
+), links AS (
+  SELECT a.row AS one, b.row AS other FROM (
+    SELECT a.row AS one, b.row AS other, count(*) AS shared FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.row < b.row GROUP BY a.row, b.row
+  ) JOIN sizes a ON a.row = one JOIN sizes b ON b.row = other
+  WHERE 100 * shared >= 90 * (a.n + b.n - shared)
+), both_ways AS (
+  SELECT one, other FROM links UNION ALL SELECT other, one FROM links
+), reach(row, root) AS (
+  SELECT row, row FROM docs
+  UNION
+  SELECT other, root FROM reach JOIN both_ways ON one = row
+), smallest AS (
+  SELECT reach.row, min(doc_id) AS component_id FROM reach JOIN docs ON docs.row = root GROUP BY reach.row
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM docs JOIN smallest USING (row) LEFT JOIN sizes USING (row)
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_suffix_array_dedup": _OP1_SQL,
     "op2_quality_rules": _OP2_SQL,
+    "op3_jaccard_join": _OP3_SQL,
     "op5_chat_formatting": _OP5_SQL,
 }
