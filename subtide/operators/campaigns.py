@@ -11,6 +11,9 @@ from subtide.domain import AUDIENCE_CAP, CAMPAIGN_SEGMENTS, DEFAULT_SEGMENT, LOW
 from subtide.functions.numbers import ratio, round_as_printed, round_half_even
 from subtide.functions.running import running_total
 
+# Days in the first of the two words that hold a quarter and the days before it.
+_WORD = 60
+
 _ACTIVE, _CHURNED = "active", "churned"
 
 
@@ -132,22 +135,43 @@ def _members(calendar: DataFrame, memberships: DataFrame) -> DataFrame:
     return rows.join(keyed, ["kind", "quarter", "_slice"]).where(in_interval & plan_fits)
 
 
+def _shifted(function: str, value: Column, by: Column) -> Column:
+    return F.call_function(function, value, by)
+
+
 def _recent_days(events: DataFrame, reach: tuple[Column, Column]) -> DataFrame:
-    """Per user and quarter, the days of events that are recent on some date of the quarter.
+    """Per user and quarter, the days of events that are recent on some date of the quarter, as bits of two words.
 
-    A user's events of a day are one row before anything else happens; such a row matters for the
-    quarter of its day and, at the end of it, the next. A list holds the days of a quarter and the
-    ``LOW_ACTIVITY_DAYS`` before it, however many campaigns or events there are.
+    Bit 0 is the first day that is recent when the quarter begins. A day's events matter for its own quarter and, at
+    the end of it, for the next. Words are summed map-side, so what is shuffled is at most a row per
+    user, quarter and task, however many campaigns or events there are.
     """
     first, last = reach
     span, day = LOW_ACTIVITY_DAYS - 1, F.col("event_date")
-    days = events.where((day >= F.date_sub(first, span)) & (day <= last)).select("user_id", "event_date").distinct()
     quarters = F.array_distinct(F.array(F.trunc(day, "quarter"), F.trunc(F.date_add(day, span), "quarter")))
+    place, one, none = F.col("_place"), F.lit(1).cast("long"), F.lit(0).cast("long")
     return (
-        days.withColumn("quarter", F.explode(quarters))
+        events.where((day >= F.date_sub(first, span)) & (day <= last))
+        .select("user_id", "event_date", F.explode(quarters).alias("quarter"))
+        .withColumn("_place", F.datediff("event_date", "quarter") + span)
         .groupBy("user_id", "quarter")
-        .agg(F.collect_list("event_date").alias("days"))
+        .agg(
+            F.bit_or(F.when(place < _WORD, _shifted("shiftleft", one, place)).otherwise(none)).alias("early"),
+            F.bit_or(F.when(place >= _WORD, _shifted("shiftleft", one, place - _WORD)).otherwise(none)).alias("late"),
+        )
+    )
+
+
+def _recently_active(sent: Column) -> Column:
+    """Whether a bit is set among the ``LOW_ACTIVITY_DAYS`` that end on the day ``sent``."""
+    place, early, late = F.datediff(sent, "quarter"), F.col("early"), F.col("late")
+    window, one, none = F.lit((1 << LOW_ACTIVITY_DAYS) - 1), F.lit(1).cast("long"), F.lit(0).cast("long")
+    of_early = F.when(place < _WORD, _shifted("shiftright", early, place).bitwiseAND(window)).otherwise(none)
+    beyond = F.greatest(place + (LOW_ACTIVITY_DAYS - _WORD), F.lit(0))
+    of_late = F.when(place < _WORD, late.bitwiseAND(_shifted("shiftleft", one, beyond) - 1)).otherwise(
+        _shifted("shiftright", late, place - _WORD).bitwiseAND(window)
     )
+    return F.coalesce((of_early != 0) | (of_late != 0), F.lit(False))
 
 
 def campaign_audience(
@@ -173,9 +197,7 @@ def campaign_audience(
     if only in (None, "low_activity"):
         active = _memberships(subs, reach, active=True, churned=False)
         with_days = active.join(_recent_days(events, reach), ["user_id", "quarter"], "left")
-        sent = F.col("send_date")
-        recent = F.exists("days", lambda day: (day > F.date_sub(sent, LOW_ACTIVITY_DAYS)) & (day <= sent))
-        parts.append(_members(calendar.where(quiet), with_days).where(~F.coalesce(recent, F.lit(False))))
+        parts.append(_members(calendar.where(quiet), with_days).where(~_recently_active(F.col("send_date"))))
     return reduce(DataFrame.unionByName, [part.select("campaign_id", "send_date", "user_id") for part in parts])
 
 

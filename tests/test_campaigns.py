@@ -291,7 +291,20 @@ def test_daily_sends_do_not_multiply_activity(spark):
     table_ = table(spark, "product_events", events)
     user_days = len({(e["user_id"], e["event_date"]) for e in events})
     found = _recent_days(table_, _reach(campaigns)).collect()
-    assert sum(len(r["days"]) for r in found) <= 2 * user_days
-    assert max(len(r["days"]) for r in found) <= 92 + 30
+    assert sum((r["early"] | r["late"]).bit_count() for r in found) <= 2 * user_days
     quarters = {(r["user_id"], r["quarter"]) for r in found}
     assert len(quarters) == len(found) <= user_days
+
+
+def test_recent_days_of_every_distance(spark):
+    start = dt.date(2023, 12, 1)
+    days = [start + dt.timedelta(days=k) for k in range(0, 500)]
+    subs = [{"user_id": f"u{k:03d}", "signup_date": "2020-01-01", "status": "active", "plan": "pro"} for k in range(0, 500, 7)]
+    events = [{"event_id": s["user_id"], "user_id": s["user_id"], "event_date": days[int(s["user_id"][1:])].isoformat()} for s in subs]
+    sends = days[::3]
+    campaigns = calendar(spark, *[(f"c{k:03d}", "low_activity", d.isoformat()) for k, d in enumerate(sends)])
+    result = campaign_audience(campaigns, table(spark, "subscriptions", subs), table(spark, "product_events", events))
+    expected = sorted(
+        (f"c{k:03d}", sent, e["user_id"]) for k, sent in enumerate(sends) for e in events if not 0 <= (sent - D(e["event_date"])).days < 30
+    )
+    assert sorted(rows(result)) == expected
