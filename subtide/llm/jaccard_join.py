@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from subtide.llm import batch
 from subtide.llm.bits import holds, key_bits
-from subtide.llm.shared import bounded, text_column, written
+from subtide.llm.shared import bounded, split_join, text_column, written
 
 SKETCH_BITS = 18
 CROWD = 4096
@@ -295,11 +295,11 @@ def components(edges: DataFrame, one: str = "one", other: str = "other", rounds:
         # Large star: neighbours above a node hang on the smallest node around it.
         both = links.unionByName(links.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
         small = both.groupBy("hi").agg(F.min("lo").alias("least")).select(F.col("hi").alias("node"), F.least("hi", "least").alias("least"))
-        large = links.join(small.withColumnRenamed("node", "lo"), "lo").select("hi", F.col("least").alias("lo"))
+        large = split_join(links, small.withColumnRenamed("node", "lo"), ["lo"]).select("hi", F.col("least").alias("lo"))
         # Small star: a node and those below it hang on the smallest of them.
         large = written(large.distinct(), "links")
         below = large.groupBy("hi").agg(F.min("lo").alias("least"))
-        hung = large.join(below, "hi").select(F.col("lo").alias("hi"), F.col("least").alias("lo")).unionByName(below.select("hi", F.col("least").alias("lo")))
+        hung = split_join(large, below, ["hi"]).select(F.col("lo").alias("hi"), F.col("least").alias("lo")).unionByName(below.select("hi", F.col("least").alias("lo")))
         new = written(hung.where("hi <> lo").distinct(), "links")
         links, before, now = new, now, _fingerprint(new)
         if now == before:
@@ -316,7 +316,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, crowd: in
     every = written(_prefix_rows(texts, prefixes, n), "prefixes")
     places = written(_places(every), "places")
     crowds = places.groupBy("leader").agg(F.count("*").alias("classes")).where("classes > 1")
-    sliced = places.join(crowds, "leader").withColumn("slices", F.ceil(F.col("classes") / F.lit(crowd)).cast("int"))
+    sliced = split_join(places, crowds, ["leader"]).withColumn("slices", F.ceil(F.col("classes") / F.lit(crowd)).cast("int"))
     sliced = sliced.withColumn("slice", F.pmod(F.xxhash64("key"), F.col("slices")).cast("int"))
     pair = F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda k: F.struct(F.least(k, F.col("slice")).alias("a"), F.greatest(k, F.col("slice")).alias("b")))
     likely = _likely_groups(sliced.select("leader", "key", "slice", "low", "high", "extension", "live", F.inline(pair)), percent)
@@ -332,7 +332,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, crowd: in
     rooted = components(edges)
     of_class = every.join(rooted, every["class"] == rooted["node"], "left").select("doc_id", "text_hash", "n_shingles", F.coalesce("root", "class").alias("root"))
     smallest = of_class.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("smallest"))
-    done = of_class.join(smallest, "root", "left")
+    done = split_join(of_class, smallest, ["root"], "left")
     return done.select("doc_id", "text_hash", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id"))
 
 
@@ -345,7 +345,7 @@ def _places(every: DataFrame) -> DataFrame:
     known = every.where("class IS NOT NULL")
     single = known.select("key", F.explode("prefix").alias("shingle"))
     leaders = single.groupBy("shingle").agg(F.min("key").alias("leader"), F.max("key").alias("largest"), F.count("*").alias("rows")).where("leader < largest")
-    live = single.join(leaders.drop("largest"), "shingle").groupBy("key").agg(F.array_sort(F.collect_set(F.struct("rows", "shingle", "leader"))).alias("live"))
+    live = split_join(single, leaders.drop("largest"), ["shingle"]).groupBy("key").agg(F.array_sort(F.collect_set(F.struct("rows", "shingle", "leader"))).alias("live"))
     sizes = known.groupBy("key").agg(F.min("matches").alias("matches"), F.min("extension").alias("extension"), F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"))
     enough = live.join(sizes, "key").where(F.size("live") >= F.col("matches"))
     kept = F.slice("live", F.lit(1), F.size("live") - F.col("matches") + 1)

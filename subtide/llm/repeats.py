@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subtide.llm import batch
-from subtide.llm.shared import bounded, text_column, written
+from subtide.llm.shared import bounded, split_join, text_column, written
 
 GRAM = 96
 BUCKET = 32_768
@@ -286,11 +286,11 @@ def _repeat_classes(docs: DataFrame, least: int, gram: int, bucket: int, by_grou
     """Classes of anchors that occur twice, by text; and the repeats found in each class."""
     every = _classes(docs, least, gram)
     twice = every.groupBy("anchor").agg(F.sum("n").alias("total")).where("total > 1").select("anchor")
-    live = written(every.join(twice, "anchor"), "repeat-classes")
+    live = written(split_join(every, twice, ["anchor"]), "repeat-classes")
     classes = live.groupBy("anchor", "class").agg(F.sum("n").alias("n"), F.min("tid").alias("rep"), F.first("size").alias("size"))
     classes = written(classes, "repeat-class-counts")
     several = classes.groupBy("anchor").agg(F.count("*").alias("n_classes")).where("n_classes > 1")
-    wanted = classes.join(several, "anchor")
+    wanted = split_join(classes, several, ["anchor"])
     contexts = written(_contexts(_texts(docs), wanted, least, gram), "repeat-contexts")
     one = F.struct(F.concat(F.hex("anchor"), F.hex("class")).alias("group"), F.lit(0).alias("start"), F.col("size").alias("length"))
     whole = classes.where("n > 1").select("anchor", "class", F.array(one).alias("found"))
@@ -313,7 +313,7 @@ def maximal_repeats(docs: DataFrame, least: int = 400, gram: int = GRAM, bucket:
     live, groups = _repeat_classes(_prepared(docs), least, gram, bucket, by_group=True)
     counts = live.groupBy("anchor", "class").agg(F.count_distinct("tid").alias("texts"), F.sum("n").alias("occurrences"))
     each = groups.select("anchor", "class", F.inline("found"))
-    return each.join(counts, ["anchor", "class"]).select("group", "length", "anchor", "class", "start", "texts", "occurrences")
+    return split_join(each, counts, ["anchor", "class"]).select("group", "length", "anchor", "class", "start", "texts", "occurrences")
 
 
 def repeated_spans(docs: DataFrame, least: int = 400, gram: int = GRAM, bucket: int = BUCKET) -> DataFrame:
@@ -324,7 +324,7 @@ def repeated_spans(docs: DataFrame, least: int = 400, gram: int = GRAM, bucket:
     prepared = _prepared(docs)
     live, groups = _repeat_classes(prepared, least, gram, bucket, by_group=False)
     covered = groups.groupBy("anchor", "class").agg(F.flatten(F.collect_list(F.transform("found", lambda g: F.struct(g["start"].alias("start"), g["length"].alias("length"))))).alias("spans"))
-    by_text = live.select("tid", "anchor", "class").distinct().join(covered, ["anchor", "class"]).groupBy("tid").agg(F.collect_list(F.struct("anchor", "class", "spans")).alias("found"))
+    by_text = split_join(live.select("tid", "anchor", "class").distinct(), covered, ["anchor", "class"]).groupBy("tid").agg(F.collect_list(F.struct("anchor", "class", "spans")).alias("found"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:

@@ -57,5 +57,15 @@ def text_column(text: str) -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
+def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """A join in which adaptive execution can split the hot keys of ``left``, with a side that was aggregated by the same keys.
+
+    Only shuffles made for a join are split. The further key, which follows from the others, keeps the join from taking over the
+    aggregate's.
+    """
+    again = F.pmod(F.hash(*on), F.lit(2))
+    return left.withColumn("_again", again).join(right.withColumn("_again", again), [*on, "_again"], how).drop("_again")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
