@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_ROOT = str(Path(__file__).resolve().parents[2])
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
@@ -40,12 +43,16 @@ _BATCH_ROWS, _BATCH_BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spa
 
 
 def bounded(docs: DataFrame, rows: int = 1_000, size: int = 4 << 20) -> DataFrame:
-    """``docs``, in a session whose batches for Python are small enough for long texts.
+    """``docs``, in a session whose tasks can import this package and get batches small enough for long texts.
 
     Spark's default of 10,000 rows lets a batch of long texts take hundreds of MB on both sides. A number of rows that the
     session's user has chosen stays as it is.
     """
-    conf = docs.sparkSession.conf
+    conf, workers = docs.sparkSession.conf, docs.sparkSession.sparkContext.environment
+    # Tasks import this package by name; where the driver found it by its own search path alone, they are told where.
+    paths = workers.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in paths:
+        workers["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
     if conf.get(_BATCH_ROWS) == "10000":
         conf.set(_BATCH_ROWS, str(rows))
         conf.set(_BATCH_BYTES, str(size))
