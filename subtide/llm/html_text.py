@@ -44,13 +44,17 @@ CLOSES_P = frozenset(
 # Words in class, id and role names of what is not the article.
 BOILERPLATE_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|adbox|banner|sponsor\w*|promo\w*|cookie\w*|consent|gdpr|notice\w*|alert|popup|modal|overlay|newsletter|subscribe|signup|share|sharing|social|"
-    r"comments?|commentlist|disqus|replies|reply|respond|reactions|sidebar\w*|related|recommend\w*|menu\w*|nav|navbar|navigation|breadcrumbs?|footer|masthead|site-header|page-header|"
+    r"comments?|commentlist|disqus|replies|reply|respond|reactions|sidebar\w*|related|recommend\w*|feedback|responses|talkback|guestbook|disclaimer|paywall|adsbygoogle|outbrain|taboola|menu\w*|nav|navbar|navigation|breadcrumbs?|footer|masthead|site-header|page-header|"
     r"toolbar|pagination|pager|login|legal|copyright|contentinfo|complementary|skip)(?=$|[\s_-])|(?:^|\s)(?:header|widget|search|form)(?=$|\s)",
     re.IGNORECASE,
 )
+# Names that say what lies elsewhere on the page, not what the element is.
+_ABOUT = re.compile(r"(?:^|(?<=[\s_-]))(?:has|with|without|no|layout)[_-]\S+", re.IGNORECASE)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：·]")
 #: Share of the picked text that its container holds, where no element is marked as the article.
 MOST = 0.8
+#: An element with this share of the page's text is no part beside the article, whatever its name.
+ALL_BUT = 0.97
 _SPACE = re.compile(r"\s+")
 
 
@@ -61,6 +65,7 @@ class Block:
     links: int = 0
     outside: bool = False
     within: tuple[int, ...] = ()
+    named: tuple[int, ...] = ()  # elements around it whose names say they are not the article
 
     def content(self) -> str:
         return _SPACE.sub(" ", "".join(self.text)).strip()
@@ -71,7 +76,8 @@ class _Pages(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, str, bool, int]] = []  # tag, name in paths, outside the article, number
+        self.open: list[tuple[str, str, bool, int, bool]] = []  # tag, name in paths, outside by tag, number, outside by name
+        self.wrappers: set[int] = set()  # elements that hold an article or main part
         self.blocks: list[Block] = []
         self.current: Block | None = None
         self.links = self.silent = self.numbers = 0
@@ -79,13 +85,13 @@ class _Pages(HTMLParser):
     def _end_block(self) -> None:
         self.current = None
 
-    def _outside(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        within_article = any(t in CONTENT_TAGS for t, *_ in self.open)
-        if tag in BOILERPLATE_TAGS and not (tag == "header" and within_article):
-            return True
-        if tag in ("html", "body", "main") or tag == "article" and not within_article:
+    def _outside_by_tag(self, tag: str) -> bool:
+        return tag in BOILERPLATE_TAGS and not (tag == "header" and any(t in CONTENT_TAGS for t, *_ in self.open))
+
+    def _outside_by_name(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+        if tag in ("html", "body", "main") or tag == "article" and not any(t in CONTENT_TAGS for t, *_ in self.open):
             return False
-        names = " ".join(v or "" for k, v in attrs if k in ("class", "id", "role"))
+        names = _ABOUT.sub(" ", " ".join(v or "" for k, v in attrs if k in ("class", "id", "role", "aria-label")))
         hidden = any(k == "hidden" or (k == "aria-hidden" and v == "true") or (k == "style" and v and re.search(r"display\s*:\s*none", v)) for k, v in attrs)
         return hidden or bool(names and BOILERPLATE_NAMES.search(names))
 
@@ -112,9 +118,12 @@ class _Pages(HTMLParser):
         if tag not in INLINE:
             self._end_block()
         names = next((v for k, v in attrs if k == "class" and v), "") or next((v for k, v in attrs if k == "id" and v), "")
-        outside = bool(self.open and self.open[-1][2]) or self._outside(tag, attrs)
+        by_tag = bool(self.open and self.open[-1][2]) or self._outside_by_tag(tag)
+        by_name = self._outside_by_name(tag, attrs)
+        if tag in CONTENT_TAGS and not by_name:
+            self.wrappers.update(x[3] for x in self.open)
         self.numbers += 1
-        self.open.append((tag, f"{tag}.{names}" if names else tag, outside, self.numbers))
+        self.open.append((tag, f"{tag}.{names}" if names else tag, by_tag, self.numbers, by_name))
         self.links += tag == "a"
         self.silent += tag in SILENT
 
@@ -165,7 +174,7 @@ class _Pages(HTMLParser):
             if not data.strip():
                 return
             blocks = [x for x in self.open if x[0] not in INLINE]
-            self.current = Block(("", *(x[1] for x in blocks)), outside=any(x[2] for x in self.open), within=(0, *(x[3] for x in blocks)))
+            self.current = Block(("", *(x[1] for x in blocks)), outside=any(x[2] for x in self.open), named=tuple(x[3] for x in self.open if x[4]), within=(0, *(x[3] for x in blocks)))
             self.blocks.append(self.current)
         self.current.text.append(data)
         if self.links:
@@ -178,9 +187,17 @@ def _smoothed(values: np.ndarray, width: float = 1.0, reach: int = 2) -> np.ndar
     return sums / np.convolve(np.ones(len(values)), kernel, "full")[reach : reach + len(values)]
 
 
-def content_blocks(blocks: list[Block], threshold: float = 0.1) -> list[str]:
-    """The texts of content blocks, in order."""
+def content_blocks(blocks: list[Block], wrappers: set[int] = frozenset(), threshold: float = 0.1) -> list[str]:
+    """The texts of content blocks, in order. ``wrappers`` are elements that are around the article, whatever they are called."""
     texts = [b.content() for b in blocks]
+    held: dict[int, int] = {}
+    for b, t in zip(blocks, texts, strict=True):
+        for number in b.named:
+            held[number] = held.get(number, 0) + max(0, len(t) - b.links)
+    total = sum(max(0, len(t) - b.links) for b, t in zip(blocks, texts, strict=True))
+    around = {n for n, size in held.items() if n in wrappers or size >= ALL_BUT * total}
+    for b in blocks:
+        b.outside = b.outside or any(n not in around for n in b.named)
     keep = [k for k, t in enumerate(texts) if t]
     blocks, texts = [blocks[k] for k in keep], [texts[k] for k in keep]
     if not blocks:
@@ -233,7 +250,7 @@ def main_text(page: str) -> str:
     parser = _Pages()
     parser.feed(page)
     parser.close()
-    return "\n\n".join(content_blocks(parser.blocks))
+    return "\n\n".join(content_blocks(parser.blocks, parser.wrappers))
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:

@@ -27,6 +27,12 @@ PAGES = [
     ("<div class=content><p>Lone paragraph, but with a lot of text, here.</p></div><div class=footer>(c) me, 2020.</div>", "Lone paragraph, but with a lot of text, here."),
     ("<table><tr><td>cell, one is a long cell.<td>cell two, as well.</table>", "cell, one is a long cell.\n\ncell two, as well."),
     ("<body><div class='cookie-notice'>We use cookies, yes.</div><form><p>Your name, please.</p></form><article><p>Text &lt;b&gt; here, it is.</p>", "Text <b> here, it is."),
+    ("<body class='with-sidebar'><div class='content has-sidebar'><h1>T</h1><p>Some text, which is long, and goes on.</p></div><div class='sidebar'><p>Side, text.</p></div>", "T\n\nSome text, which is long, and goes on."),
+    ("<div class='page-menu-wrapper'><article><h1>T</h1><p>Some text, here it is.</p></article></div>", "T\n\nSome text, here it is."),
+    ("<div class='comments-layout'><p>All the text, of the page, is in here. It really is all of it, yes.</p></div>", "All the text, of the page, is in here. It really is all of it, yes."),
+    ("<article><h1>T</h1><p>Short, text.</p></article><section class='comments'><p>" + "A long, long, comment. " * 30 + "</p></section>", "T\n\nShort, text."),
+    ("<div><h1>T</h1><p>Short text, but the article.</p><p>Second, part of it.</p></div><section aria-label='Comments'><p>A comment, of a reader. It goes on.</p></section>", "T\n\nShort text, but the article.\n\nSecond, part of it."),
+    ("<body><p>First, paragraph.</p><div class='ad-slot'>Buy now, cheap.</div><p>Second, paragraph.</p><ul class='related'><li><a href=x>Other, story</a></li></ul></body>", "First, paragraph.\n\nSecond, paragraph."),
     ("<style>p{}</style><title>No</title><noscript>no, no.</noscript><!-- no, no --><p>Yes, it is.</p>", "Yes, it is."),
 ]
 
