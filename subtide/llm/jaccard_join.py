@@ -101,7 +101,7 @@ class Prefixes:
     """Prefixes under the order that a sketch gives, and how far they are lengthened."""
 
     def __init__(self, sketch: np.ndarray, percent: int) -> None:
-        # The smallest type that holds the counts; what a slot holds beyond the usual comes from frequent shingles.
+        # What a slot holds beyond the usual comes from frequent shingles.
         self.sketch, self.percent = sketch, percent
         self.usual = int(np.median(sketch)) + 4 * math.isqrt(int(np.median(sketch)) + 1)
         self.bits = int(len(sketch)).bit_length() - 1
