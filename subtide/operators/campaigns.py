@@ -88,7 +88,7 @@ def _memberships(subs: DataFrame, reach: tuple[Column, Column], active: bool, ch
     """Half-open date intervals in which a user is active, or has churned, one row per
     calendar quarter they share with the campaigns. The scan already leaves out users
     whom no campaign can reach."""
-    first, last = reach
+    first, last = F.col("_first"), F.col("_last")
     signup, churn, no_date = F.col("signup_date"), F.col("churn_date"), F.lit(None).cast("date")
     intervals, in_reach = [], F.lit(False)
     if active:
@@ -101,14 +101,15 @@ def _memberships(subs: DataFrame, reach: tuple[Column, Column], active: bool, ch
         in_reach = in_reach | gone
     since, until = F.col("since"), F.col("until")
     quarters = F.sequence(
-        F.trunc(F.greatest(since, F.col("_first")), "quarter"),
-        F.trunc(F.least(F.date_sub(until, 1), F.col("_last")), "quarter"),
+        F.trunc(F.greatest(since, first), "quarter"),
+        F.trunc(F.least(F.date_sub(until, 1), last), "quarter"),
         F.expr("interval 3 months"),
     )
     return (
-        subs.where(in_reach)
-        .select("user_id", "plan", first.alias("_first"), last.alias("_last"), F.inline(F.array(*intervals)))
-        .where((since <= F.col("_last")) & (until.isNull() | ((until > F.col("_first")) & (until > since))))
+        subs.select("user_id", "plan", "status", "signup_date", "churn_date", reach[0].alias("_first"), reach[1].alias("_last"))
+        .where(in_reach)
+        .select("user_id", "plan", "_first", "_last", F.inline(F.array(*intervals)))
+        .where((since <= last) & (until.isNull() | ((until > first) & (until > since))))
         .select("user_id", "plan", "kind", "since", "until", F.explode(quarters).alias("quarter"))
     )
 
