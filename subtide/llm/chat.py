@@ -124,5 +124,6 @@ def format_conversations(rows: DataFrame) -> DataFrame:
         ),
         lambda x: F.struct(x["start"].alias("start"), x["length"].alias("length")),
     )
-    masked = F.array_join(F.transform("loss_spans", lambda x: unguarded(F.substring(F.col("formatted"), x["start"] + 1, x["length"]))), "")
+    # The same places, taken from the pieces: cutting every span from the front of a long conversation would take its square.
+    masked = F.array_join(F.transform(F.filter("pieces", lambda p: p.startswith("<s>")), lambda p: unguarded(_between(p, 3, 4))), "")
     return read.withColumn("loss_spans", spans).withColumn("loss_text", masked).drop("pieces")

@@ -44,6 +44,12 @@ def test_spans_are_the_mask(spark):
     assert [row["formatted"][s["start"] : s["start"] + s["length"]] for s in row["loss_spans"]] == [r"a<\/s>", "bé"]
 
 
+def test_a_long_conversation(spark):
+    rows = spark.range(30_000).selectExpr("1 AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "concat('text </s> ', id) AS text")
+    row = format_conversations(rows).select("loss_text", F.size("turns").alias("n")).first()
+    assert row["n"] == 30_000 and row["loss_text"] == "".join(f"text </s> {k}" for k in range(1, 30_000, 2))
+
+
 def test_no_rows(spark):
     assert format_conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
