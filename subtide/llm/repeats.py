@@ -39,7 +39,7 @@ from subtide.llm.shared import bounded, split_join, text_column, written
 GRAM = 96
 BUCKET = 32_768
 _PLACE_BITS = 24
-_SLICE = 1 << 23
+_SLICE = 1 << 20
 
 
 class Runs:
@@ -172,6 +172,17 @@ def _classes(docs: DataFrame, least: int, gram: int) -> DataFrame:
     return docs.select("tid", "text").mapInArrow(emit, "tid binary, anchor long, class long, n int, size int")
 
 
+def _anchors_that_repeat(docs: DataFrame, least: int, gram: int) -> DataFrame:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for _, data, offsets in batch.runs(rows.column(0)):
+                anchor, n = np.unique(Runs(data, offsets, least, gram).anchor.view(np.int64), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(n.astype(np.int64))], names=["anchor", "n"])
+
+    counts = docs.select("text").mapInArrow(count, "anchor long, n long")
+    return counts.groupBy("anchor").agg(F.sum("n").alias("total")).where("total > 1").select("anchor")
+
+
 def _contexts(texts: DataFrame, wanted: DataFrame, least: int, gram: int) -> DataFrame:
     """anchor, class, context, place of the anchor in it, for the (anchor, class) pairs wanted of each text."""
     schema = pa.schema([("anchor", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("n_classes", pa.int64()), ("context", pa.binary()), ("place", pa.int32())])
@@ -284,9 +295,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def _repeat_classes(docs: DataFrame, least: int, gram: int, bucket: int, by_group: bool) -> tuple[DataFrame, DataFrame]:
     """Classes of anchors that occur twice, by text; and the repeats found in each class."""
-    every = _classes(docs, least, gram)
-    twice = every.groupBy("anchor").agg(F.sum("n").alias("total")).where("total > 1").select("anchor")
-    live = written(split_join(every, twice, ["anchor"]), "repeat-classes")
+    live = written(split_join(_classes(docs, least, gram), _anchors_that_repeat(docs, least, gram), ["anchor"]), "repeat-classes")
     classes = live.groupBy("anchor", "class").agg(F.sum("n").alias("n"), F.min("tid").alias("rep"), F.first("size").alias("size"))
     classes = written(classes, "repeat-class-counts")
     several = classes.groupBy("anchor").agg(F.count("*").alias("n_classes")).where("n_classes > 1")

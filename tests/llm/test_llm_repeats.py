@@ -88,3 +88,23 @@ def test_groups_match_all_pairs():
             for k in members:
                 found.setdefault(k, set()).update(range(placed[k][1] - before, placed[k][1] + after))
         assert found == reach
+
+
+def test_slices_of_long_texts_keep_every_window(monkeypatch):
+    import numpy as np
+
+    from subtide.llm import repeats
+
+    rng = np.random.default_rng(6)
+    data = rng.integers(97, 101, 9000).astype(np.uint8)
+    data[3000:4500] = 97  # the same byte: the first of equal hashes is the anchor
+    offsets = np.array([0, 40, 6200, 6200, 9000])
+    least, gram = 60, 16
+
+    def anchors(runs):
+        return {w: int(p) for a, b, p in zip(runs.first.tolist(), runs.end.tolist(), runs.place.tolist(), strict=True) for w in range(a, b - least + 1)}
+
+    whole = anchors(repeats.Runs(data, offsets, least, gram))
+    assert set(whole) == {w for a, b in zip(offsets, offsets[1:]) for w in range(a, b - least + 1)}
+    monkeypatch.setattr(repeats, "_SLICE", 700)
+    assert anchors(repeats.Runs(data, offsets, least, gram)) == whole
