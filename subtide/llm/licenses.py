@@ -57,6 +57,7 @@ TEMPLATES: list[tuple[str, str, tuple[str, ...]]] = [
     ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License", ("creative commons attribution 4 0",)),
     ("unlicense", "This is free and unencumbered software released into the public domain.", ("public domain", "unencumbered")),
     ("proprietary", "Copyright. All rights reserved.", ("all rights reserved",)),
+    ("proprietary", "All rights reserved.", ("all rights reserved",)),
 ]
 
 SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"

@@ -144,6 +144,14 @@ def test_licences(spark, rows):
         assert got[k]["labels"] == ",".join(sorted(labels))
 
 
+def test_reserved_rights_are_proprietary(spark, rows):
+    texts = ["All rights reserved.", "é. ALL RIGHTS\nRESERVED", "Copyright 2024 Some Name. All rights reserved.", "Copyright (c) Name, 2020-2024, all rights reserved!", "All rights are reserved.", "Copyright 2024 Some Name.", "reserved rights, all"]
+    docs = [(k, t, None, None, None) for k, t in enumerate(texts)] + [(100 + k, f"{r[1]} All rights reserved.", None, None, None) for k, r in enumerate(rows)]
+    got = {r["doc_id"]: r["labels"] for r in license_scan(frame(spark, docs)).collect()}
+    assert [got[k] for k in range(len(texts))] == ["proprietary"] * 4 + [""] * 3
+    assert {got[100 + k] for k in range(len(rows))} == {"proprietary"}
+
+
 def test_base_licences_match_sql(spark):
     from oracle_check import connect
 
