@@ -33,8 +33,8 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base counts of all documents and what is left without lines of at most 30 words that their host repeats, as its SQL has it."""
-    return quality_verdicts(table(spark, sf_dir, "documents"), longest=30).drop("host", "t1", "t2", "boilerplate")
+    """Base counts of all documents and what is left without lines of at most 30 words that their host repeats, shares of all rows, as its SQL has it."""
+    return quality_verdicts(table(spark, sf_dir, "documents"), longest=30, share_of_rows=True).drop("host", "t1", "t2", "boilerplate")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
