@@ -38,6 +38,7 @@ INLINE = frozenset(
 SILENT = frozenset("script style template noscript svg math iframe object video audio canvas select textarea button head title".split())
 BOILERPLATE_TAGS = frozenset("nav footer aside form menu dialog header".split())
 CONTENT_TAGS = frozenset(["article", "main"])
+HEAD_TAGS = frozenset("head base basefont bgsound link meta title style script noscript noframes template".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
@@ -95,7 +96,16 @@ class _Pages(HTMLParser):
         hidden = any(k == "hidden" or (k == "aria-hidden" and v == "true") or (k == "style" and v and re.search(r"display\s*:\s*none", v)) for k, v in attrs)
         return hidden or bool(names and BOILERPLATE_NAMES.search(names))
 
+    def _end_head(self, tag: str) -> None:
+        """Closes an open head that its end tag does not: at the body, and at what cannot stand in it."""
+        if self.open and self.open[-1][0] == "head" and tag not in HEAD_TAGS:
+            self._pop(len(self.open) - 1)
+        elif tag == "body":
+            self._close("head", {"body"})
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.silent:
+            self._end_head(tag)
         if tag == "br":
             self._text(" ")
             return
@@ -168,6 +178,8 @@ class _Pages(HTMLParser):
             self._text(data[6:])
 
     def _text(self, data: str) -> None:
+        if self.silent and data.strip():
+            self._end_head("")
         if self.silent or not data:
             return
         if self.current is None:

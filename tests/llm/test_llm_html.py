@@ -42,6 +42,27 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+ARTICLE = "<article><h1>T</h1><p>Some text, which is long, and goes on.</p></article>"
+HEADS = [
+    "<html><head><title>x</title><body>" + ARTICLE,
+    "<html><head><meta charset=utf-8><title>x</title><link rel=x><style>p{}</style><script>if(a<b){}</script>" + ARTICLE,
+    "<head><noscript><img src=x><p>no, no</p></noscript><template><p>no, no</p></template><title>x</title><body>" + ARTICLE + "</body>",
+    "<head><title>x</title><noscript><p>no, no<body>" + ARTICLE,
+    "<html><head><title>x</title></head><body>" + ARTICLE + "</body></html>",
+    "<html><head><title>x</title><body></head>" + ARTICLE,
+    "<head><title>x</title><img src=x>" + ARTICLE,
+]
+
+
+@pytest.mark.parametrize("page", HEADS)
+def test_heads_end_without_their_end_tag(page):
+    assert main_text(page) == "T\n\nSome text, which is long, and goes on."
+
+
+def test_text_ends_a_head():
+    assert main_text("<head><title>x</title>\n Some text, without a tag.") == "Some text, without a tag."
+
+
 def test_rows(spark):
     rows = [(k, f"u{k}", p) for k, (p, _) in enumerate(PAGES)] + [(99, None, None), (99, None, None), (None, "u", "<p>" + "word, " * 200_000), (7, "u", "<" * 2000 + "&#0;&bogus;<p <p>")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'clash' AS text", "1 AS n_chars")
