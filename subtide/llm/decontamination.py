@@ -1,7 +1,7 @@
 """Benchmark passages in documents: SimHash of item-sized windows, Hamming blocks, exact verification.
 
 Words are runs of letters, digits and bytes above ASCII, with A-Z lower-cased. An item of n words is
-compared with windows of n words. Features are its shingles of ``SHINGLE`` words (an item of fewer
+compared with windows of n words, or with the whole text where that is shorter. Features are its shingles of ``SHINGLE`` words (an item of fewer
 words is one shingle), weighted by their rarity among the items of the benchmark.
 
 1. A window without a shingle of any item of its size has similarity 0, so windows are formed around
@@ -140,17 +140,19 @@ class Items:
             starts: dict[int, set[int]] = {}
             for p in hits.tolist():
                 for size in self.sizes_of[known[p]]:
-                    if min(SHINGLE, size) == n and size <= len(words):
-                        starts.setdefault(size, set()).update(range(max(0, p - size + n), min(p, len(words) - size) + 1))
+                    if min(SHINGLE, size) == n:
+                        length = min(size, len(words))
+                        starts.setdefault(size, set()).update(range(max(0, p - length + n), min(p, len(words) - length) + 1))
             for size, own_starts in starts.items():
                 first = np.array(sorted(own_starts), np.int64)
                 if not len(first):
                     continue
                 for k in range(0, len(first), 4096):
-                    found += self._near(first[k : k + 4096], size, size - n + 1, shingles, known, least)
+                    found += self._near(first[k : k + 4096], size, min(size, len(words)), n, shingles, known, least)
         return self._best(found)
 
-    def _near(self, first: np.ndarray, size: int, width: int, shingles: np.ndarray, known: np.ndarray, least: float) -> list[tuple[int, int, int, int, float]]:
+    def _near(self, first: np.ndarray, size: int, length: int, n: int, shingles: np.ndarray, known: np.ndarray, least: float) -> list[tuple[int, int, int, int, float]]:
+        width = length - n + 1
         # Sums over windows as differences of running sums over the shingles that the windows cover.
         used = np.zeros(len(shingles) + 1, np.int64)
         np.add.at(used, first, 1)
@@ -167,7 +169,7 @@ class Items:
             start = int(first[window])
             alike = self.similarity(item, known[start : start + width])
             if alike >= least - 1e-12:
-                out.append((item, start, size, far, round(alike, 9)))
+                out.append((item, start, length, far, round(alike, 9)))
         return out
 
     def _best(self, found: list[tuple[int, int, int, int, float]]) -> list[tuple[int, int, int, int, float]]:

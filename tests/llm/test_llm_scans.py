@@ -74,6 +74,45 @@ def test_leaks_match_brute_force(spark, rows, block_chars):
         assert len(window) == len(PLAIN.findall(lowered(dict(items)[r["item_id"]])))
 
 
+def short_leaks(docs, items, least=0.8):
+    """As ``leaks``, and items whose words outnumber the text's against the whole text."""
+    out = leaks(docs, items, least)
+    worded = [(i, PLAIN.findall(lowered(t))) for i, t in items]
+    grams = lambda w, n: [tuple(w[k : k + n]) for k in range(len(w) - n + 1)]
+    count = Counter(g for _, w in worded if w for g in set(grams(w, min(5, len(w)))))
+    weight = lambda g: math.log(1 + len(items) / count.get(g, 1))
+    for d, text in enumerate(docs):
+        w = PLAIN.findall(lowered(text))
+        for item, own in worded:
+            if len(w) < len(own):
+                a, b = Counter(grams(own, min(5, len(own)))), Counter(grams(w, min(5, len(own))))
+                shared = sum((a & b)[g] * weight(g) for g in a)
+                if shared and shared >= least * sum(k * weight(g) for g, k in (a | b).items()) - 1e-9:
+                    out.add((d, item))
+    return out
+
+
+def test_texts_shorter_than_the_item(spark):
+    rng, known = random.Random(12), vocabulary(2000)
+    items = [(k, prose(rng, size, known)) for k, size in enumerate([2, 4, 5, 6, 9, 25, 25, 60])]
+    texts = [None, "", "two words"]
+    for _, item in items:
+        own = item.split()
+        texts += [" ".join(own[: len(own) - cut]) for cut in (1, 2, 5, 12)] + [" ".join(own[cut:]) for cut in (1, 3)] + [" ".join(own[:-1]) + " end of it"]
+    wanted = short_leaks(texts, items)
+    assert len(wanted) > len(leaks(texts, items))
+    docs = frame(spark, [(k, t, None, None, None) for k, t in enumerate(texts)])
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = benchmark_matches(docs, benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == wanted
+    sizes = {i: len(PLAIN.findall(lowered(t))) for i, t in items}
+    for r in found:
+        n = len(PLAIN.findall(lowered(texts[r["doc_id"]])))
+        assert r["n_words"] == min(n, sizes[r["item_id"]]) and r["start_word"] + r["n_words"] <= n
+    kept = {r["doc_id"] for r in without_benchmark(docs.select("doc_id", "text"), benchmark).collect()}
+    assert kept == set(range(len(texts))) - {d for d, _ in wanted}
+
+
 def test_blocks_reach_every_fingerprint_in_the_radius():
     rng = np.random.default_rng(1)
     for radius in (3, 9, 20):
