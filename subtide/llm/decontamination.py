@@ -11,7 +11,9 @@ words is one shingle), weighted by their rarity among the items of the benchmark
 3. Weighted Jaccard similarity of the two multisets of shingles decides.
 
 The benchmark is the query set: it is taken in blocks of items of bounded size, each held whole by
-the tasks, and all documents stream past each block. Nothing is shuffled, so no key can be hot.
+the tasks, and all documents stream past each block. Rarity is counted over the whole benchmark: shingles
+that several items share go to every task, all others weigh the same, so blocks change no result. Nothing
+is shuffled but counts of shingles, so no key can be hot.
 
 Null or empty texts and items match nothing. Repeated rows are reported each for itself. Of
 overlapping windows of one document and item the most similar is reported, the earliest of equals.
@@ -26,6 +28,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,11 +62,26 @@ def block_bounds(radius: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
+class Rarity:
+    """Weights of shingles by the items of the whole benchmark that have them; a shingle without a count is in one item or none."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, n_items: int) -> None:
+        order = np.argsort(keys)
+        self.rare = math.log(1 + n_items)
+        self.keys, self.weights = keys[order], np.array([math.log(1 + n_items / n) for n in counts[order].tolist()])
+
+    def of(self, shingles: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(shingles), self.rare)
+        at = np.minimum(np.searchsorted(self.keys, shingles), len(self.keys) - 1)
+        return np.where(self.keys[at] == shingles, self.weights[at], self.rare)
+
+
 class Items:
-    """One block of the benchmark, ready for lookups."""
+    """One block of the benchmark, ready for lookups. ``elsewhere`` is the broadcast rarity where there are other blocks."""
 
-    def __init__(self, rows: list[tuple[int, str]], n_items: int, document_counts: dict[int, int], radius: int) -> None:
-        self.radius, self.ids = radius, []
+    def __init__(self, rows: list[tuple[int, str]], rarity: Rarity, radius: int, elsewhere: Broadcast | None = None) -> None:
+        self.radius, self.elsewhere, self.ids = radius, elsewhere, []
         self.shingles: list[np.ndarray] = []
         self.sizes: list[int] = []
         for first, data, offsets in batch.runs(pa.array([text for _, text in rows], pa.string())):
@@ -77,8 +95,8 @@ class Items:
                     self.shingles.append(batch.shingle_hashes(own, min(SHINGLE, len(own))))
         self.keys = np.unique(np.concatenate(self.shingles)) if self.shingles else np.zeros(0, np.uint64)
         self.known = batch.HashSet(self.keys)
-        self.rare = math.log(1 + n_items)
-        self.weights = np.array([math.log(1 + n_items / document_counts[int(k)]) for k in self.keys])
+        self.rare = rarity.rare
+        self.weights = rarity.of(self.keys)
         self.local = [np.searchsorted(self.keys, s) for s in self.shingles]
         self.counts = [Counter(x.tolist()) for x in self.local]
         self.totals = [float(self.weights[x].sum()) for x in self.local]
@@ -120,13 +138,12 @@ class Items:
         near = far <= self.radius
         return list(zip(window[near].tolist(), item[near].tolist(), far[near].tolist(), strict=True))
 
-    def similarity(self, item: int, own: np.ndarray) -> float:
-        """Weighted Jaccard of an item and a window's places in ``keys``."""
+    def similarity(self, item: int, own: np.ndarray, weight: np.ndarray) -> float:
+        """Weighted Jaccard of an item and a window, given by its shingles' places in ``keys`` and weights."""
         shared = 0.0
         for k, n in Counter(own[own >= 0].tolist()).items():
             shared += min(n, self.counts[item].get(k, 0)) * self.weights[k]
-        total = float(self.weights[own[own >= 0]].sum()) + self.rare * int((own < 0).sum())
-        return shared / (total + self.totals[item] - shared)
+        return shared / (float(weight.sum()) + self.totals[item] - shared)
 
     def matches(self, words: np.ndarray, least: float) -> list[tuple[int, int, int, int, float]]:
         """(item id, first word, words, distance, similarity) for the word hashes of one text."""
@@ -159,6 +176,9 @@ class Items:
         np.add.at(used, first + width, -1)
         covered = np.flatnonzero(np.cumsum(used)[:-1] > 0)
         weight = np.where(known[covered] >= 0, self.weights[known[covered]], self.rare)
+        if self.elsewhere is not None:
+            other = known[covered] < 0
+            weight[other] = self.elsewhere.value.of(shingles[covered[other]])
         sums = np.zeros((len(covered) + 1, 64))
         np.cumsum(signs(shingles[covered]) * weight[:, None], axis=0, out=sums[1:])
         at = np.searchsorted(covered, first)
@@ -167,7 +187,7 @@ class Items:
         out = []
         for window, item, far in self.within_radius(size, prints):
             start = int(first[window])
-            alike = self.similarity(item, known[start : start + width])
+            alike = self.similarity(item, known[start : start + width], weight[at[window] : at[window] + width])
             if alike >= least - 1e-12:
                 out.append((item, start, length, far, round(alike, 9)))
         return out
@@ -181,27 +201,44 @@ class Items:
         return out
 
 
-def _shingle_counts(rows: list[tuple[int, str]]) -> Counter:
-    counts: Counter = Counter()
-    for _, data, offsets in batch.runs(pa.array([text for _, text in rows], pa.string())):
+def _item_shingles(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The distinct shingles of each text that has words."""
+    for _, data, offsets in batch.runs(texts):
         found = batch.words(data, offsets, inside=WORD_BYTES)
         hashes = found.hashes()
         for row in range(len(offsets) - 1):
             own = hashes[found.first[row] : found.first[row + 1]]
             if len(own):
-                counts.update(set(batch.shingle_hashes(own, min(SHINGLE, len(own))).tolist()))
-    return counts
+                yield np.unique(batch.shingle_hashes(own, min(SHINGLE, len(own))))
+
+
+def _shared_shingles(items: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that several items have, and how many have them."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            own = [*_item_shingles(rows.column(0))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*own, np.zeros(0, np.uint64)]).view(np.int64))], names=["shingle"])
+
+    counts = bounded(items).select("text").mapInArrow(each, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").toArrow()
+    return counts.column("shingle").to_numpy().astype(np.int64).view(np.uint64), counts.column("n").to_numpy().astype(np.int64)
 
 
 def _blocks(benchmark: DataFrame, radius: int, block_chars: int) -> Iterator[Items]:
     """The benchmark in blocks that a task can hold, one at a time on the driver."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_column("text").alias("text"))
-    total = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
-    blocks = -(-total // block_chars) or 1
+    whole = items.agg(F.sum(F.length("text")).alias("chars"), F.count("*").alias("n")).first()
+    blocks, n_items = -(-(whole["chars"] or 0) // block_chars) or 1, max(1, whole["n"])
+    if blocks == 1:
+        rows = [(r["item_id"], r["text"]) for r in items.collect()]
+        own = [*_item_shingles(pa.array([text for _, text in rows], pa.string()))]
+        yield Items(rows, Rarity(*np.unique(np.concatenate([*own, np.zeros(0, np.uint64)]), return_counts=True), n_items), radius)
+        return
+    rarity = Rarity(*_shared_shingles(items), n_items)
+    elsewhere = benchmark.sparkSession.sparkContext.broadcast(rarity)
     for k in range(blocks):
-        mine = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        rows = [(r["item_id"], r["text"]) for r in mine.collect()]
-        yield Items(rows, max(1, len(rows)), _shingle_counts(rows), radius)
+        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
+        yield Items([(r["item_id"], r["text"]) for r in mine.collect()], rarity, radius, elsewhere)
 
 
 def _matches(texts: pa.Array, block: Items, least: float) -> Iterator[tuple[int, list[tuple[int, int, int, int, float]]]]:
@@ -221,7 +258,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, least: float = 0.8,
     """One row per document, item and place where a window of the item's size is similar enough.
 
     ``block_chars`` bounds the characters of items that tasks hold at a time; an item longer than that
-    is a block of its own. Rarity is counted within a block.
+    is a block of its own. It changes no result.
     """
     texts = bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_column("text").alias("text"))
 

@@ -113,6 +113,25 @@ def test_texts_shorter_than_the_item(spark):
     assert kept == set(range(len(texts))) - {d for d, _ in wanted}
 
 
+def test_blocks_change_no_result(spark):
+    rng, known = random.Random(21), vocabulary(2000)
+    common = [prose(rng, 12, known) for _ in range(4)]
+    items = [(k, f"{prose(rng, rng.randint(3, 25), known)} {rng.choice(common)} {prose(rng, rng.randint(0, 8), known)}") for k in range(30)] + [(90, None), (91, "a b c")]
+    texts = ["a b c"]
+    for k in range(120):
+        own = items[k % 30][1].split()
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            own[rng.randrange(len(own))] = rng.choice(known)
+        texts.append(" ".join([rng.choice(common), *own[rng.choice([0, 0, 1, 3]) :], rng.choice(common)]))
+    docs = frame(spark, [(k, t, None, None, None) for k, t in enumerate(texts)])
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    whole = benchmark_matches(docs, benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in whole} == short_leaks(texts, items)
+    assert any(0.8 <= r["similarity"] < 0.9 for r in whole)
+    for block_chars in (2000, 700):
+        same([tuple(r) for r in benchmark_matches(docs, benchmark, block_chars=block_chars).collect()], [tuple(r) for r in whole])
+
+
 def test_blocks_reach_every_fingerprint_in_the_radius():
     rng = np.random.default_rng(1)
     for radius in (3, 9, 20):
