@@ -1,7 +1,8 @@
 """Secret scan: candidates by shape, false positives removed by a random forest.
 
-1. A candidate is a run of at least ``MIN_LENGTH`` characters of base64, hex or identifiers that holds a digit, or that is
-   assigned to a credential word.
+1. Candidates are whole values, quoted or not and of any length, that are assigned to a credential word or stand as the password in
+   user:password@host; and elsewhere runs of at least ``MIN_LENGTH`` characters of base64, hex or identifiers that hold a digit. Runs
+   that single dots join are one candidate.
 2. Its features: length, transitions between kinds of characters, shares of digits, capitals and hex digits, entropy, coverage by
    the dictionary, signs of a path around it, assignment, quotes, and the words next to it. The dictionary is the letter
    trigrams that stand out in the words of all documents.
@@ -48,6 +49,15 @@ _HEX = np.zeros(256, bool)
 _HEX[48:58] = _HEX[65:71] = _HEX[97:103] = True
 _LETTER = batch.LOWER.astype(np.int64) - 97
 _WORD = re.compile(rb"[A-Za-z_][A-Za-z0-9_]*")
+_NAME = re.compile(rb"[A-Za-z0-9_]+$")
+# An unquoted value ends at blanks, quotes and angle brackets, and at a separator before a blank or the next assignment.
+_PLAIN = rb"(?:[^\s\"'`<>&,;]|[&,;](?!\s|$|[A-Za-z_][A-Za-z0-9_.-]*=))+"
+_VALUE = re.compile(
+    rb"(?::=|=>|==|[:=])[ \t]*(?:(?:bearer|basic)[ \t]+)?(?:\"((?:[^\"\\\n]|\\[^\n])+)\"|'((?:[^'\\\n]|\\[^\n])+)'|`([^`\n]+)`|[\"'`]?(" + _PLAIN + rb"))", re.IGNORECASE
+)
+_URL_PASSWORD = re.compile(rb"://[^\s/?#:@\"'`<>]*:([^\s/?#\"'`<>]+)@(?=[A-Za-z0-9\[])")
+_PASSWORD = re.compile(rb":([^\s/?#:@\"'`<>]+)@(?=[A-Za-z0-9\[])")
+_ENDS = {41: b"(", 93: b"[", 125: b"{"}
 TRIGRAMS = 26**3
 
 
@@ -80,7 +90,47 @@ def trigram_dictionary(docs: DataFrame) -> np.ndarray:
     return counts > counts.mean()
 
 
-def _candidate_features(data: np.ndarray, row: tuple[int, int], span: tuple[int, int], dictionary: np.ndarray) -> list[float]:
+def _credential(before: bytes) -> bool:
+    """Whether the name that ends here is a credential word, or one with a prefix."""
+    name = _NAME.search(before[-AROUND:].rstrip(b" \t\"'`"))
+    if not name:
+        return False
+    word = name.group().lower().decode()
+    return word in CREDENTIAL_WORDS or any(word.endswith(f"_{w}") for w in CREDENTIAL_WORDS)
+
+
+def assigned_values(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, bool]]:
+    """(row, start, end, credential) of the values of credential words and the passwords before @, in order and apart from each other.
+
+    ``credential`` is false for a password before @ that is not in a URL: its context does not say what it is.
+    """
+    raw = data.tobytes()
+    out, done = [], 0
+    signs = np.flatnonzero((data == 58) | (data == 61))
+    rows = np.searchsorted(offsets, signs, "right") - 1
+    for at, row in zip(signs.tolist(), rows.tolist(), strict=True):
+        if at < done:
+            continue
+        low, high = int(offsets[row]), int(offsets[row + 1])
+        credential = True
+        if _credential(raw[max(low, at - AROUND) : at]) and (found := _VALUE.match(raw, at, high)):
+            start, end = found.span(found.lastindex)
+            while found.lastindex == 4 and end > start and (raw[end - 1] in b".,;:" or (raw[end - 1] in _ENDS and _ENDS[raw[end - 1]] not in raw[start:end])):
+                end -= 1
+        elif raw.startswith(b"://", at) and (found := _URL_PASSWORD.match(raw, at, high)):
+            start, end = found.span(1)
+        elif at > low and _NAME.search(raw[at - 1 : at]) and (found := _PASSWORD.match(raw, at, high)):
+            start, end, credential = *found.span(1), False
+        else:
+            continue
+        if end > start:
+            out.append((row, start, end, credential))
+            done = end
+    return out
+
+
+def _candidate_features(data: np.ndarray, row: tuple[int, int], span: tuple[int, int], dictionary: np.ndarray, credential: bool | None = None) -> list[float]:
+    """``credential`` says what is known of a value that ``assigned_values`` found; it is not part of a path then."""
     start, end = span
     own = data[start:end]
     n = len(own)
@@ -97,13 +147,17 @@ def _candidate_features(data: np.ndarray, row: tuple[int, int], span: tuple[int,
     near = before.rstrip(b"\"'` ")
     assigned = near.endswith((b"=", b":", b"=>"))
     words_before = [w.lower().decode() for w in _WORD.findall(before)][::-1][:4]
-    words_after = [w.lower().decode() for w in _WORD.findall(after)][:2]
-    distance = next((k for k, w in enumerate(words_before) if w in CREDENTIAL_WORDS), 9)
+    login = credential is not None and after[:1] == b"@"
+    words_after = [] if login else [w.lower().decode() for w in _WORD.findall(after)][:2]  # a host's name says nothing
+    distance = 0 if credential else next((k for k, w in enumerate(words_before) if w in CREDENTIAL_WORDS), 9)
     around = {*words_before, *words_after}
+    credential_word = bool(credential or around & CREDENTIAL_WORDS)
+    path_after = after[:1] in (b".", b"@", b":", b"\\") and not login
+    assigned = assigned or credential is not None
     return [
         n, float((kinds[1:] != kinds[:-1]).sum()) / max(1, n - 1), float((kinds == 1).mean()), float((kinds == 2).mean()), float(_HEX[own].mean()), float(-(share * np.log2(share)).sum()),
-        float(covered.mean()), float((kinds == 0).mean()), float(before[-1:] in (b"/", b".", b"@", b"\\")), float((own == 47).sum()), float(after[:1] in (b".", b"@", b":", b"\\")), float(assigned),
-        float(before[-1:] in (b'"', b"'", b"`") and after[:1] == before[-1:]), float(bool(around & CREDENTIAL_WORDS)), float(bool(around & HARMLESS_WORDS)), float(distance),
+        float(covered.mean()), float((kinds == 0).mean()), float(before[-1:] in (b"/", b".", b"@", b"\\")), float((own == 47).sum()), float(path_after), float(assigned),
+        float(before[-1:] in (b'"', b"'", b"`") and after[:1] == before[-1:]), float(credential_word), float(bool(around & HARMLESS_WORDS)), float(distance),
     ]
 
 
@@ -112,26 +166,36 @@ def candidates(data: np.ndarray, offsets: np.ndarray, dictionary: np.ndarray) ->
     found = batch.words(data, offsets, lower=False, inside=_CANDIDATE)
     digits = np.concatenate([[0], np.cumsum(_KIND[data] == 1)])
     long = np.flatnonzero(found.ends - found.starts >= MIN_LENGTH)
-    rows = np.searchsorted(offsets, found.starts[long], "right") - 1
-    for k, row in zip(long.tolist(), rows.tolist(), strict=True):
-        start, end = int(found.starts[k]), int(found.ends[k])
-        bounds = (int(offsets[row]), int(offsets[row + 1]))
-        if digits[end] == digits[start]:
-            near = data[max(bounds[0], start - AROUND) : start].tobytes().rstrip(b"\"'` ")
-            words = _WORD.findall(near)
-            if not near.endswith((b"=", b":")) or not words or words[-1].lower().decode() not in CREDENTIAL_WORDS:
-                continue
-        yield row, start, end, _candidate_features(data, bounds, (start, end), dictionary)
+    starts, ends = found.starts[long], found.ends[long]
+    rows = np.searchsorted(offsets, starts, "right") - 1
+    # Neighbours that a single dot joins are one.
+    joined = (starts[1:] - ends[:-1] == 1) & (rows[1:] == rows[:-1]) & (data[np.minimum(ends[:-1], max(0, len(data) - 1))] == 46)
+    first = np.concatenate([np.ones(min(1, len(long)), bool), ~joined])
+    starts, rows, ends = starts[first], rows[first], ends[np.concatenate([~joined, np.ones(min(1, len(long)), bool)])]
+    values = assigned_values(data, offsets)
+    # A run that shares bytes with a value is part of it.
+    value_starts, value_ends = np.array([v[1] for v in values], np.int64), np.array([v[2] for v in values], np.int64)
+    free = np.searchsorted(value_ends, starts, "right") == np.searchsorted(value_starts, ends, "left")
+    free &= digits[ends] > digits[starts]
+    every = [(row, start, end, None) for row, start, end in zip(rows[free].tolist(), starts[free].tolist(), ends[free].tolist(), strict=True)]
+    for row, start, end, credential in sorted(values + every, key=lambda x: x[1]):
+        yield row, start, end, _candidate_features(data, (int(offsets[row]), int(offsets[row + 1])), (start, end), dictionary, credential)
 
 
 def weak_label(features: list[float]) -> int | None:
     """1 if context and value both speak for a secret, 0 if both speak against one, else None."""
     f = dict(zip(FEATURES, features, strict=True))
     context = f["assigned"] and f["credential_distance"] <= 1 and not f["harmless_word"]
-    random = f["entropy"] >= 3 and f["dictionary"] < 0.5 and f["digits"] < 1
+    # A short value cannot reach the entropy of a long one; it is random if it mixes digits with others.
+    mixed = f["length"] >= 6 and f["digits"] > 0 and f["entropy"] >= 0.85 * np.log2(f["length"])
+    random = (f["entropy"] >= 3 or mixed) and f["dictionary"] < 0.5 and f["digits"] < 1 and f["separators"] < 0.5
     path = f["path_before"] or f["path_inside"] > 1 or f["path_after"]
     if context and random and not path:
         return 1
+    # What follows a colon in prose: a word or a sentence, not a value.
+    word = f["digits"] == 0 and f["upper"] * f["length"] <= 1 and (f["dictionary"] >= 0.5 or f["length"] < 4) and (f["length"] < MIN_LENGTH or f["separators"] > 0.05)
+    if context and word:
+        return 0
     if not f["credential_word"] and (path or f["dictionary"] >= 0.6 or f["digits"] == 1 or f["harmless_word"]):
         return 0
     return None
@@ -241,7 +305,7 @@ def scored_candidates(docs: DataFrame, forest: Forest, dictionary: np.ndarray, l
                 chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
                 scores = forest.predict(np.array([f for *_, f in found]).reshape(-1, len(FEATURES)))
                 out = [
-                    (rows.column(0)[first + row].as_py(), int(chars[start] - chars[offsets[row]]), end - start, data[start:end].tobytes().decode(), round(float(score), 9), bool(score >= least))
+                    (rows.column(0)[first + row].as_py(), int(chars[start] - chars[offsets[row]]), int(chars[end] - chars[start]), data[start:end].tobytes().decode(), round(float(score), 9), bool(score >= least))
                     for (row, start, end, _), score in zip(found, scores, strict=True)
                 ]
                 columns = list(zip(*out, strict=True)) or [()] * len(schema)

@@ -244,6 +244,41 @@ def test_secrets_are_told_from_numbers_and_paths(spark):
         assert secret[k] or cleaned[k] == text
 
 
+JWT = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5Nx"
+VALUES = [
+    ("password: hunter2secret", "hunter2secret", True), ("pwd=Tr0ub4dor&3xyz!", "Tr0ub4dor&3xyz!", True), ("postgres://bob:s3cr3tPw9@db.example.org/x", "s3cr3tPw9", True),
+    ('DB_PASSWORD="my pass 9 word!x"', "my pass 9 word!x", True), ('{"api_key": "aB3$xY"}', "aB3$xY", True), (f"Authorization: Bearer {JWT}", JWT, True), (f"token={JWT}&user=7", JWT, True),
+    ("secret = 'pässwörd9'", "pässwörd9", True), ('password = "x7', "x7", True), (f"see {JWT}, or not", JWT, None), ("login bob:s3cr3t@ftp.example.org", "s3cr3t", None),
+    ("the key: it", "it", False), ("Password: required.", "required", False), ("mailto:bob@host.com", "bob", False),
+]
+
+
+def test_whole_values_of_any_length_are_candidates(spark):
+    rng = random.Random(5)
+    known = "the of and required optional value text word report nation station order letter number under water other".split()
+    texts = [f"Some text, é {tail}" for tail, *_ in VALUES]
+    for k in range(240):
+        value = "".join(rng.choices("0123456789abcdef", k=40))
+        tail = [f'token = "{value}"', f"password: {value}", "".join(rng.choices("0123456789", k=16)), f"commit {value}", f"password: {rng.choice(known)}", f"the key: {rng.choice(['it', 'a', 'so'])}", f"pwd: {''.join(rng.choices('abcdefghkmnpqrstuvwxyzABCDEFGH23456789', k=rng.randint(7, 12)))}"][k % 7]
+        texts.append(" ".join(rng.choices(known, k=30)) + " " + tail + " " + " ".join(rng.choices(known, k=8)))
+    docs = frame(spark, [(k, t, None, None, None) for k, t in enumerate(texts)])
+    found = {}
+    for r in secret_scan(docs).collect():
+        assert texts[r["doc_id"]][r["start"] : r["start"] + r["length"]] == r["value"]
+        found.setdefault(r["doc_id"], []).append((r["value"], r["secret"]))
+    cleaned = {r["doc_id"]: r["text"] for r in without_secrets(docs.select("doc_id", "text", "n_chars")).collect()}
+    for k, (_, value, secret) in enumerate(VALUES):
+        assert [v for v, _ in found[k]] == [value]
+        if secret is not None:
+            assert found[k][0][1] == secret, value
+            assert cleaned[k] == (texts[k].replace(value, "[SECRET]") if secret else texts[k])
+
+
+def test_values_do_not_cross_texts(spark):
+    docs = spark.createDataFrame([(0, "password:"), (1, "hunter2 and more"), (2, "https://bob:"), (3, "pw9@host"), (4, None)], "doc_id long, text string").coalesce(1)
+    assert secret_scan(docs).count() == 0
+
+
 def test_own_findings_train_the_forest(spark, rows):
     docs = frame(spark, [(0, 'note abc "0123456789abcdef0123"', None, None, None)])
     dictionary = trigram_dictionary(docs)
