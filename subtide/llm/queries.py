@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from subtide.llm.chat import format_conversations
 from subtide.llm.decontamination import benchmark_matches
+from subtide.llm.filter_audit import filter_audit
 from subtide.llm.html_text import extract_main_text
 from subtide.llm.jaccard_join import jaccard_components
 from subtide.llm.licenses import license_scan
@@ -18,6 +19,8 @@ from subtide.llm.quality_ranking import quality_scores
 from subtide.llm.repeats import repeated_spans
 from subtide.llm.secrets import secret_scan
 from subtide.llm.shared import table
+from subtide.llm.spelling import spelling_variants
+from subtide.llm.topk import top_k
 
 
 def tokenizer_file() -> str:
@@ -89,6 +92,21 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes at each step of all orders, per source."""
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, the frequent word one edit away and the root it leads to."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five vectors of largest integer inner product with each fiftieth vector."""
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -100,6 +118,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_license_scan": op9_license_scan,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_exact_top_k": op13_exact_top_k,
 }
 
 # The formatted length follows from the grammar: marks of each role, and one guard per mark where the plain form would be misread.
@@ -218,9 +239,111 @@ WITH RECURSIVE docs AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM docs JOIN smallest USING (row) LEFT JOIN sizes USING (row)
 """
 
+# Every order is run in full: the step at which a document goes is the first whose filter it fails.
+_OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents
+), worded AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first FROM docs
+), failed AS (
+  SELECT row, part,
+    (CASE WHEN len(words) < 200 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END)
+    || (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 'C' ELSE '' END)
+    || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END) || (CASE WHEN doc_id > first THEN 'E' ELSE '' END) AS fails,
+    EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = worded.doc_id AND quality = 1) AS good,
+    EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = worded.doc_id AND toxic = 1) AS toxic
+  FROM worded
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+), orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), steps AS (
+  SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM orders
+), lettered AS (
+  SELECT filter_order, step, substring(filter_order, step, 1) AS f, substring(filter_order, 1, step - 1) AS earlier FROM steps
+), kinds AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failed GROUP BY part, fails
+), ran AS (
+  SELECT part, filter_order, step, f, fails, n, good, toxic, contains(fails, f) AS hit,
+    earlier <> '' AND regexp_matches(fails, '[' || earlier || '-]') AS gone
+  FROM kinds, lettered
+), summed AS (
+  SELECT part, filter_order, step, f,
+    coalesce(sum(n) FILTER (NOT gone AND NOT hit), 0) AS kept, coalesce(sum(n) FILTER (NOT gone AND hit), 0) AS removed,
+    coalesce(sum(n) FILTER (gone AND hit), 0) AS redundant, coalesce(sum(n) FILTER (fails = f), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (NOT gone AND hit), 0) AS good_lost, coalesce(sum(toxic) FILTER (NOT gone AND hit), 0) AS toxic_lost
+  FROM ran GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM summed
+"""
+
+# CRC-32 a byte at a time with its table of 256 entries; words one edit apart share what is left of them without some letter.
+_OP12_SQL = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+  FROM (SELECT unnest(generate_series(0::BIGINT, 255::BIGINT)) AS b)
+), runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+  FROM documents
+), counted_runs AS (
+  SELECT id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY id, run
+), coded AS (
+  SELECT *, hex(encode(id || ':' || run)) AS digits FROM counted_runs
+), bytes AS (
+  SELECT run, n, list_transform(generate_series(1, len(digits), 2),
+    lambda k: CAST(16 * (instr('0123456789ABCDEF', digits[k]) - 1) + instr('0123456789ABCDEF', digits[k + 1]) - 1 AS BIGINT)) AS own FROM coded
+), hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, own), lambda c, b: xor(c >> 8, t[CAST(xor(c & 255, b) AS INTEGER) + 1])), 4294967295) AS h FROM bytes, crc_table
+), spelled AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelled WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), cut AS (
+  SELECT word, n, place, substring(word, 1, place - 1) || substring(word, place + 1) AS rest
+  FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS place FROM words)
+), near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.place = b.place AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, max(near_n) AS most FROM near GROUP BY word
+), formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.most >= 5 * w.n THEN b.most END AS form_n,
+    CASE WHEN b.most >= 5 * w.n THEN (SELECT min(near) FROM near x WHERE x.word = w.word AND x.near_n = b.most) END AS form
+  FROM words w LEFT JOIN best b USING (word)
+), chain(word, root) AS (
+  SELECT word, coalesce(form, word) FROM formed
+  UNION
+  SELECT c.word, f.form FROM chain c JOIN formed f ON c.root = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM formed f JOIN chain c USING (word) JOIN formed r ON r.word = c.root WHERE r.form IS NULL
+"""
+
+_OP13_SQL = r"""
+WITH whole AS (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT row, vec_id, unnest(v) AS x, unnest(generate_series(1, len(v))) AS dim FROM whole
+), pairs AS (
+  SELECT q.row AS asked, q.vec_id AS query_id, c.row, c.vec_id, sum(q.x * c.x) AS score
+  FROM parts q JOIN parts c ON q.dim = c.dim AND q.row <> c.row WHERE q.vec_id % 50 = 0 GROUP BY q.row, q.vec_id, c.row, c.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY asked ORDER BY score DESC, vec_id) AS rank FROM pairs
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 5
+"""
+
 ORACLES: dict[str, str] = {
     "op1_suffix_array_dedup": _OP1_SQL,
     "op2_quality_rules": _OP2_SQL,
     "op3_jaccard_join": _OP3_SQL,
     "op5_chat_formatting": _OP5_SQL,
+    "op11_filter_audit": _OP11_SQL,
+    "op12_spelling_variants": _OP12_SQL,
+    "op13_exact_top_k": _OP13_SQL,
 }
