@@ -1,0 +1,110 @@
+"""Spelling variants against all pairs of words."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+import texts
+from pyspark.sql import functions as F
+
+from subtide.llm import spelling
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def distance_is_one(a: str, b: str) -> bool:
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+
+def counted(rows: list[tuple], misspell: int = 199) -> dict[str, int]:
+    n = Counter()
+    for doc_id, text, *_ in rows:
+        for run in RUN.findall(texts.lowered(text)):
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % misspell == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            n[run] += 1
+    return {w: k for w, k in n.items() if len(w) >= 6 and k >= 5}
+
+
+def brute(n: dict[str, int]) -> list[tuple]:
+    near = {w: [v for v in n if distance_is_one(w, v)] for w in n}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best is not None and n[best] >= 5 * n[w] else None
+    out = []
+    for w in n:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n[w], len(near[w]), n[form[w]] if form[w] else None))
+    return out
+
+
+def corpus(seed: int = 3) -> list[tuple]:
+    rng = random.Random(seed)
+    syllables = ["ta", "re", "mi", "on", "é", "ßu", "kel", "ÿ", "Àr", "×"]
+    known = ["".join(rng.choices(syllables, k=rng.randint(2, 5))) for _ in range(120)]
+    weights = [1 / (k + 1) for k in range(len(known))]
+    rows = []
+    for k in range(150):
+        words = rng.choices(known, weights, k=rng.randint(0, 200))
+        words = [w if rng.random() > 0.1 else w[:1] + rng.choice("aeé") + w[2:] for w in words]
+        rows.append((k, rng.choice([" ", "\n", "1", "-"]).join(words).title() if k % 5 else " ".join(words), "xx", "s", 1))
+    chain = ["letters"] * 3200 + ["lettars"] * 640 + ["lettarz"] * 128 + ["lettaz"] * 25 + ["letaz" + "z"] * 5
+    return [*rows, (500, " ".join(chain), None, None, None), (501, None, None, None, None), (502, "", None, None, None), (None, "x" * 5000 + " letters", None, None, None), *rows[3:5]]
+
+
+def frame(spark, rows):
+    docs = texts.frame(spark, rows)
+    for name in ("word", "n", "run", "h", "vec", "unit", "probe", "root", "form", "near"):
+        docs = docs.withColumn(name, F.lit("clash"))
+    return docs
+
+
+@pytest.mark.parametrize("misspell", [199, 7])
+def test_against_all_pairs(spark, misspell):
+    rows = corpus()
+    got = [tuple(r) for r in spelling.spelling_variants(frame(spark, rows), misspell=misspell).collect()]
+    wanted = brute(counted(rows, misspell))
+    texts.same(got, wanted)
+    assert {r[0]: r[2] for r in wanted}.get("lettaz") == "letters" or misspell == 7
+    assert sum(r[1] is not None for r in wanted) > 10
+
+
+@pytest.mark.parametrize("most", [1, 3, 40])
+def test_open_nodes_change_no_result(spark, most):
+    """Units of a few words, and vectors with more words than a unit may have."""
+    rng = random.Random(8)
+    words = {"".join(rng.choices("abcmno", k=rng.randint(6, 8))): rng.randint(5, 900) for _ in range(400)}
+    # Anagrams share one vector.
+    words |= {"".join(rng.sample("aabbccd", 7)): rng.randint(5, 900) for _ in range(150)}
+    frame_ = spark.createDataFrame(list(words.items()), "word string, n long").repartition(5)
+    got = [tuple(r) for r in spelling.variant_forms(frame_, most=most).collect()]
+    texts.same(got, brute(words))
+
+
+def test_misspellings_lead_back(spark):
+    """Words cut by the rule are found beside the words they were cut from."""
+    words = {"orchard": 4000, "rchard": 20, "ochard": 20, "orcharx": 800, "orchad": 30, "garden": 9}
+    got = {r.word: r for r in spelling.variant_forms(spark.createDataFrame(list(words.items()), "word string, n long")).collect()}
+    assert all(got[w].root == "orchard" for w in ("rchard", "ochard", "orchad", "orcharx"))
+    assert got["garden"].form is None and got["garden"].n_near == 0 and got["garden"].root == "garden"
+
+
+def test_empty(spark):
+    assert spelling.spelling_variants(frame(spark, corpus()[:2]).limit(0)).collect() == []
+    assert spelling.spelling_variants(frame(spark, [(1, None, None, None, None), (2, "", None, None, None)])).collect() == []
+
+
+def test_one_edit():
+    rng = random.Random(2)
+    for _ in range(3000):
+        a, b = ("".join(rng.choices("ab", k=rng.randint(1, 6))) for _ in range(2))
+        assert spelling.one_edit(a, b) == distance_is_one(a, b), (a, b)

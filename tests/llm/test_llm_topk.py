@@ -1,0 +1,101 @@
+"""Exact top k against all inner products."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+import texts
+from pyspark.sql import functions as F
+
+from subtide.llm import topk
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(rows: list[tuple], k: int = 5, every: int = 50) -> list[tuple]:
+    usable = []
+    for vec_id, vector in rows:
+        if vec_id is not None and vector is not None and all(x is not None and math.isfinite(x) for x in vector):
+            usable.append((vec_id, [math.floor(256 * float(np.float32(x))) for x in vector]))
+    out = []
+    for a, (query_id, query) in enumerate(usable):
+        if query_id % every:
+            continue
+        scored = [(-sum(x * y for x, y in zip(query, v, strict=False)), vec_id) for b, (vec_id, v) in enumerate(usable) if a != b]
+        out += [(query_id, rank, vec_id, -score) for rank, (score, vec_id) in enumerate(sorted(scored)[:k], 1)]
+    return out
+
+
+def vectors(n: int = 420, dims: int = 16, seed: int = 4) -> list[tuple]:
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(6, dims))
+    rows = []
+    for k in range(n):
+        v = centres[k % 6] + rng.normal(size=dims)
+        rows.append((k, [float(x) for x in np.float32(v / np.linalg.norm(v))]))
+    same = rows[7][1]
+    rows += [(n + k, same) for k in range(60)]  # a vector that many rows have
+    rows += [(50, rows[3][1]), (50, rows[3][1]), (100, rows[100][1])]  # ids that occur twice
+    rows += [(900, None), (950, [None] * dims), (1000, [float("nan")] + [0.0] * (dims - 1)), (1050, [float("inf")] * dims), (None, same)]
+    rows += [(1100, []), (1150, [0.0] * dims), (1200, [-1.0] * dims), (1250, [0.5]), (-50, [-x for x in same]), (1300, [3000.0] * dims)]
+    return rows
+
+
+def search(spark, rows, **named):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    for name in ("id", "vector", "slice", "block", "lane", "rank", "score", "query_id", "ids"):
+        df = df.withColumn(name, F.lit("clash"))
+    return [tuple(r) for r in topk.top_k(df, **named).collect()]
+
+
+def test_against_all_products(spark):
+    rows = vectors()
+    texts.same(search(spark, rows), brute(rows))
+
+
+@pytest.mark.parametrize(("block", "few"), [(16, 1), (64, 3), (4096, 0)])
+def test_blocks_and_stops_change_no_result(spark, monkeypatch, block, few):
+    monkeypatch.setattr(topk, "BLOCK", block)
+    monkeypatch.setattr(topk, "FEW", few)
+    monkeypatch.setattr(topk, "GROUP", 2)
+    rows = vectors(300, 8, 9)
+    texts.same(search(spark, rows, every=10), brute(rows, every=10))
+
+
+def test_fewer_candidates_than_k(spark):
+    rows = [(0, [0.1, 0.2]), (1, [0.3, -0.4]), (50, [0.0, 1.0])]
+    texts.same(search(spark, rows), brute(rows))
+    assert search(spark, rows[:1]) == []
+    assert search(spark, [(1, [0.1]), (2, [0.2])]) == []
+
+
+def test_empty(spark):
+    assert topk.top_k(spark.createDataFrame([], SCHEMA)).collect() == []
+    assert search(spark, [(0, None), (50, None)]) == []
+
+
+def test_reading_stops_on_proof():
+    """On clustered vectors most postings are never read, and the best are the best."""
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(40, 64))
+    v = centres[rng.integers(0, 40, 4000)] + 0.6 * rng.normal(size=(4000, 64))
+    impacts = np.floor(256 * v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.int64)
+    block = topk.Block(impacts)
+    shares = []
+    for q in range(0, 4000, 100):
+        rows, scores, read = block.top(impacts[q], 5, None, q)
+        every = np.delete(impacts @ impacts[q], q)
+        assert sorted(scores)[-5:] == sorted(every)[-5:]
+        shares.append(read / impacts.size)
+    assert np.mean(shares) < 0.35
+
+
+def test_thresholds_between_segments():
+    rng = random.Random(3)
+    impacts = np.array([[rng.randint(-9, 9) for _ in range(5)] for _ in range(40)])
+    block = topk.Block(impacts)
+    for level in (0, 1, 7, 30, 81):
+        query = np.array([3, -3, 0, 9, -1])
+        wanted = [int((impacts[:, d] * query[d] > level).sum()) for d in range(5)]
+        assert block._until(query, level).tolist() == wanted
