@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subtide.llm import batch
-from subtide.llm.shared import bounded, text_column
+from subtide.llm.shared import bounded, mapped, text_column
 
 SHINGLE = 5
 SCHEMA = "doc_id long, item_id long, start_word long, n_words long, hamming int, similarity double"
@@ -289,5 +289,5 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, least: float = 0.8,
         return clean
 
     for block in _blocks(benchmark, radius, block_chars):
-        docs = bounded(docs).mapInArrow(clean_of(block), docs.schema)
+        docs = mapped(bounded(docs), clean_of(block), docs.schema)
     return docs

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from subtide.llm import batch
 from subtide.llm.bits import holds, key_bits
-from subtide.llm.shared import bounded, split_join, text_column, written
+from subtide.llm.shared import bounded, quoted, split_join, text_column, unused, written
 
 SKETCH_BITS = 18
 CROWD = 4096
@@ -368,18 +368,18 @@ def _with_class(texts: DataFrame, n: int, wanted: np.ndarray) -> DataFrame:
     return texts.select("text").mapInArrow(keyed, "class binary, text string")
 
 
-def without_near_copies(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
+def without_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that name their component, one of equal rows; documents without an id stay if no linked one has an id."""
     found = jaccard_components(docs, n, percent)
     # Keys without nulls, the same on both sides, so the copies of a row are counted where the join has put them.
-    keys = ["_no_id", "_id", "_hash"]
+    *keys, copy = unused(docs.columns, "no_id", "id", "hash", "copy")
 
     def keyed(rows: DataFrame, text_hash: Column) -> DataFrame:
         doc_id = F.col("doc_id").cast("long")
-        return rows.withColumns({"_no_id": doc_id.isNull(), "_id": F.coalesce(doc_id, F.lit(0)), "_hash": text_hash})
+        return rows.withColumns(dict(zip(keys, (doc_id.isNull(), F.coalesce(doc_id, F.lit(0)), text_hash), strict=True)))
 
     named = keyed(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))), F.col("text_hash")).select(*keys).distinct()
     kept = keyed(docs, F.xxhash64(text_column("text"))).join(named, keys, "left_semi")
     # Rows that name their component twice are equal in id and text; one of them stays.
     one = Window.partitionBy(*keys).orderBy(*keys)
-    return kept.withColumn("_copy", F.row_number().over(one)).where("_copy = 1").select(*docs.columns)
+    return kept.withColumn(copy, F.row_number().over(one)).where(F.col(copy) == 1).select(*map(quoted, docs.columns))

@@ -5,14 +5,13 @@ its words stand in windows of 5 words that occur twice in it.
 
 1. Lines are normalised (A-Z lower-cased, words joined by one space) and hashed.
 2. Per host and line, distinct texts are counted, so a group of copies counts once. A line of any length is boilerplate if
-   more than ``min_documents`` texts and more than ``min_share`` of the host's distinct texts have it. ``longest`` leaves lines of
-   more words alone, ``share_of_rows`` takes the share of all rows of the host, copies included.
+   more than ``min_documents`` texts and more than ``min_share`` of the host's distinct texts have it.
 3. Boilerplate lines are removed. A document left with less than ``min_left`` of its words is depleted and rejected.
 
 Counts are summed before every shuffle, so a line or a host that a third of all documents have is a few rows a task.
 
 Null text has no words and fails. Null host is a host of its own. Repeated rows count once and each get the result; an
-empty table gives no rows; other columns are ignored.
+empty table gives no rows; other columns are ignored, whatever they are called.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subtide.llm import batch
-from subtide.llm.shared import bounded, text_column, written
+from subtide.llm.shared import bounded, mapped, quoted, text_column, unused, written
 
 WINDOW = 5
 
@@ -55,8 +54,8 @@ def _firsts(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
-def text_counts(data: np.ndarray, offsets: np.ndarray, longest: int | None = None) -> tuple[dict[str, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Base counts of each row; and row, hash and words of each row's distinct normalised lines of at most ``longest`` words (None: of any length), all places summed."""
+def text_counts(data: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Base counts of each row; and row, hash and words of each row's distinct normalised lines, all places summed."""
     n = len(offsets) - 1
     found = batch.words(data, offsets, lower=False)
     lowered = batch.words(data, offsets).hashes()
@@ -84,9 +83,6 @@ def text_counts(data: np.ndarray, offsets: np.ndarray, longest: int | None = Non
     np.add.at(change, twice, 1)
     np.add.at(change, twice + WINDOW, -1)
     counts["n_repeat_words"] = np.bincount(rows[np.cumsum(change[:-1]) > 0], minlength=n)
-    if longest is not None:
-        short = end_word - first_word <= longest
-        line_row, first_word, end_word = line_row[short], first_word[short], end_word[short]
     lines = batch.span_hashes(batch.prefix_sums(lowered), first_word, end_word)
     order, new = _firsts(line_row, lines)
     begin = np.flatnonzero(new)
@@ -97,7 +93,7 @@ def text_counts(data: np.ndarray, offsets: np.ndarray, longest: int | None = Non
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def _counted(docs: DataFrame, longest: int | None) -> DataFrame:
+def _counted(docs: DataFrame) -> DataFrame:
     """doc_id, host, two hashes of the text, base counts, lines: array of struct(line, words)."""
     line = pa.struct([("line", pa.int64()), ("words", pa.int32())])
     keep = [("doc_id", pa.int64()), ("host", pa.string()), ("t1", pa.int64()), ("t2", pa.int64())]
@@ -106,7 +102,7 @@ def _counted(docs: DataFrame, longest: int | None) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for first, data, offsets in batch.runs(rows.column("text")):
-                counts, (line_row, hashes, words) = text_counts(data, offsets, longest)
+                counts, (line_row, hashes, words) = text_counts(data, offsets)
                 n = len(offsets) - 1
                 lines = pa.StructArray.from_arrays([pa.array(hashes), pa.array(words.astype(np.int32))], fields=list(line))
                 ends = np.searchsorted(line_row, np.arange(n + 1))
@@ -124,21 +120,20 @@ def _counted(docs: DataFrame, longest: int | None) -> DataFrame:
     return chosen.mapInArrow(count, kinds)
 
 
-def _boilerplate(counted: DataFrame, min_documents: int, min_share: float, share_of_rows: bool) -> DataFrame:
+def _boilerplate(counted: DataFrame, min_documents: int, min_share: float) -> DataFrame:
     """host, t1, t2, line, words: the boilerplate lines of each text."""
     by_text = counted.select("host", "t1", "t2", F.inline("lines")).distinct()
-    documents = counted.select("host") if share_of_rows else counted.select("host", "t1", "t2").distinct()
-    hosts = documents.groupBy("host").agg(F.count("*").alias("documents"))
+    hosts = counted.select("host", "t1", "t2").distinct().groupBy("host").agg(F.count("*").alias("documents"))
     frequent = by_text.groupBy("host", "line").agg(F.count("*").alias("texts")).where(F.col("texts") > min_documents)
     frequent = frequent.join(hosts.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of"))).where(F.col("texts") > min_share * F.col("documents"))
     frequent = frequent.select(F.col("host").alias("of"), F.col("line").alias("frequent"))
     return by_text.join(frequent, F.col("host").eqNullSafe(F.col("of")) & (F.col("line") == F.col("frequent"))).drop("of", "frequent")
 
 
-def quality_verdicts(docs: DataFrame, min_documents: int = 20, min_share: float = 0.001, min_left: float = 0.2, longest: int | None = None, share_of_rows: bool = False) -> DataFrame:
+def quality_verdicts(docs: DataFrame, min_documents: int = 20, min_share: float = 0.001, min_left: float = 0.2) -> DataFrame:
     """Per document: doc_id, base counts, n_boilerplate_words, base_failed, kept; with host, t1, t2 and ``boilerplate``, the hashes of its boilerplate lines."""
-    counted = written(_counted(docs, longest), "line-counts")
-    lines = _boilerplate(counted, min_documents, min_share, share_of_rows)
+    counted = written(_counted(docs), "line-counts")
+    lines = _boilerplate(counted, min_documents, min_share)
     per_text = lines.groupBy(F.col("host").alias("of"), F.col("t1").alias("o1"), F.col("t2").alias("o2")).agg(F.sum("words").alias("gone"), F.collect_list("line").alias("boilerplate"))
     same = F.col("host").eqNullSafe(F.col("of")) & (F.col("t1") == F.col("o1")) & (F.col("t2") == F.col("o2"))
     joined = counted.drop("lines").join(per_text, same, "left").withColumn("n_boilerplate_words", F.coalesce("gone", F.lit(0)))
@@ -151,12 +146,12 @@ def quality_verdicts(docs: DataFrame, min_documents: int = 20, min_share: float
 
 def without_low_quality(docs: DataFrame, **limits: float) -> DataFrame:
     """The rows of ``docs`` that are kept, their boilerplate lines removed; n_chars, if there is one, is counted anew."""
-    verdicts = quality_verdicts(docs, **limits).where("kept").select("host", F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), "boilerplate").dropDuplicates(["host", "_t1", "_t2"])
-    verdicts = verdicts.withColumnRenamed("host", "_host").withColumnRenamed("boilerplate", "_boilerplate")
-    text = text_column("text")
-    same = F.col("source").cast("string").eqNullSafe(F.col("_host")) & (F.xxhash64(text) == F.col("_t1")) & (F.xxhash64(F.lit(1), text) == F.col("_t2"))
-    kept = docs.join(verdicts, same).drop("_host", "_t1", "_t2")
     names = docs.columns
+    of, one, two, cut = unused(names, "of", "one", "two", "cut")
+    verdicts = quality_verdicts(docs, **limits).where("kept").select("host", "t1", "t2", "boilerplate").dropDuplicates(["host", "t1", "t2"]).toDF(of, one, two, cut)
+    text = text_column("text")
+    same = F.col("source").cast("string").eqNullSafe(F.col(of)) & (F.xxhash64(text) == F.col(one)) & (F.xxhash64(F.lit(1), text) == F.col(two))
+    kept = docs.join(verdicts, same).select(*map(quoted, names), cut)
     at, own = names.index("text"), len(names)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,9 +163,9 @@ def without_low_quality(docs: DataFrame, **limits: float) -> DataFrame:
                     texts[k] = without_lines(texts[k], set(lines))
             columns = [*rows.columns[:own]]
             columns[at] = pa.array(texts, rows.column(at).type)
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays(columns, names=rows.schema.names[:own])
 
-    cleaned = kept.select(*names, "_boilerplate").mapInArrow(clean, docs.schema)
+    cleaned = mapped(kept, clean, docs.schema)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in names else cleaned
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from subtide.llm import batch
 from subtide.llm.line_quality import text_counts
-from subtide.llm.shared import bounded, text_column, written
+from subtide.llm.shared import bounded, hash_sample, text_column, written
 
 THRESHOLD = 0.7
 
@@ -144,7 +144,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", s
     """Per document: doc_id, held_out, score, predicted. Rows whose crc32(doc_id) is 2 modulo 4 never teach."""
     features = written(document_features(docs), "features")
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where("label IN (0, 1)").where(~held_out("doc_id"))
-    taught = known.join(features, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample).select("label", "features").collect()
+    taught = hash_sample(known.join(features, "doc_id").select("doc_id", "label", "features"), F.col("doc_id"), sample, known.count())
     x = np.array([r["features"] for r in taught]).reshape(-1, len(FEATURES))
     ranking = fit_ranking(x, np.array([r["label"] for r in taught], np.int64))
 

@@ -36,8 +36,8 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base counts of all documents and what is left without lines of at most 30 words that their host repeats, shares of all rows, as its SQL has it."""
-    return quality_verdicts(table(spark, sf_dir, "documents"), longest=30, share_of_rows=True).drop("host", "t1", "t2", "boilerplate")
+    """Base counts of all documents and what is left without lines that their host repeats."""
+    return quality_verdicts(table(spark, sf_dir, "documents")).drop("host", "t1", "t2", "boilerplate")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,9 +168,9 @@ WITH docs AS (
 ), repeat_words AS (
   SELECT row, count(DISTINCT place + k) AS n_repeat_words FROM twice, (SELECT unnest(generate_series(0, 4)) AS k) GROUP BY row
 ), hosts AS (
-  SELECT host, count(*) AS documents FROM docs GROUP BY host
+  SELECT host, count(DISTINCT text) AS documents FROM docs GROUP BY host
 ), frequent AS (
-  SELECT host, plain FROM (SELECT host, plain, count(DISTINCT text) AS texts FROM worded_lines WHERE n <= 30 GROUP BY host, plain) AS f
+  SELECT host, plain FROM (SELECT host, plain, count(DISTINCT text) AS texts FROM worded_lines GROUP BY host, plain) AS f
   JOIN hosts USING (host) WHERE texts > 20 AND texts > 0.001 * documents
 ), gone AS (
   SELECT row, sum(n) AS n_boilerplate_words FROM worded_lines JOIN frequent USING (host, plain) GROUP BY row

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subtide.llm import batch
-from subtide.llm.shared import bounded, text_column
+from subtide.llm.shared import bounded, hash_sample, mapped, text_column, written
 
 MIN_LENGTH = 16
 AROUND = 80
@@ -288,9 +288,11 @@ def weak_findings(docs: DataFrame, dictionary: np.ndarray) -> DataFrame:
 
 def train_forest(findings: DataFrame, sample: int = 5_000) -> Forest:
     """A forest of labelled findings, at most ``sample`` of each label by a hash of their features."""
+    findings = written(findings.select("features", "label"), "findings")
+    totals = {r["label"]: r["count"] for r in findings.groupBy("label").count().collect()}
     rows = []
     for label in (0, 1):
-        rows += findings.where(F.col("label") == label).select("features", "label").orderBy(F.xxhash64("features")).limit(sample).collect()
+        rows += hash_sample(findings.where(F.col("label") == label), F.col("features"), sample, totals.get(label, 0))
     return fit_forest(np.array([r["features"] for r in rows]).reshape(-1, len(FEATURES)), np.array([r["label"] for r in rows], np.int64))
 
 
@@ -354,8 +356,8 @@ def without_secrets(docs: DataFrame, mark: str = "[SECRET]", findings: DataFrame
                     values[row] = text
                 columns = [*rows.columns]
                 columns[at] = pa.array(values, whole.type)
-                rows = pa.RecordBatch.from_arrays(columns, names=names)
+                rows = pa.RecordBatch.from_arrays(columns, names=rows.schema.names)
             yield rows
 
-    redacted = docs.mapInArrow(redact, docs.schema)
+    redacted = mapped(docs, redact, docs.schema)
     return redacted.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in names else redacted

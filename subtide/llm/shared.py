@@ -5,10 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 _ROOT = str(Path(__file__).resolve().parents[2])
 _LOCAL_FOLDERS: dict[str, str] = {}
@@ -64,6 +67,39 @@ def text_column(text: str) -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
+def unused(names: list[str], *wanted: str) -> list[str]:
+    """The ``wanted`` names, each lengthened until no column of ``names`` is called so."""
+    taken, out = {n.lower() for n in names}, []
+    for name in wanted:
+        while name in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def quoted(name: str) -> str:
+    """A column's name as ``select`` reads it, whatever signs it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def mapped(docs: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType) -> DataFrame:
+    """``docs.mapInArrow`` with columns by position, so that their names may hold any sign."""
+    plain = StructType([StructField(f"c{k}", f.dataType, f.nullable) for k, f in enumerate(schema.fields)])
+    return docs.toDF(*(f"c{k}" for k in range(len(docs.columns)))).mapInArrow(task, plain).toDF(*schema.names)
+
+
+def hash_sample(rows: DataFrame, key: Column, sample: int, total: int) -> list[Row]:
+    """At most ``sample`` of the ``total`` rows, those of the smallest hashes of ``key``, in their order.
+
+    Rows above the hash that a fifth more than the sample would reach stay where they are, so what the driver gets does not grow
+    with the input or its partitions. Where very many rows have one key, the sample may be smaller.
+    """
+    below = -(1 << 63) + int(min(1.0, 1.2 * sample / max(total, 1)) * ((1 << 64) - 1))
+    (at,) = unused(rows.columns, "at")
+    chosen = rows.withColumn(at, F.xxhash64(key)).where(F.col(at) <= F.lit(min(below, (1 << 63) - 1))).limit(2 * sample).collect()
+    return sorted(chosen, key=lambda r: r[at])[:sample]
+
+
 def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """A join in which adaptive execution can split the hot keys of ``left``, with a side that was aggregated by the same keys.
 

@@ -11,7 +11,7 @@ from subtide.llm.queries import tokenizer_file
 from subtide.llm.shared import written
 from test_llm_quality import verdicts
 from test_llm_scans import leaks
-from texts import components, corpus, prose, same, vocabulary, words
+from texts import components, corpus, frame, prose, same, vocabulary, words
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -47,7 +47,7 @@ def test_stages(spark, folder):
     same([r["doc_id"] for r in quality.collect()], [v[0] for v in wanted if v[-1]])
     # 2: one of each component.
     kept = [tuple(r) for r in quality.collect()]
-    groups = components(kept)
+    groups = components(kept, 5, 80)
     same([r["doc_id"] for r in unique.collect()], [d for d, _ in {(r[0], r[1]) for k, r in enumerate(kept) if not groups[k][0] or groups[k][1] == r[0]}])
     # 3: no passages of the benchmark.
     before = [tuple(r) for r in unique.collect()]
@@ -88,3 +88,14 @@ def test_empty_tables_pass_through(spark, folder):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, path)
     assert docs.count() == 0
+
+
+def test_other_columns_come_through(spark, folder):
+    """Columns called like the operators' own names, and one with a dot, stay as they are."""
+    path, rows, _ = folder
+    docs = frame(spark, rows[:80])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, path)
+    assert docs.columns == frame(spark, rows[:2]).columns
+    found = docs.collect()
+    assert found and all(set(r[5:]) == {"clash"} for r in found)

@@ -4,6 +4,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -16,10 +17,10 @@ from texts import SCHEMA, WORD, corpus, frame, prose, same, vocabulary, words
 
 
 def verdicts(rows, min_documents, min_share, min_left):
-    hosts, having = Counter(r[3] for r in rows), defaultdict(set)
+    hosts, having = Counter(host for host, _ in {(r[3], r[1] or "") for r in rows}), defaultdict(set)
     for r in rows:
         for line in (r[1] or "").split("\n"):
-            if 0 < len(words(line)) <= 30:
+            if words(line):
                 having[r[3], " ".join(words(line))].add(r[1] or "")
     out = []
     for r in rows:
@@ -32,7 +33,7 @@ def verdicts(rows, min_documents, min_share, min_left):
         gone = 0
         for line in lines:
             texts = len(having.get((r[3], " ".join(words(line))), ()))
-            gone += len(words(line)) * (len(words(line)) <= 30 and texts > min_documents and texts > min_share * hosts[r[3]])
+            gone += len(words(line)) * (texts > min_documents and texts > min_share * hosts[r[3]])
         failed = len(w) < 10 or 100 * len(repeat) > 20 * len(w)
         symbols = sum(c in "#*$%&|<>" for c in text)
         out.append((r[0], len(w), sum(map(len, w)), symbols, len(lines) - len(set(lines)), len(repeat), gone, failed, not failed and len(w) - gone >= min_left * len(w)))
@@ -52,7 +53,10 @@ def test_verdicts_match_brute_force(spark, rows, limits):
 
 def test_rejected_rows_and_lines_go(spark, rows):
     wanted = verdicts(rows, 3, 0.01, 0.6)
-    kept = without_low_quality(frame(spark, rows).select("doc_id", "text", "lang", "source", "n_chars"), min_documents=3, min_share=0.01, min_left=0.6).collect()
+    kept = without_low_quality(frame(spark, rows), min_documents=3, min_share=0.01, min_left=0.6)
+    assert kept.columns == frame(spark, rows).columns
+    kept = kept.collect()
+    assert all(set(r[5:]) == {"clash"} for r in kept)
     same([r["doc_id"] for r in kept], [v[0] for v in wanted if v[-1]])
     gone = {v[0]: v[6] for v in wanted}
     before = {r[0]: len(words(r[1])) for r in rows}
@@ -80,8 +84,6 @@ def test_lines_of_every_length_go(spark, n):
     left = without_low_quality(frame(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")).collect()
     assert len(left) == sum(r["kept"] for r in got.values())
     assert not any("Notice" in r["text"] for r in left)
-    bounded = quality_verdicts(frame(spark, rows).drop("host"), longest=30).where("n_boilerplate_words > 0").count()
-    assert bounded == (26 if n <= 30 else 0)
 
 
 def test_copies_of_other_texts_change_no_line(spark):
@@ -91,8 +93,20 @@ def test_copies_of_other_texts_change_no_line(spark):
     # 25 of 40 texts are over a half, as are 25 of 41, but 25 of 240 rows are not.
     got = quality_verdicts(docs, 20, 0.5).where("n_boilerplate_words > 0").groupBy("host").count().collect()
     assert {r["host"]: r["count"] for r in got} == {"h": 25, "g": 25}
-    of_rows = quality_verdicts(docs, 20, 0.5, share_of_rows=True).where("n_boilerplate_words > 0").select("host").distinct().collect()
-    assert [r["host"] for r in of_rows] == ["h"]
+
+
+def test_query_counts_long_lines_and_distinct_texts(spark, tmp_path):
+    """Through the registered query and its SQL: a notice of 40 words in 200 texts, and a host that copies of one text dominate."""
+    notice = " ".join(f"Notice{k}" for k in range(40))
+    rows = host_of_lines(notice, 200) + [(5000 + r[0], *r[1:3], "g", None) for r in host_of_lines("We use cookies here.", 25, copies=30_000)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    got = QUERIES["op2_quality_rules"](spark, str(tmp_path))
+    assert got.where("n_boilerplate_words = 40").count() == 200
+    # 25 of 41 different texts, though 25 of 30,040 rows are under a thousandth.
+    assert got.where("doc_id >= 5000 AND n_boilerplate_words > 0").count() == 25
+    assert spark_result(got) == oracle_result(con, ORACLES["op2_quality_rules"])
 
 
 def test_lines_are_cut_where_they_stand():

@@ -57,7 +57,7 @@ def frame(spark, rows: list[tuple]):
     from pyspark.sql import functions as F
 
     out = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    for name in ("spans", "class", "key", "n", "score", "tid", "length", "host", "labels", "rank", "task"):
+    for name in ("spans", "class", "key", "n", "score", "tid", "length", "host", "labels", "rank", "task", "id", "no_id", "hash", "copy", "_id", "_no_id", "_hash", "_copy", "_host", "_t1", "_t2", "_boilerplate", "of", "one", "two", "cut", "at", "a.b"):
         out = out.withColumn(name, F.lit("clash"))
     return out
 
