@@ -1,12 +1,16 @@
 """From raw documents to packed training sequences, in stages that are written and read again.
 
 1. quality rules          documents that fail the base rules or that boilerplate lines deplete go; boilerplate lines are cut
-2. n-gram Jaccard join    of documents whose word trigrams overlap by nine tenths, one of each component stays
+2. n-gram Jaccard join    of documents whose five-word shingles overlap by four fifths, one of each component stays
 3. benchmark decontamination   documents that hold a passage of the benchmark go
 4. secret scans           secrets in texts are replaced by a mark
 5. best-fit packing       what is left, as pieces of sequences of 4096 tokens
 
-Every stage works on all that its predecessor kept. All but the last return the columns of ``documents``.
+Every stage works on all that its predecessor kept. All but the last return the columns of ``documents``, further ones untouched whatever
+they are called.
+
+Null, empty and blank texts fail the base rules and go. Of rows that are equal in id and text one stays, and of a group of copies the one with
+the smallest id; documents without an id stay if no copy of theirs has one. A null source is a source of its own. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without_near_copies(docs)
+    return without_near_copies(docs, n=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
