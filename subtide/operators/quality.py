@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from subtide.domain import PLAN_PRICES
 from subtide.functions.dates import as_of_or_today
+from subtide.sources.tables import LINE, RESCUED
 
 
 def _rows(counts: DataFrame, table: str, checks: list[str]) -> DataFrame:
@@ -75,22 +76,43 @@ def _wrong_price() -> Column:
     return wrong
 
 
-def quality_subscriptions(subs: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+def subscription_rules(as_of: dt.date | None = None) -> dict[str, Column]:
+    """What a subscription breaks by itself."""
     churned, active = F.col("status") == "churned", F.col("status") == "active"
-    return _key_and_row_checks(
-        subs,
-        "subscriptions",
-        "user_id",
-        "duplicate_user_ids",
-        {
-            "churn_not_after_signup": churned & (F.col("churn_date") <= F.col("signup_date")),
-            "future_churn_dates": F.col("churn_date") > F.lit(as_of_or_today(as_of)),
-            "churned_without_reason": churned & F.col("churn_reason").isNull(),
-            "active_with_churn_date": active & F.col("churn_date").isNotNull(),
-            "active_with_churn_reason": active & F.col("churn_reason").isNotNull(),
-            "mrr_not_plan_price": _wrong_price(),
-        },
-    )
+    return {
+        "churn_not_after_signup": churned & (F.col("churn_date") <= F.col("signup_date")),
+        "future_churn_dates": F.col("churn_date") > F.lit(as_of_or_today(as_of)),
+        "churned_without_reason": churned & F.col("churn_reason").isNull(),
+        "active_with_churn_date": active & F.col("churn_date").isNotNull(),
+        "active_with_churn_reason": active & F.col("churn_reason").isNotNull(),
+        "mrr_not_plan_price": _wrong_price(),
+    }
+
+
+def lead_rules(as_of: dt.date | None = None) -> dict[str, Column]:
+    """What a lead breaks by itself."""
+    won = F.col("stage") == "converted"
+    open_lead = ~F.coalesce(won, F.lit(False))
+    return {
+        "converted_without_user": won & F.col("user_id").isNull(),
+        "created_not_before_converted": won & (F.col("created_date") >= F.col("converted_date")),
+        "open_lead_with_user": open_lead & F.col("user_id").isNotNull(),
+        "open_lead_without_reason": open_lead & F.col("loss_reason").isNull(),
+    }
+
+
+def send_rules(as_of: dt.date | None = None) -> dict[str, Column]:
+    """What a send breaks by itself."""
+    opened = F.coalesce("opened", F.lit(False))
+    return {
+        "clicked_without_open": F.col("clicked") & ~opened,
+        "replied_without_open": F.col("replied") & ~opened,
+        "future_send_dates": F.col("send_date") > F.lit(as_of_or_today(as_of)),
+    }
+
+
+def quality_subscriptions(subs: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+    return _key_and_row_checks(subs, "subscriptions", "user_id", "duplicate_user_ids", subscription_rules(as_of))
 
 
 def quality_events(events: DataFrame, subs: DataFrame) -> DataFrame:
@@ -111,20 +133,7 @@ def quality_events(events: DataFrame, subs: DataFrame) -> DataFrame:
 
 
 def quality_leads(leads: DataFrame, subs: DataFrame) -> DataFrame:
-    won = F.col("stage") == "converted"
-    open_lead = ~F.coalesce(won, F.lit(False))
-    own = _key_and_row_checks(
-        leads,
-        "leads",
-        "lead_id",
-        "duplicate_lead_ids",
-        {
-            "converted_without_user": won & F.col("user_id").isNull(),
-            "created_not_before_converted": won & (F.col("created_date") >= F.col("converted_date")),
-            "open_lead_with_user": open_lead & F.col("user_id").isNotNull(),
-            "open_lead_without_reason": open_lead & F.col("loss_reason").isNull(),
-        },
-    )
+    own = _key_and_row_checks(leads, "leads", "lead_id", "duplicate_lead_ids", lead_rules())
     users = _presence(leads.where(F.col("user_id").isNotNull()), {"user": ("user_id", subs)}).agg(
         F.count_if((F.col("in_child") > 0) & (F.col("in_parent") == 0)).alias("unknown_users"),
         F.count_if((F.col("in_child") == 0) & (F.col("in_parent") > 0)).alias("subscribers_without_lead"),
@@ -136,13 +145,8 @@ def quality_campaigns(
     campaigns: DataFrame, sends: DataFrame, subs: DataFrame, as_of: dt.date | None = None
 ) -> DataFrame:
     calendar = _key_and_row_checks(campaigns, "email_campaigns", "campaign_id", "duplicate_campaign_ids", {})
-    opened = F.coalesce("opened", F.lit(False))
     keys = _key_and_row_checks(sends, "email_sends", "send_id", "duplicate_send_ids", {})
-    rules = {
-        "clicked_without_open": F.col("clicked") & ~opened,
-        "replied_without_open": F.col("replied") & ~opened,
-        "future_send_dates": F.col("send_date") > F.lit(as_of_or_today(as_of)),
-    }
+    rules = send_rules(as_of)
     references = _presence(sends, {"campaign": ("campaign_id", campaigns), "user": ("user_id", subs)}, rules)
     orphans = F.when(F.col("in_parent") == 0, F.col("in_child"))
     unknown = references.agg(
@@ -154,10 +158,26 @@ def quality_campaigns(
     return calendar.unionByName(keys).unionByName(own)
 
 
-def assert_quality(checks: DataFrame) -> None:
-    """Raise ``ValueError`` naming every failed check of a quality DataFrame."""
+def quality_malformed(table: str, rescued: DataFrame) -> DataFrame:
+    """How many values of a table read by ``read_rescued`` did not fit their column, and how many lines had too few or too many."""
+    values = F.coalesce(F.size(F.map_filter(RESCUED, lambda name, _: name != LINE)), F.lit(0))
+    lines = F.map_contains_key(RESCUED, F.lit(LINE))
+    counts = rescued.agg(F.sum(values).alias("malformed_values"), F.count_if(lines).alias("malformed_lines"))
+    return _rows(counts, table, ["malformed_values", "malformed_lines"])
+
+
+def failed_checks(checks: DataFrame) -> list[tuple[str, str, int]]:
+    """Table, check and violations of every failed check of a quality DataFrame."""
     failed = checks.where(~F.col("passed")).orderBy("table_name", "check_name").collect()
+    return [(r["table_name"], r["check_name"], r["violations"]) for r in failed]
+
+
+def raise_failed(failed: list[tuple[str, str, int]]) -> None:
+    """Raise ``ValueError`` naming the failed checks, if there are any."""
     if failed:
-        raise ValueError(
-            "; ".join(f"{r['table_name']}.{r['check_name']}: {r['violations']} violations" for r in failed)
-        )
+        raise ValueError("; ".join(f"{table}.{check}: {n} violations" for table, check, n in sorted(failed)))
+
+
+def assert_quality(checks: DataFrame) -> None:
+    """Raise ``ValueError`` naming every failed check of a quality DataFrame."""
+    raise_failed(failed_checks(checks))

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from subtide.functions.dates import as_of_or_today
 from subtide.functions.numbers import money_text, percent_text
 from subtide.operators import campaigns, churn, funnel, mrr, profile, quality, wau
-from subtide.operators.quality import assert_quality
-from subtide.sources.tables import load_tables, write_table
+from subtide.operators.quality import assert_quality, failed_checks, raise_failed
+from subtide.sources.schemas import SCHEMAS
+from subtide.sources.tables import drop_folder, load_tables, move_folder, read_rescued, write_table
 
 SUBS, EVENTS, LEADS, CALENDAR, SENDS = "subscriptions", "product_events", "leads", "email_campaigns", "email_sends"
 
@@ -111,11 +113,11 @@ def displayed(df: DataFrame) -> DataFrame:
 
 
 def write_checked(
-    df: DataFrame, checks: DataFrame, base_path: str, name: str, fmt: str = "parquet", sort_by: list[str] | None = None
+    df: DataFrame, checks: DataFrame, base_path: str, name: str, fmt: str = "parquet", sort_by: list[str] | None = None, partition_by: str | None = None
 ) -> str:
     """Write a table only if all of its quality checks pass; raise ``ValueError`` otherwise."""
     assert_quality(checks)
-    return write_table(df, base_path, name, fmt, sort_by=sort_by)
+    return write_table(df, base_path, name, fmt, sort_by=sort_by, partition_by=partition_by)
 
 
 # Table -> the report that checks it.
@@ -127,6 +129,9 @@ CHECKS = {
     SENDS: "quality_campaigns",
 }
 
+# Table -> the rules of its rows, counted while it is written.
+_ROW_RULES = {SUBS: quality.subscription_rules, LEADS: quality.lead_rules, SENDS: quality.send_rules}
+
 
 def write_checked_tables(
     spark: SparkSession,
@@ -137,11 +142,48 @@ def write_checked_tables(
     as_of: dt.date | None = None,
     fmt: str = "parquet",
     target_fmt: str = "parquet",
+    partition_by: dict[str, str] | None = None,
     **reading: bool | str,
 ) -> list[str]:
-    """Copy tables to ``target``, each sorted by its ``sort_by`` columns, if the checks of all of them pass; else write none."""
+    """Copy tables to ``target``, each sorted by its ``sort_by`` columns and in folders by its ``partition_by`` date, if the checks
+    of all of them pass; else write none.
+
+    Each table is read once, into a folder beside ``target``; the rules of its rows are counted on the way, and if they hold, keys and
+    references are checked over what was written there. So a source that changes meanwhile cannot slip through unchecked, and only
+    tables whose checks have passed are moved to their place.
+    """
     names = names or list(CHECKS)
-    for check in dict.fromkeys(CHECKS[name] for name in names):
-        assert_quality(run_report(check, spark, base_path, fmt, as_of, **reading))
-    tables = load_tables(spark, base_path, names, fmt, **reading)
-    return [write_table(df, target, name, target_fmt, sort_by=(sort_by or {}).get(name)) for name, df in tables.items()]
+    sort_by, partition_by = sort_by or {}, partition_by or {}
+    staging = f"{target.rstrip('/')}.staging-{uuid.uuid4().hex[:12]}"
+    sources = load_tables(spark, base_path, names, fmt, **reading)
+    try:
+        failed: list[tuple[str, str, int]] = []
+        for name in names:
+            rules = _ROW_RULES[name](as_of) if name in _ROW_RULES else {}
+            counted = Observation(name)
+            observed = (counted, [F.count_if(rule).alias(check) for check, rule in rules.items()]) if rules else None
+            write_table(sources[name], staging, name, target_fmt, sort_by=sort_by.get(name), partition_by=partition_by.get(name), observed=observed)
+            if rules:
+                failed += [(name, check, n) for check, n in counted.get.items() if n]
+        raise_failed(failed)
+        for check in dict.fromkeys(CHECKS[name] for name in names):
+            operator, needed, dated = REPORTS[check]
+            tables = load_tables(spark, staging, [n for n in needed if n in names], target_fmt)
+            tables |= load_tables(spark, base_path, [n for n in needed if n not in names], fmt, **reading)
+            failed += failed_checks(operator(*[tables[n] for n in needed], **({"as_of": as_of_or_today(as_of)} if dated else {})))
+        raise_failed(failed)
+        paths = [f"{target.rstrip('/')}/{name}.{target_fmt}" for name in names]
+        for name, path in zip(names, paths, strict=True):
+            move_folder(spark, f"{staging}/{name}.{target_fmt}", path)
+        return paths
+    finally:
+        drop_folder(spark, staging)
+
+
+def malformed_values(spark: SparkSession, base_path: str, names: list[str] | None = None, multi_line: bool = False) -> DataFrame:
+    """Per CSV table, how many values did not fit their column and how many lines had too few or too many values."""
+    found = [
+        quality.quality_malformed(name, read_rescued(spark, f"{base_path.rstrip('/')}/{name}.csv", SCHEMAS[name], multi_line))
+        for name in names or list(CHECKS)
+    ]
+    return reduce(DataFrame.unionByName, found)

@@ -7,7 +7,7 @@ import re
 import pytest
 from tables import D, table
 
-from subtide.operators.campaigns import campaign_audience, campaign_audience_capped
+from subtide.operators.campaigns import campaign_audience, campaign_audience_capped, resolve_segment
 from subtide.operators.churn import churn_by_plan, churn_monthly, churn_report
 from subtide.operators.funnel import conversion_by_source, funnel_report, time_to_convert
 from subtide.operators.mrr import mrr_monthly
@@ -42,6 +42,24 @@ def t(spark, tmp_path_factory):
     return load_tables(spark, base)
 
 
+def test_days_that_no_campaign_reaches_are_not_opened(spark, t, tmp_path):
+    """The calendar's dates, found as the query runs, choose the folders of a table partitioned by day."""
+    people = table(spark, "subscriptions", [{"user_id": f"u{k}", "signup_date": "2023-01-01"} for k in range(4)])
+    log = [("u0", "2024-02-20"), ("u1", "2024-01-15"), ("u2", "2023-05-05"), ("u3", "2024-03-02")]
+    events = table(spark, "product_events", [{"event_id": u, "user_id": u, "event_date": d} for u, d in log])
+    write_table(events, str(tmp_path), "product_events", partition_by="event_date")
+    # Folders outside the 30 days before 1 March hold what no reader can open.
+    for day in ("2023-05-05", "2024-01-15", "2024-03-02"):
+        for part in (tmp_path / "product_events.parquet" / f"event_date={day}").glob("part-*"):
+            part.write_bytes(b"no parquet")
+    by_day = load_tables(spark, str(tmp_path), ["product_events"])["product_events"]
+    found = resolve_segment("low_activity", t["email_campaigns"].where("campaign_id = 'c1'"), people, by_day)
+    assert sorted(r["user_id"] for r in found.collect()) == ["u1", "u2", "u3"]
+    assert re.search(r"PartitionFilters: \[isnotnull\(event_date#\d+\), \(event_date#\d+ >= date_sub\(Subquery", plan(found))
+    with pytest.raises(Exception, match="(?i)parquet"):
+        by_day.where("event_date = '2024-01-15'").collect()
+
+
 def scans(text: str, column: str) -> list[str]:
     """Column lists of the file scans that read ``column``."""
     return [m for m in re.findall(r"FileScan parquet \[([^\]]*)\]", text) if re.search(rf"\b{column}#", m)]

@@ -5,7 +5,7 @@ from tables import D, rows, table
 
 from subtide.__main__ import main
 from subtide.operators.quality import quality_subscriptions
-from subtide.plans.reports import REPORTS, run_report, write_checked
+from subtide.plans.reports import REPORTS, run_report, write_checked, write_checked_tables
 from subtide.sources import star_tables
 from subtide.sources.tables import read_table, write_table
 
@@ -96,3 +96,52 @@ def test_write_checked_blocks_bad_tables(spark, tmp_path):
     assert not list(tmp_path.iterdir())
     write_checked(good, quality_subscriptions(good, D("2024-07-01")), str(tmp_path), "subscriptions")
     assert read_table(spark, str(tmp_path), "subscriptions").count() == 1
+
+
+def test_command_line_counts_malformed_values(spark, tmp_path, capfd):
+    header = "campaign_id,campaign_name,campaign_type,segment,send_date,subject_line"
+    (tmp_path / "email_campaigns.csv").write_text(f"{header}\nc1,n,promo,x,2024-01-01,l\nc2,n,promo,x,not a date,l\n", encoding="utf-8")
+    main(["malformed_values", str(tmp_path), "--tables", "email_campaigns"])
+    shown = [[v.strip() for v in line.split("|")[1:-1]] for line in capfd.readouterr().out.splitlines() if "malformed_" in line and "|" in line]
+    assert ["email_campaigns", "malformed_values", "1", "false"] in shown and ["email_campaigns", "malformed_lines", "0", "true"] in shown
+
+
+def test_checked_tables_are_read_once_and_moved_whole(spark, tmp_path):
+    people = [{"user_id": f"u{k}", "signup_date": f"2024-01-{1 + k % 9:02d}"} for k in range(30)]
+    leads = [{"lead_id": f"l{k}", "user_id": f"u{k}", "stage": "converted", "created_date": "2023-12-01", "converted_date": "2024-01-01"} for k in range(30)]
+    for name, content in (("subscriptions", people), ("leads", leads)):
+        write_table(table(spark, name, content), str(tmp_path / "in"), name)
+    named = {"partition_by": {"subscriptions": "signup_date"}, "sort_by": {"leads": ["lead_id"]}}
+    for _ in range(2):  # a second time over what is there
+        paths = write_checked_tables(spark, str(tmp_path / "in"), str(tmp_path / "out"), ["subscriptions", "leads"], as_of=D("2024-07-01"), **named)
+    assert paths == [str(tmp_path / "out" / f"{n}.parquet") for n in ("subscriptions", "leads")]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["in", "out"]
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["leads.parquet", "subscriptions.parquet"]
+    assert read_table(spark, str(tmp_path / "out"), "subscriptions").where("signup_date = '2024-01-03'").count() == 4
+    assert (tmp_path / "out" / "subscriptions.parquet" / "signup_date=2024-01-03").is_dir()
+
+
+@pytest.mark.parametrize(
+    ("name", "extra", "message"),
+    [
+        ("subscriptions", {"user_id": "u1", "signup_date": "2024-01-01"}, "duplicate_user_ids: 1"),
+        ("subscriptions", {"user_id": "x", "signup_date": "2024-01-01", "mrr": 50}, "mrr_not_plan_price: 1"),
+        ("leads", {"lead_id": "x", "stage": "converted", "created_date": "2024-01-01", "converted_date": "2024-02-01"}, "converted_without_user: 1"),
+        ("leads", {"lead_id": "x", "user_id": "stranger", "stage": "converted", "created_date": "2024-01-01", "converted_date": "2024-02-01"}, "unknown_users: 1"),
+    ],
+)
+def test_a_failed_check_leaves_nothing_behind(spark, tmp_path, name, extra, message):
+    content = {
+        "subscriptions": [{"user_id": f"u{k}", "signup_date": "2024-01-01"} for k in range(5)],
+        "leads": [{"lead_id": f"l{k}", "user_id": f"u{k}", "stage": "converted", "created_date": "2023-12-01", "converted_date": "2024-01-01"} for k in range(5)],
+    }
+    for table_name, entries in content.items():
+        write_table(table(spark, table_name, entries), str(tmp_path / "out"), table_name)
+    content[name].append(extra)
+    for table_name, entries in content.items():
+        write_table(table(spark, table_name, entries), str(tmp_path / "in"), table_name)
+    before = sorted(p.name for p in (tmp_path / "out").glob("*/part-*"))
+    with pytest.raises(ValueError, match=message):
+        write_checked_tables(spark, str(tmp_path / "in"), str(tmp_path / "out"), ["subscriptions", "leads"], as_of=D("2024-07-01"), sort_by={"leads": ["lead_id"]})
+    assert sorted(p.name for p in (tmp_path / "out").glob("*/part-*")) == before
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["in", "out"]
