@@ -11,6 +11,9 @@ from subtide.domain import AUDIENCE_CAP, CAMPAIGN_SEGMENTS, DEFAULT_SEGMENT, LOW
 from subtide.functions.numbers import ratio, round_as_printed, round_half_even
 from subtide.functions.running import running_total
 
+# Users of a quarter that are dealt together.
+_SLICE_USERS = 65_536
+
 # Days in the first of the two words that hold a quarter and the days before it.
 _WORD = 60
 
@@ -114,25 +117,42 @@ def _memberships(subs: DataFrame, reach: tuple[Column, Column], active: bool, ch
     )
 
 
-def _members(calendar: DataFrame, memberships: DataFrame) -> DataFrame:
+def _cell() -> Column:
+    """A number for kind and quarter, counting up with the quarters."""
+    return (F.year("quarter") * 4 + F.quarter("quarter")) * 2 + F.when(F.col("kind") == _CHURNED, 1).otherwise(0)
+
+
+def _slices_of_quarters(memberships: DataFrame) -> Column:
+    """Into how many slices the users of a row's kind and quarter are dealt: one for every ``_SLICE_USERS`` of them.
+
+    The counts are a scalar subquery of one number per quarter that the campaigns reach.
+    """
+    counted = memberships.groupBy("kind", "quarter").agg(F.count("*").alias("n"))
+    cells = counted.select(_cell().alias("cell"), F.ceil(F.col("n") / _SLICE_USERS).alias("slices"))
+    ends = cells.agg(F.min("cell").alias("first"), F.max("cell").alias("last"), F.map_from_entries(F.collect_list(F.struct("cell", "slices"))).alias("of"))
+    every = F.transform(F.sequence("first", "last"), lambda cell: F.coalesce(F.try_element_at("of", cell), F.lit(1).cast("long")))
+    found = ends.select(F.struct("first", every.alias("slices"))).scalar()
+    return F.coalesce(F.get(found["slices"], _cell() - found["first"]), F.lit(1).cast("long"))
+
+
+def _members(calendar: DataFrame, memberships: DataFrame, slices: Column) -> DataFrame:
     """Each campaign of ``calendar`` with the users its segment's dates and plans allow.
 
     Users and campaigns meet on the calendar quarters a user's interval covers, not by
-    comparing every user with every campaign. Quarters are few, so users are dealt into slices
-    and every slice meets the calendar; which side travels is up to adaptive execution.
+    comparing every user with every campaign. Quarters are few, so the users of a quarter are dealt into ``slices``
+    and every slice meets the quarter's campaigns: a campaign is copied as often as its quarter's users ask for. Which side travels is up to
+    adaptive execution.
     """
-    slices = _slices(calendar)
     keyed = calendar.withColumns(
         {
             "kind": F.when(F.col("segment") == "churned", _CHURNED).otherwise(_ACTIVE),
             "quarter": F.trunc("send_date", "quarter"),
-            "_slice": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))),
         }
-    )
+    ).withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), slices - 1)))
     sent = F.col("send_date")
     in_interval = (F.col("since") <= sent) & (F.col("until").isNull() | (F.col("until") > sent))
     plan_fits = (F.col("segment") != "starter_growth") | F.col("plan").isin(UPSELL_PLANS)
-    rows = memberships.withColumn("_slice", _slice_of_user(slices))
+    rows = memberships.withColumn("_slice", F.pmod(F.xxhash64("user_id"), slices))
     return rows.join(keyed, ["kind", "quarter", "_slice"]).where(in_interval & plan_fits)
 
 
@@ -192,13 +212,14 @@ def campaign_audience(
     reach = _reach(calendar)
     quiet = F.col("segment") == "low_activity"
     parts = []
+    memberships = _memberships(subs, reach, active=only != "churned", churned=only in (None, "churned"))
+    slices = _slices_of_quarters(memberships)
     if only != "low_activity":
-        memberships = _memberships(subs, reach, active=only != "churned", churned=only in (None, "churned"))
-        parts.append(_members(calendar.where(~quiet), memberships))
+        parts.append(_members(calendar.where(~quiet), memberships, slices))
     if only in (None, "low_activity"):
         active = _memberships(subs, reach, active=True, churned=False)
         with_days = active.join(_recent_days(events, reach), ["user_id", "quarter"], "left")
-        parts.append(_members(calendar.where(quiet), with_days).where(~_recently_active(F.col("send_date"))))
+        parts.append(_members(calendar.where(quiet), with_days, slices).where(~_recently_active(F.col("send_date"))))
     return reduce(DataFrame.unionByName, [part.select("campaign_id", "send_date", "user_id") for part in parts])
 
 
@@ -249,7 +270,7 @@ def send_records(
         {"position": F.row_number().over(campaign.orderBy("user_id")), "size": F.count("*").over(campaign)}
     )
     sizes = recipients.where("position = 1").select("campaign_id", "send_date", "size")
-    offsets = running_total(sizes, F.col("size"), day="send_date", key="campaign_id", name="last_number").select(
+    offsets = running_total(sizes, F.col("size"), day="send_date", key="campaign_id", name="last_number", keys=campaigns).select(
         "campaign_id", (F.col("last_number") - F.col("size")).alias("before")
     )
     flags = ["opened", "clicked", "replied", "unsubscribed"]

@@ -5,6 +5,7 @@ import random
 import pytest
 from tables import D, rows, table
 
+from subtide.operators import campaigns
 from subtide.operators.campaigns import (
     campaign_audience,
     campaign_audience_capped,
@@ -308,3 +309,25 @@ def test_recent_days_of_every_distance(spark):
         (f"c{k:03d}", sent, e["user_id"]) for k, sent in enumerate(sends) for e in events if not 0 <= (sent - D(e["event_date"])).days < 30
     )
     assert sorted(rows(result)) == expected
+
+
+@pytest.mark.parametrize("users", [1, 2, 7])
+def test_slices_of_any_size_give_the_same_audience(spark, monkeypatch, users):
+    people = [{"user_id": f"u{k}", "signup_date": f"2023-{1 + k % 12:02d}-05", **({"status": "churned", "churn_date": "2024-02-10"} if k % 4 == 0 else {})} for k in range(40)]
+    calendar = [{"campaign_id": f"c{k}", "send_date": f"2024-{1 + k % 6:02d}-01", "segment": s} for k, s in enumerate(["all_active", "churned", "low_activity", "starter_growth", "other"] * 2)]
+    log = [{"event_id": str(k), "user_id": f"u{k % 40}", "event_date": f"2024-{1 + k % 5:02d}-20"} for k in range(0, 120, 7)]
+    tables = [table(spark, n, c) for n, c in (("email_campaigns", calendar), ("subscriptions", people), ("product_events", log))]
+    plain = sorted(rows(campaigns.campaign_audience(*tables)))
+    monkeypatch.setattr(campaigns, "_SLICE_USERS", users)
+    assert sorted(rows(campaigns.campaign_audience(*tables))) == plain and len(plain) > 100
+
+
+def test_campaigns_are_copied_as_their_quarter_asks(spark, monkeypatch):
+    """A quarter with many users has many slices, others one, whatever the number of shuffle partitions."""
+    members = spark.range(1_000).selectExpr("concat('u', id) AS user_id", "'active' AS kind", "CASE WHEN id < 900 THEN date'2024-01-01' ELSE date'2024-07-01' END AS quarter")
+    monkeypatch.setattr(campaigns, "_SLICE_USERS", 100)
+    quarters = spark.createDataFrame([(D(q), k) for q in ("2023-10-01", "2024-01-01", "2024-04-01", "2024-07-01", "2025-01-01") for k in ("active", "churned")], "quarter date, kind string")
+    found = {(str(r["quarter"]), r["kind"]): r["n"] for r in quarters.withColumn("n", campaigns._slices_of_quarters(members)).collect()}
+    assert found[("2024-01-01", "active")] == 9
+    assert all(n == 1 for key, n in found.items() if key != ("2024-01-01", "active"))
+    assert [r["n"] for r in quarters.withColumn("n", campaigns._slices_of_quarters(members.limit(0))).collect()] == [1] * 10

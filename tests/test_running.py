@@ -4,7 +4,8 @@ import string
 import pytest
 from pyspark.sql import functions as F
 
-from subtide.functions.running import LEADING, running_total
+from subtide.functions import running
+from subtide.functions.running import key_ranges, running_total
 
 
 @pytest.mark.parametrize("within", [(), ("kind",)])
@@ -31,15 +32,54 @@ def test_running_total_over_clustered_values(spark, within, width):
 
 def test_keys_of_any_length_keep_their_order(spark):
     rng = random.Random(4)
-    rows = list({("".join(rng.choices(string.ascii_letters[:5], k=rng.randint(1, 2 * LEADING))), None if k % 9 == 0 else k % 2) for k in range(300)})
+    rows = list({("".join(rng.choices(string.ascii_letters[:5], k=rng.randint(1, 22))), None if k % 9 == 0 else k % 2) for k in range(300)})
     result = running_total(spark.createDataFrame(rows, "id string, day int"), F.lit(1), "day", "id")
     ordered = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
     found = {(r["id"], r["day"]): r["running_total"] for r in result.collect()}
     assert found == {row: n for n, row in enumerate(ordered, start=1)}
 
 
-def test_a_day_with_most_rows_is_split(spark):
-    rows = spark.range(30_000).selectExpr("concat('cmp_', lpad(id, 10, '0')) AS id", "CASE WHEN id % 3 = 0 THEN 1 ELSE id % 50 END AS day")
-    sizes = rows.groupBy("day", F.substring("id", 1, LEADING)).count().agg(F.max("count")).first()[0]
+@pytest.mark.parametrize("prefix", ["cmp_", "campaign-2024-with-a-long-prefix-", "ü" * 30])
+def test_a_day_with_most_rows_is_split(spark, prefix):
+    """Whatever the keys have in common."""
+    rows = spark.range(30_000).selectExpr(f"concat('{prefix}', lpad(id, 10, '0')) AS id", "CASE WHEN id % 3 = 0 THEN 1 ELSE id % 50 END AS day")
+    sizes = key_ranges(rows, "day", "id").groupBy("day", "_range").count().agg(F.max("count")).first()[0]
     assert sizes <= 1_000
+    ordered = key_ranges(rows, "day", "id").where("day = 1").groupBy("_range").agg(F.min("id").alias("low"), F.max("id").alias("high")).orderBy("_range").collect()
+    assert len(ordered) > 50 and all(a["high"] < b["low"] for a, b in zip(ordered, ordered[1:], strict=False))
     assert running_total(rows, F.lit(1), "day", "id").agg(F.max("running_total")).first()[0] == 30_000
+
+
+def test_two_long_prefixes_are_split_alike(spark):
+    rows = spark.range(20_000).selectExpr("concat(CASE WHEN id % 2 = 0 THEN 'first-long-prefix-' ELSE 'second-long-prefix-' END, id) AS id", "1 AS day")
+    sizes = [r["count"] for r in key_ranges(rows, "day", "id").groupBy("_range").count().collect()]
+    assert max(sizes) <= 600 and len(sizes) > 200
+
+
+def test_cuts_do_not_grow_with_the_table(spark):
+    rows = spark.range(400_000).selectExpr("cast(id AS string) AS id", "id % 3 AS day")
+    cuts = running._cuts(rows, "day", "id", ()).selectExpr("sum(size(_cuts)) AS n").first()["n"]
+    assert 800 < cuts < 1_300
+
+
+@pytest.mark.parametrize("other", ["none", "some", "foreign"])
+def test_any_cuts_give_the_same_totals(spark, other):
+    rows = spark.range(3_000).selectExpr("concat('k', id * 7919 % 3000) AS id", "id % 2 AS day", "id AS amount")
+    keys = {"none": rows.limit(0), "some": rows.where("id < 'k2'"), "foreign": rows.selectExpr("concat('x', id) AS id", "day")}[other]
+    plain = {(r["id"], r["day"]): r["running_total"] for r in running_total(rows, F.col("amount"), "day", "id").collect()}
+    assert {(r["id"], r["day"]): r["running_total"] for r in running_total(rows, F.col("amount"), "day", "id", keys=keys).collect()} == plain
+
+
+def test_keys_that_repeat_or_are_missing(spark):
+    rows = spark.createDataFrame([("a", 1)] * 40 + [(None, 1)] * 3 + [("b", None)] * 2, "id string, day int")
+    found = sorted(r["running_total"] for r in running_total(rows, F.lit(1), "day", "id").collect())
+    assert found == list(range(1, 46))
+
+
+def test_no_job_runs_while_totals_are_built(spark):
+    rows = spark.range(100).selectExpr("cast(id AS string) AS id", "1 AS day")
+    context = spark.sparkContext
+    context.setJobGroup("totals", "totals")
+    running_total(rows, F.lit(1), "day", "id")
+    assert list(context.statusTracker().getJobIdsForGroup("totals")) == []
+    context.setLocalProperty("spark.jobGroup.id", None)
