@@ -118,21 +118,17 @@ def _memberships(subs: DataFrame, reach: tuple[Column, Column], active: bool, ch
 
 
 def _cell() -> Column:
-    """A number for kind and quarter, counting up with the quarters."""
-    return (F.year("quarter") * 4 + F.quarter("quarter")) * 2 + F.when(F.col("kind") == _CHURNED, 1).otherwise(0)
+    return F.concat("kind", "quarter")
 
 
 def _slices_of_quarters(memberships: DataFrame) -> Column:
     """Into how many slices the users of a row's kind and quarter are dealt: one for every ``_SLICE_USERS`` of them.
 
-    The counts are a scalar subquery of one number per quarter that the campaigns reach.
+    The counts are a scalar subquery, a map with the quarters that need more than one.
     """
-    counted = memberships.groupBy("kind", "quarter").agg(F.count("*").alias("n"))
-    cells = counted.select(_cell().alias("cell"), F.ceil(F.col("n") / _SLICE_USERS).alias("slices"))
-    ends = cells.agg(F.min("cell").alias("first"), F.max("cell").alias("last"), F.map_from_entries(F.collect_list(F.struct("cell", "slices"))).alias("of"))
-    every = F.transform(F.sequence("first", "last"), lambda cell: F.coalesce(F.try_element_at("of", cell), F.lit(1).cast("long")))
-    found = ends.select(F.struct("first", every.alias("slices"))).scalar()
-    return F.coalesce(F.get(found["slices"], _cell() - found["first"]), F.lit(1).cast("long"))
+    counted = memberships.groupBy(_cell().alias("cell")).agg(F.ceil(F.count("*") / _SLICE_USERS).alias("slices")).where("slices > 1")
+    many = counted.agg(F.map_from_entries(F.collect_list(F.struct("cell", "slices")))).scalar()
+    return F.coalesce(F.try_element_at(many, _cell()), F.lit(1).cast("long"))
 
 
 def _members(calendar: DataFrame, memberships: DataFrame, slices: Column) -> DataFrame:
