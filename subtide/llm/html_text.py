@@ -6,18 +6,20 @@
 3. Two ratios follow: characters per block, and punctuation per block, both without link text. Along the
    page each block takes its path's ratios, which are smoothed with a Gaussian over neighbours.
 4. Path ratio times smoothed ratio, fused over both features, is a block's weight; paths
-   whose mean weight is above the threshold, a share of the page's deviation, hold content.
+   whose mean weight is above the threshold, the standard deviation of the page's weights, hold content.
 5. The container of the chosen paths is the marked article that has most of their text, or else the innermost element
-   with ``MOST`` of it. Headings, lists and short blocks inside the container belong to the article; a block whose path goes
-   through menus, page headers, footers, asides, forms, adverts, notices or comments does not, whatever its ratios.
+   with ``MOST`` of it. Headings, lists and short blocks inside the container belong to the article.
+6. Marks weigh in before the threshold: text in elements that tag or name call a menu, page header, footer, aside, form, advert,
+   notice or comment weighs nothing, unless the element holds the article or nearly all text. The name of a paragraph or another text element alone is a
+   weak mark: its path has to reach ``NAMED`` of the mean weight of the chosen ones. On pages without such marks the ratios decide alone.
 
-A page is one row, so nothing is shuffled. Null html gives the empty text. Repeated rows are extracted each for itself, other
+Elements are numbered with their parents, and sums over elements run once up and once down, so time and memory are in proportion to the
+page however deep it nests. A page is one row, so nothing is shuffled. Null html gives the empty text. Repeated rows are extracted each for itself, other
 columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -52,6 +54,10 @@ BOILERPLATE_NAMES = re.compile(
 # Names that say what lies elsewhere on the page, not what the element is.
 _ABOUT = re.compile(r"(?:^|(?<=[\s_-]))(?:has|with|without|no|layout)[_-]\S+", re.IGNORECASE)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：·]")
+# Elements that hold text rather than parts of a page.
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dd dt figcaption".split())
+#: Share of the mean weight of chosen paths that a text element with such a name has to reach.
+NAMED = 0.5
 #: Share of the picked text that its container holds, where no element is marked as the article.
 MOST = 0.8
 #: An element with this share of the page's text is no part beside the article, whatever its name.
@@ -59,42 +65,53 @@ ALL_BUT = 0.97
 _SPACE = re.compile(r"\s+")
 
 
+@dataclass
+class Element:
+    parent: int
+    path: int  # of the block-level elements down to here
+    tag: str
+    outside: bool = False  # marked by its tag
+    named: bool = False  # marked by its name
+    weak: bool = False  # a text element with such a name
+    content: bool = False  # an article or main part
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    element: int
     text: list[str] = field(default_factory=list)
     links: int = 0
-    outside: bool = False
-    within: tuple[int, ...] = ()
-    named: tuple[int, ...] = ()  # elements around it whose names say they are not the article
 
     def content(self) -> str:
         return _SPACE.sub(" ", "".join(self.text)).strip()
 
 
 class _Pages(HTMLParser):
-    """Blocks of one page in order."""
+    """Elements and blocks of one page in order."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, str, bool, int, bool]] = []  # tag, name in paths, outside by tag, number, outside by name
-        self.wrappers: set[int] = set()  # elements that hold an article or main part
+        self.elements = [Element(-1, 0, "")]
+        self.paths: dict[tuple[int, str], int] = {}
+        self.open: list[tuple[str, int]] = []  # tag, element
+        self.count: dict[str, int] = {}  # open elements by tag
         self.blocks: list[Block] = []
         self.current: Block | None = None
-        self.links = self.silent = self.numbers = 0
+        self.silent = 0
 
     def _end_block(self) -> None:
         self.current = None
 
-    def _outside_by_tag(self, tag: str) -> bool:
-        return tag in BOILERPLATE_TAGS and not (tag == "header" and any(t in CONTENT_TAGS for t, *_ in self.open))
+    def _in_content(self) -> bool:
+        return any(self.count.get(t) for t in CONTENT_TAGS)
 
-    def _outside_by_name(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        if tag in ("html", "body", "main") or tag == "article" and not any(t in CONTENT_TAGS for t, *_ in self.open):
-            return False
+    def _marked_by_name(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
+        """Whether names say that the element is not the article, and whether it is hidden."""
+        if tag in ("html", "body", "main") or tag == "article" and not self._in_content():
+            return False, False
         names = _ABOUT.sub(" ", " ".join(v or "" for k, v in attrs if k in ("class", "id", "role", "aria-label")))
         hidden = any(k == "hidden" or (k == "aria-hidden" and v == "true") or (k == "style" and v and re.search(r"display\s*:\s*none", v)) for k, v in attrs)
-        return hidden or bool(names and BOILERPLATE_NAMES.search(names))
+        return bool(names and BOILERPLATE_NAMES.search(names)), hidden
 
     def _end_head(self, tag: str) -> None:
         """Closes an open head that its end tag does not: at the body, and at what cannot stand in it."""
@@ -128,13 +145,19 @@ class _Pages(HTMLParser):
         if tag not in INLINE:
             self._end_block()
         names = next((v for k, v in attrs if k == "class" and v), "") or next((v for k, v in attrs if k == "id" and v), "")
-        by_tag = bool(self.open and self.open[-1][2]) or self._outside_by_tag(tag)
-        by_name = self._outside_by_name(tag, attrs)
-        if tag in CONTENT_TAGS and not by_name:
-            self.wrappers.update(x[3] for x in self.open)
-        self.numbers += 1
-        self.open.append((tag, f"{tag}.{names}" if names else tag, by_tag, self.numbers, by_name))
-        self.links += tag == "a"
+        parent = self.open[-1][1] if self.open else 0
+        path = self.elements[parent].path
+        if tag not in INLINE:
+            path = self.paths.setdefault((path, f"{tag}.{names}" if names else tag), len(self.paths) + 1)
+        named, hidden = self._marked_by_name(tag, attrs)
+        text = tag in TEXT_TAGS or tag in INLINE
+        element = Element(
+            parent, path, tag, outside=tag in BOILERPLATE_TAGS and not (tag == "header" and self._in_content()),
+            named=hidden or named and not text, weak=named and text, content=tag in CONTENT_TAGS and not named and not hidden,
+        )
+        self.open.append((tag, len(self.elements)))
+        self.elements.append(element)
+        self.count[tag] = self.count.get(tag, 0) + 1
         self.silent += tag in SILENT
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -143,6 +166,8 @@ class _Pages(HTMLParser):
             self.handle_endtag(tag)
 
     def _close(self, tag: str, stop: set[str]) -> None:
+        if not self.count.get(tag):
+            return
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
                 self._pop(k)
@@ -151,8 +176,8 @@ class _Pages(HTMLParser):
                 return
 
     def _pop(self, k: int) -> None:
-        for tag, *_ in self.open[k:]:
-            self.links -= tag == "a"
+        for tag, _ in self.open[k:]:
+            self.count[tag] -= 1
             self.silent -= tag in SILENT
             if tag not in INLINE:
                 self._end_block()
@@ -162,6 +187,8 @@ class _Pages(HTMLParser):
         if tag == "br":
             self._text(" ")
             return
+        if not self.count.get(tag):
+            return
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
                 self._pop(k)
@@ -185,11 +212,10 @@ class _Pages(HTMLParser):
         if self.current is None:
             if not data.strip():
                 return
-            blocks = [x for x in self.open if x[0] not in INLINE]
-            self.current = Block(("", *(x[1] for x in blocks)), outside=any(x[2] for x in self.open), named=tuple(x[3] for x in self.open if x[4]), within=(0, *(x[3] for x in blocks)))
+            self.current = Block(self.open[-1][1] if self.open else 0)
             self.blocks.append(self.current)
         self.current.text.append(data)
-        if self.links:
+        if self.count.get("a"):
             self.current.links += len(data.strip())
 
 
@@ -199,70 +225,102 @@ def _smoothed(values: np.ndarray, width: float = 1.0, reach: int = 2) -> np.ndar
     return sums / np.convolve(np.ones(len(values)), kernel, "full")[reach : reach + len(values)]
 
 
-def content_blocks(blocks: list[Block], wrappers: set[int] = frozenset(), threshold: float = 0.1) -> list[str]:
-    """The texts of content blocks, in order. ``wrappers`` are elements that are around the article, whatever they are called."""
-    texts = [b.content() for b in blocks]
-    held: dict[int, int] = {}
-    for b, t in zip(blocks, texts, strict=True):
-        for number in b.named:
-            held[number] = held.get(number, 0) + max(0, len(t) - b.links)
-    total = sum(max(0, len(t) - b.links) for b, t in zip(blocks, texts, strict=True))
-    around = {n for n, size in held.items() if n in wrappers or size >= ALL_BUT * total}
-    for b in blocks:
-        b.outside = b.outside or any(n not in around for n in b.named)
-    keep = [k for k, t in enumerate(texts) if t]
-    blocks, texts = [blocks[k] for k in keep], [texts[k] for k in keep]
-    if not blocks:
-        return []
-    paths: dict[tuple[str, ...], np.ndarray] = {}
-    for b, t in zip(blocks, texts, strict=True):
-        own = max(0, len(t) - b.links)
-        share = own / len(t)
-        paths.setdefault(b.path, np.zeros(3))
-        paths[b.path] += (own, share * len(_PUNCTUATION.findall(t)), 1)
-    inside = np.array([not b.outside for b in blocks])
-    weights = np.ones(len(blocks))
-    for feature in (0, 1):
-        ratio = np.array([paths[b.path][feature] / paths[b.path][2] for b in blocks]) * inside
+def path_weights(paths: list[int], lengths: np.ndarray, punctuation: np.ndarray, prior: np.ndarray) -> np.ndarray:
+    """The weight of each block: path ratios of length and punctuation, each times itself smoothed along the page, fused.
+
+    ``prior`` is what marks leave of a block's ratios.
+    """
+    _, of = np.unique(np.array(paths), return_inverse=True)
+    blocks = np.bincount(of)
+    weights = np.ones(len(paths))
+    for feature in (lengths, punctuation):
+        ratio = (np.bincount(of, feature) / blocks)[of] * prior
         weights *= ratio * _smoothed(ratio) + 1e-9
-    weights = np.sqrt(np.sqrt(weights))
-    by_path: dict[tuple[str, ...], list[float]] = {}
-    for b, w in zip(blocks, weights.tolist(), strict=True):
-        by_path.setdefault(b.path, []).append(w)
-    limit = threshold * float(weights.std())
-    chosen = {p for p, ws in by_path.items() if math.fsum(ws) / len(ws) > limit}
-    picked = [k for k, b in enumerate(blocks) if inside[k] and b.path in chosen]
-    if not picked:
+    return np.sqrt(np.sqrt(weights))
+
+
+def mean_by_path(paths: list[int], weights: np.ndarray) -> np.ndarray:
+    """For each block the mean weight of its path."""
+    _, of = np.unique(np.array(paths), return_inverse=True)
+    return (np.bincount(of, weights) / np.bincount(of))[of]
+
+
+def content_blocks(elements: list[Element], blocks: list[Block], threshold: float = 1.0) -> list[str]:
+    """The texts of content blocks, in order. A path is chosen if its mean weight is above ``threshold`` times the deviation of the page's weights."""
+    found = [(b, t) for b in blocks if (t := b.content())]
+    if not found:
+        return []
+    blocks, texts = [b for b, _ in found], [t for _, t in found]
+    sizes = np.array([len(t) for t in texts])
+    own = np.maximum(0, sizes - np.array([b.links for b in blocks]))
+    # Upwards: text of each element, and whether it holds an article or main part.
+    held = [0] * len(elements)
+    for b, size in zip(blocks, own.tolist(), strict=True):
+        held[b.element] += size
+    holds = [e.content for e in elements]
+    for k in range(len(elements) - 1, 0, -1):
+        held[elements[k].parent] += held[k]
+        holds[elements[k].parent] |= holds[k]
+    # Downwards: whether an element is part of one that is marked and not around the article.
+    within_content = [False] * len(elements)
+    outside, weak = [False] * len(elements), [False] * len(elements)
+    for k, e in enumerate(elements[1:], 1):
+        around = holds[k] and not e.content or held[k] >= ALL_BUT * held[0]
+        outside[k] = outside[e.parent] or (e.outside and not (around and not within_content[e.parent])) or (e.named and not around)
+        weak[k] = weak[e.parent] or e.weak
+        within_content[k] = within_content[e.parent] or e.content
+    inside = np.array([not outside[b.element] for b in blocks])
+    paths = [elements[b.element].path for b in blocks]
+    marks = np.array([len(_PUNCTUATION.findall(t)) for t in texts]) * own / sizes
+    weights = path_weights(paths, own, marks, inside)
+    heavy = mean_by_path(paths, weights)
+    picked = inside & (heavy > threshold * weights.std())
+    if not picked.any():
         return []
-    within = _container(blocks, texts, inside, picked)
-    return [t for b, t, i in zip(blocks, texts, inside.tolist(), strict=True) if i and within in b.within]
-
-
-def _container(blocks: list[Block], texts: list[str], inside: np.ndarray, picked: list[int]) -> int:
-    """The element that holds the content: the marked article or main part with most picked text, else the innermost one with most of it."""
-    sizes: dict[int, int] = {}
-    marked: dict[int, tuple[int, int]] = {}
-    for k in picked:
-        for depth, number in enumerate(blocks[k].within):
-            sizes[number] = sizes.get(number, 0) + len(texts[k])
-            tag = blocks[k].path[depth].split(".")[0]
-            if tag in CONTENT_TAGS:
-                marked[number] = (int(tag == "article"), sizes[number])
+    # A text element's name alone counts for little: its path has to weigh enough beside the others.
+    unnamed = np.array([not weak[b.element] for b in blocks])
+    usual = heavy[picked & unnamed].mean() if (picked & unnamed).any() else 0.0
+    fits = inside & (unnamed | (heavy >= NAMED * usual))
+    container = _container(elements, blocks, sizes, picked & fits, fits)
+    under = [False] * len(elements)
+    for k, e in enumerate(elements):
+        under[k] = k == container or k > 0 and under[e.parent]
+    return [t for b, t, fit in zip(blocks, texts, fits.tolist(), strict=True) if fit and under[b.element]]
+
+
+def _container(elements: list[Element], blocks: list[Block], sizes: np.ndarray, picked: np.ndarray, fits: np.ndarray) -> int:
+    """The element that holds the content: the marked article or main part with most picked text (or, with none, most text that fits), else the innermost
+    element with most of the picked text."""
+
+    level = [0] * len(elements)  # the block-level element that each lies in
+    for k, e in enumerate(elements[1:], 1):
+        level[k] = level[e.parent] if e.tag in INLINE else k
+
+    def held_by(chosen: np.ndarray) -> tuple[list[int], set[int]]:
+        held, leaf = [0] * len(elements), set()
+        for k in np.flatnonzero(chosen).tolist():
+            at = level[blocks[k].element]
+            held[at] += int(sizes[k])
+            leaf.add(at)
+        for k in range(len(elements) - 1, 0, -1):
+            held[elements[k].parent] += held[k]
+        return held, leaf
+
+    held, leaf = held_by(picked)
+    fitting, _ = held_by(fits)
+    marked = [k for k, e in enumerate(elements) if e.tag in CONTENT_TAGS and fitting[k]]
     if marked:
-        return max(marked, key=lambda n: (*marked[n], -n))
-    total = sum(len(texts[k]) for k in picked)
-    most = [n for n, size in sizes.items() if size >= MOST * total]
-    leaf = {blocks[k].within[-1] for k in picked if blocks[k].within}
+        return max(marked, key=lambda k: (elements[k].tag == "article", held[k], fitting[k], -k))
+    most = [k for k, size in enumerate(held) if size >= MOST * held[0] and elements[k].tag not in INLINE]
     # A lone paragraph is no container: the element around it is.
-    outer = [n for n in most if n not in leaf]
-    return max(outer or most, default=0)
+    return max((k for k in most if k not in leaf), default=max(most, default=0))
 
 
 def main_text(page: str) -> str:
     parser = _Pages()
     parser.feed(page)
     parser.close()
-    return "\n\n".join(content_blocks(parser.blocks, parser.wrappers))
+    return "\n\n".join(content_blocks(parser.elements, parser.blocks))
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:

@@ -1,11 +1,16 @@
 """Main text of pages."""
 
 import html
+import math
+import random
 import re
+import time
 
+import numpy as np
 import pytest
 
-from subtide.llm.html_text import extract_main_text, main_text
+from subtide.llm import html_text
+from subtide.llm.html_text import content_blocks, extract_main_text, main_text
 from subtide.llm.queries import QUERIES
 
 PAGES = [
@@ -84,3 +89,68 @@ def test_articles_of_the_test_pages(spark):
         article = re.search(r"<article>(.*?)(</article>|$)", pages[r["page_id"]], re.DOTALL).group(1)
         blocks = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]+>", " ", b))).strip() for b in re.split(r"</?(?:p|h1)>", article)]
         assert r["text"] == "\n\n".join(filter(None, blocks))
+
+
+def _parsed(page):
+    parser = html_text._Pages()
+    parser.feed(page)
+    parser.close()
+    return parser.elements, parser.blocks
+
+
+def _bare(page):
+    """The page without tags or names that say what its parts are."""
+    return re.sub(r"<(/?)(?:nav|footer|article|main|header|aside)\b", r"<\1div", page).replace('class="ad"', 'class="x"')
+
+
+def _article(page):
+    article = re.search(r"<article>(.*?)(</article>|$)", page, re.DOTALL).group(1)
+    blocks = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]+>", " ", b))).strip() for b in re.split(r"</?(?:p|h1)>", article)]
+    return "\n\n".join(filter(None, blocks))
+
+
+def test_ratios_find_articles_without_marks(spark):
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("html").limit(600).collect()]
+    right = {threshold: sum("\n\n".join(content_blocks(*_parsed(_bare(p)), threshold)) == _article(p) for p in pages) for threshold in (-1.0, 1.0)}
+    assert right[1.0] > 0.92 * len(pages)
+    # Without the threshold every path would do, and small articles would take their surroundings with them.
+    assert right[-1.0] < right[1.0] - 0.05 * len(pages)
+
+
+def test_weights_are_the_path_ratios():
+    """The same sums in plain Python, path by path and neighbour by neighbour."""
+    rng = random.Random(5)
+    paths = [rng.randrange(6) for _ in range(60)]
+    lengths, marks, prior = ([rng.choice([0, 3, 40, 300]) for _ in paths], [rng.random() * 4 for _ in paths], [rng.choice([0, 1, 1]) for _ in paths])
+    wanted = [1.0] * len(paths)
+    for feature in (lengths, marks):
+        ratio = [sum(f for f, q in zip(feature, paths, strict=True) if q == p) / paths.count(p) * own for p, own in zip(paths, prior, strict=True)]
+        for k in range(len(paths)):
+            near = [(math.exp(-((j - k) ** 2) / 2), ratio[j]) for j in range(max(0, k - 2), min(len(paths), k + 3))]
+            wanted[k] *= ratio[k] * sum(w * r for w, r in near) / sum(w for w, _ in near) + 1e-9
+    got = html_text.path_weights(paths, np.array(lengths), np.array(marks), np.array(prior))
+    assert np.allclose(got, [w**0.25 for w in wanted])
+    means = [sum(w for w, q in zip(got, paths, strict=True) if q == p) / paths.count(p) for p in paths]
+    assert np.allclose(html_text.mean_by_path(paths, got), means)
+
+
+@pytest.mark.parametrize("name", ["related", "share", "notice", "alert", "widget", "search", "form", "legal", "banner"])
+def test_names_cost_no_paragraph_of_the_article(name):
+    usual = "A paragraph of the article, with some text, and a few commas. It goes on."
+    own = "A paragraph that is called so, but is of the article, as its text, and its commas, show."
+    for tag in ("article", "div"):
+        page = f"<body><{tag}><h1>T</h1><p>{usual}</p><p class='{name}'>{own}</p><p>{usual}</p></{tag}><footer>By me.</footer></body>"
+        assert main_text(page) == f"T\n\n{usual}\n\n{own}\n\n{usual}"
+    # The name of a part of the page still counts, and so does that of a paragraph without much text.
+    assert main_text(f"<article><p>{usual}</p><div class='{'ad ' + name}'><p>Buy, now.</p></div><p class='{name}'>Go</p><p>{usual}</p></article>") == f"{usual}\n\n{usual}"
+
+
+@pytest.mark.parametrize("piece", ["<div>a b c d.", "<div class=x><p>a, b c", "<b>a ", "<article>a b. ", "<b>a b<hr>", "<li><ul>a b", "</x></p>a b<span>"])
+def test_deep_pages_take_time_in_proportion(piece):
+    started = time.perf_counter()
+    short = main_text(piece * 4_000)
+    middle = time.perf_counter()
+    long = main_text(piece * 32_000)
+    ended = time.perf_counter()
+    assert len(long) > 7 * len(short) - 100
+    assert ended - middle < 4 * 8 * (middle - started) + 1
