@@ -37,6 +37,8 @@ GROUP = 128
 FEW = 512
 #: Size from which impacts are refused.
 MOST_IMPACT = 1 << 20
+#: Partitions of the join at most.
+MOST_PARTS = 20_000
 #: Ends of rounds, as shares of a query's largest product.
 LEVELS = (0.5, 0.3, 0.2, 0.12, 0.06, 0.0)
 
@@ -215,7 +217,9 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, vec
     lane = F.pmod(F.hash("of_slice", "of_block", "q_ids"), F.lit(lanes))
     sent = groups.withColumn("lane", lane).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
     copied = blocks.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-    met = sent.join(copied.hint("merge"), ["slice", "lane"])
+    # The work lies in the products, not in the bytes by which adaptive execution would merge partitions; so their number is set.
+    parts = min(MOST_PARTS, slices * lanes)
+    met = sent.repartition(parts, "slice", "lane").join(copied.repartition(parts, "slice", "lane").hint("merge"), ["slice", "lane"])
     schema = pa.schema([("of_slice", pa.int32()), ("of_block", pa.int32()), ("q_dims", pa.int32()), *((c, pa.binary()) for c in ("q_ids", "q_places", "q_vectors"))])
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
