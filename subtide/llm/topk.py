@@ -217,37 +217,10 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, vec
     lane = F.pmod(F.hash("of_slice", "of_block", "q_ids"), F.lit(lanes))
     sent = groups.withColumn("lane", lane).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
     copied = blocks.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-    # The work lies in the products, not in the bytes by which adaptive execution would merge partitions; so their number is set.
-    parts = min(MOST_PARTS, slices * lanes)
+    # The work lies in the products, not in the bytes by which adaptive execution would merge partitions; so their number is set, with room
+    # for pairs that hash alike.
+    parts = min(MOST_PARTS, 4 * slices * lanes)
     met = sent.repartition(parts, "slice", "lane").join(copied.repartition(parts, "slice", "lane").hint("merge"), ["slice", "lane"])
-    schema = pa.schema([("of_slice", pa.int32()), ("of_block", pa.int32()), ("q_dims", pa.int32()), *((c, pa.binary()) for c in ("q_ids", "q_places", "q_vectors"))])
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids = np.frombuffer(row["ids"], np.int64)
-                impacts = _wide(row["impacts"], len(ids), row["dims"])
-                asked = np.flatnonzero(ids % every == 0)
-                for first in range(0, len(asked), GROUP):
-                    own = asked[first : first + GROUP]
-                    columns = [pa.array([row[c]], pa.int32()) for c in ("slice", "block", "dims")]
-                    arrays = (ids[own], own.astype(np.int64), _narrow(impacts[own]))
-                    yield pa.RecordBatch.from_arrays([*columns, *(pa.array([a.tobytes()], pa.binary()) for a in arrays)], schema=schema)
-
-    chosen = blocks.select("slice", "block", "dims", "ids", "impacts")
-    return chosen.mapInArrow(choose, "of_slice int, of_block int, q_dims int, q_ids binary, q_places binary, q_vectors binary")
-
-
-def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id, score: for each row whose id ``every`` divides, the k other rows of largest integer inner product."""
-    blocks = written(impact_blocks(vectors, vec_id, vector, scale), "impact-blocks")
-    groups = written(query_groups(blocks, every), "impact-queries")
-    slices = blocks.select("slice").distinct()
-    # Every group of queries is sent to every slice, small rows; the blocks of a slice stay together.
-    last = slices.agg(F.max("slice").alias("last"))
-    number = last.first()["last"]
-    sent = groups.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(number if number is not None else 0))))
-    met = sent.join(blocks.hint("merge"), "slice")
     schema = pa.schema([("of_slice", pa.int32()), ("of_block", pa.int32()), ("place", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
