@@ -6,8 +6,10 @@ words is one shingle), weighted by their rarity among the items of the benchmark
 
 1. A window without a shingle of any item of its size has similarity 0, so windows are formed around
    shingles that an item has, and nowhere else. That drops no window that could match.
-2. Each window gets a 64-bit SimHash. Fingerprints are cut into ``radius + 1`` blocks: two within the
-   radius agree in at least one block, so looking up every block finds all of them.
+2. Each window gets a SimHash of ``BLOCKS`` blocks of 16 bits. Two fingerprints within the radius differ in at most
+   ``radius // BLOCKS`` bits of some block. Each block of an item is indexed with half of those bits flipped in every way, and looked
+   up with the other half flipped, so every pair within the radius meets; a fifth of
+   unrelated pairs does, and the distance of whole fingerprints stops those before the exact step.
 3. Weighted Jaccard similarity of the two multisets of shingles decides.
 
 The benchmark is the query set: it is taken in blocks of items of bounded size, each held whole by
@@ -43,23 +45,72 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start_wor
 WORD_BYTES = np.zeros(256, bool)
 WORD_BYTES[0x30:0x3A] = WORD_BYTES[0x41:0x5B] = WORD_BYTES[0x61:0x7B] = WORD_BYTES[0x80:] = True
 
-_BITS = np.arange(64, dtype=np.uint64)
+#: Blocks of 16 bits of a fingerprint, and the distance up to which similar passages are looked for.
+BLOCKS = 20
+RADIUS = 4 * BLOCKS - 1
+
+_SEEDS = np.arange(1, BLOCKS // 4 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
 
 def signs(hashes: np.ndarray) -> np.ndarray:
-    """A row of 64 signs for each hash."""
-    return ((hashes[:, None] >> _BITS) & np.uint64(1)).astype(np.float64) * 2 - 1
+    """A row of signs for each hash, one for each bit of a fingerprint."""
+    bits = np.unpackbits(batch.mixed(hashes[:, None] ^ _SEEDS).view(np.uint8), axis=1)
+    return bits.astype(np.float64) * 2 - 1
 
 
 def packed(sums: np.ndarray) -> np.ndarray:
-    """64-bit fingerprints of rows of 64 weighted sums of signs."""
-    return ((sums > 0).astype(np.uint64) << _BITS).sum(axis=1, dtype=np.uint64)
+    """Fingerprints of rows of weighted sums of signs, as rows of blocks."""
+    return np.packbits(sums > 0, axis=1).view(np.uint16)
+
+
+def distances(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Bits in which rows of fingerprints differ."""
+    return np.bitwise_count(one ^ other).sum(axis=1, dtype=np.int64)
+
+
+def flips(bits: int) -> np.ndarray:
+    """All values of a block with at most so many bits set."""
+    values = np.arange(1 << 16, dtype=np.uint16)
+    return values[np.bitwise_count(values) <= bits]
+
+
+class BlockIndex:
+    """Finds the fingerprints within a radius by their blocks."""
+
+    def __init__(self, prints: np.ndarray, radius: int) -> None:
+        self.prints, self.radius = prints, radius
+        apart = radius // BLOCKS
+        self.probes = flips(apart // 2)
+        ways = flips(apart - apart // 2)
+        owner = np.repeat(np.arange(len(prints), dtype=np.int32), len(ways))
+        self.tables = []
+        for k in range(BLOCKS):
+            values = (prints[:, k, None] ^ ways).ravel()
+            order = np.argsort(values, kind="stable")
+            self.tables.append((values[order], owner[order]))
 
+    def meeting(self, prints: np.ndarray) -> np.ndarray:
+        """Pairs that meet in some block, as place in ``prints`` * indexed fingerprints + place among those."""
+        pairs = []
+        for k, (values, owner) in enumerate(self.tables):
+            own = (prints[:, k, None] ^ self.probes).ravel()
+            low = np.searchsorted(values, own, "left")
+            n = np.searchsorted(values, own, "right") - low
+            row = np.repeat(np.arange(len(own)) // len(self.probes), n)
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+            pairs.append(np.unique(row * len(self.prints) + owner[at]))
+        return np.unique(np.concatenate(pairs))
+
+    def within(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places in ``prints``, places among the indexed ones and distances of all pairs within the radius."""
+        row, other = np.divmod(self.meeting(prints), len(self.prints))
+        far = distances(prints[row], self.prints[other])
+        near = far <= self.radius
+        return row[near], other[near], far[near]
 
-def block_bounds(radius: int) -> list[tuple[int, int]]:
-    """First bit and bits of the blocks of a 64-bit fingerprint, one more than the radius."""
-    edges = [64 * k // (radius + 1) for k in range(radius + 2)]
-    return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
+
+#: Windows whose running sums are in memory together.
+WINDOWS = 1024
 
 
 class Rarity:
@@ -81,7 +132,7 @@ class Items:
     """One block of the benchmark, ready for lookups. ``elsewhere`` is the broadcast rarity where there are other blocks."""
 
     def __init__(self, rows: list[tuple[int, str]], rarity: Rarity, radius: int, elsewhere: Broadcast | None = None) -> None:
-        self.radius, self.elsewhere, self.ids = radius, elsewhere, []
+        self.elsewhere, self.ids = elsewhere, []
         self.shingles: list[np.ndarray] = []
         self.sizes: list[int] = []
         for first, data, offsets in batch.runs(pa.array([text for _, text in rows], pa.string())):
@@ -100,7 +151,7 @@ class Items:
         self.local = [np.searchsorted(self.keys, s) for s in self.shingles]
         self.counts = [Counter(x.tolist()) for x in self.local]
         self.totals = [float(self.weights[x].sum()) for x in self.local]
-        self.prints = np.array([packed(np.round((signs(s) * self.weights[x][:, None]).sum(axis=0), 6)[None])[0] for s, x in zip(self.shingles, self.local, strict=True)], np.uint64)
+        prints = [packed(np.round((signs(s) * self.weights[x][:, None]).sum(axis=0), 6)[None]) for s, x in zip(self.shingles, self.local, strict=True)]
         self.by_size: dict[int, np.ndarray] = {}
         for size in sorted(set(self.sizes)):
             self.by_size[size] = np.flatnonzero(np.array(self.sizes) == size)
@@ -109,34 +160,12 @@ class Items:
         for size, local in zip(self.sizes, self.local, strict=True):
             for k in set(local.tolist()):
                 self.sizes_of[k].add(size)
-        # For each size and block, values in order and the items that have them.
-        self.index = {}
-        for size, items in self.by_size.items():
-            for shift, bits in block_bounds(radius):
-                values = self._block(self.prints[items], shift, bits)
-                order = np.argsort(values, kind="stable")
-                self.index[size, shift] = (values[order], items[order])
-
-    @staticmethod
-    def _block(prints: np.ndarray, shift: int, bits: int) -> np.ndarray:
-        return (prints >> np.uint64(shift)) & np.uint64((1 << bits) - 1)
+        self.index = {size: BlockIndex(np.concatenate([prints[k] for k in items.tolist()]), radius) for size, items in self.by_size.items()}
 
     def within_radius(self, size: int, prints: np.ndarray) -> list[tuple[int, int, int]]:
         """(window, item, distance) of all pairs within the radius."""
-        pairs = []
-        for shift, bits in block_bounds(self.radius):
-            values, items = self.index[size, shift]
-            own = self._block(prints, shift, bits)
-            low, high = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
-            n = high - low
-            window = np.repeat(np.arange(len(prints)), n)
-            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-            pairs.append(window * len(self.ids) + items[at])
-        both = np.unique(np.concatenate(pairs))
-        window, item = both // len(self.ids), both % len(self.ids)
-        far = np.bitwise_count(prints[window] ^ self.prints[item])
-        near = far <= self.radius
-        return list(zip(window[near].tolist(), item[near].tolist(), far[near].tolist(), strict=True))
+        window, place, far = self.index[size].within(prints)
+        return list(zip(window.tolist(), self.by_size[size][place].tolist(), far.tolist(), strict=True))
 
     def similarity(self, item: int, own: np.ndarray, weight: np.ndarray) -> float:
         """Weighted Jaccard of an item and a window, given by its shingles' places in ``keys`` and weights."""
@@ -164,8 +193,8 @@ class Items:
                 first = np.array(sorted(own_starts), np.int64)
                 if not len(first):
                     continue
-                for k in range(0, len(first), 4096):
-                    found += self._near(first[k : k + 4096], size, min(size, len(words)), n, shingles, known, least)
+                for k in range(0, len(first), WINDOWS):
+                    found += self._near(first[k : k + WINDOWS], size, min(size, len(words)), n, shingles, known, least)
         return self._best(found)
 
     def _near(self, first: np.ndarray, size: int, length: int, n: int, shingles: np.ndarray, known: np.ndarray, least: float) -> list[tuple[int, int, int, int, float]]:
@@ -179,7 +208,7 @@ class Items:
         if self.elsewhere is not None:
             other = known[covered] < 0
             weight[other] = self.elsewhere.value.of(shingles[covered[other]])
-        sums = np.zeros((len(covered) + 1, 64))
+        sums = np.zeros((len(covered) + 1, 16 * BLOCKS))
         np.cumsum(signs(shingles[covered]) * weight[:, None], axis=0, out=sums[1:])
         at = np.searchsorted(covered, first)
         # Rounding of the running sums must not decide a sign.
@@ -254,7 +283,7 @@ def _matches(texts: pa.Array, block: Items, least: float) -> Iterator[tuple[int,
             yield first + row, block.matches(hashes[words.first[row] : words.first[row + 1]], least)
 
 
-def benchmark_matches(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, radius: int = 20, block_chars: int = 4_000_000) -> DataFrame:
+def benchmark_matches(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, radius: int = RADIUS, block_chars: int = 2_000_000) -> DataFrame:
     """One row per document, item and place where a window of the item's size is similar enough.
 
     ``block_chars`` bounds the characters of items that tasks hold at a time; an item longer than that
@@ -274,7 +303,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, least: float = 0.8,
     return reduce(DataFrame.unionAll, [against(block) for block in _blocks(benchmark, radius, block_chars)])
 
 
-def without_benchmark(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, radius: int = 20, block_chars: int = 4_000_000) -> DataFrame:
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, radius: int = RADIUS, block_chars: int = 2_000_000) -> DataFrame:
     """The rows of ``docs`` whose text holds no passage of the benchmark, one scan per block of items."""
     at = docs.columns.index("text")
 

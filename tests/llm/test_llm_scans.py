@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from subtide.llm import batch
-from subtide.llm.decontamination import benchmark_matches, block_bounds, without_benchmark
+from subtide.llm.decontamination import BLOCKS, RADIUS, BlockIndex, Items, Rarity, benchmark_matches, distances, without_benchmark
 from subtide.llm.licenses import license_scan
 from subtide.llm.queries import QUERIES
 from subtide.llm.secrets import FEATURES, Forest, fit_forest, scored_candidates, secret_scan, trigram_dictionary, weak_findings, without_secrets
@@ -134,15 +134,53 @@ def test_blocks_change_no_result(spark):
 
 def test_blocks_reach_every_fingerprint_in_the_radius():
     rng = np.random.default_rng(1)
-    for radius in (3, 9, 20):
-        bounds = block_bounds(radius)
-        assert len(bounds) == radius + 1 and sum(n for _, n in bounds) == 64
-        for _ in range(200):
-            a = int(rng.integers(0, 2**63))
-            b = a
-            for bit in rng.choice(64, radius, replace=False):
-                b ^= 1 << int(bit)
-            assert any((a >> s) % (1 << n) == (b >> s) % (1 << n) for s, n in bounds)
+    for radius in (0, 5, BLOCKS - 1, BLOCKS, 2 * BLOCKS + 3, 3 * BLOCKS - 1, RADIUS):
+        items = rng.integers(0, 1 << 16, (60, BLOCKS)).astype(np.uint16)
+        probes = items[rng.integers(0, 60, 400)].copy()
+        for row in probes:
+            bits = np.unpackbits(row.view(np.uint8))
+            bits[rng.choice(16 * BLOCKS, radius + int(rng.integers(-1, 2)) if radius else 0, replace=False)] ^= 1
+            row[:] = np.packbits(bits).view(np.uint16)
+        wanted = {(a, b, int(d)) for a in range(400) for b, d in enumerate(distances(probes[a][None], items)) if d <= radius}
+        assert len(wanted) > 100
+        got = [x.tolist() for x in BlockIndex(items, radius).within(probes)]
+        assert sorted(zip(*got, strict=True)) == sorted(wanted)
+        # The worst case of the pigeonhole: bits spread evenly over the blocks.
+        even = items.copy()
+        for bit in range(radius):
+            even[:, bit % BLOCKS] ^= np.uint16(1 << (bit // BLOCKS * 5 % 16))
+        row, other, far = BlockIndex(items, radius).within(even)
+        assert {(k, k) for k in range(60)} <= set(zip(row.tolist(), other.tolist(), strict=True)) and (far[row == other] == radius).all()
+
+
+def test_few_windows_meet_an_item():
+    rng, known = random.Random(5), vocabulary(3000)
+    items = Items([(k, prose(rng, 40, known)) for k in range(300)], Rarity(np.zeros(0, np.uint64), np.zeros(0, np.int64), 300), RADIUS)
+    others = Items([(k, prose(rng, 40, known)) for k in range(300)], Rarity(np.zeros(0, np.uint64), np.zeros(0, np.int64), 300), RADIUS)
+    size = max(items.by_size, key=lambda n: len(items.by_size[n]))
+    index, windows = items.index[size], others.index[size].prints
+    pairs = len(windows) * len(index.prints)
+    assert pairs > 10_000
+    assert len(index.meeting(windows)) < 0.25 * pairs
+    assert len(index.within(windows)[0]) == 0
+
+
+def test_similar_passages_are_within_the_radius(spark):
+    """Of all pairs at a weighted similarity of 0.8 or more, those that fingerprints find."""
+    rng, known = random.Random(8), vocabulary(3000)
+    items, texts = [], []
+    for k in range(400):
+        words = prose(rng, rng.randint(46, 140), known).split()
+        items.append((k, " ".join(words)))
+        words[rng.randrange(8, len(words) - 8)] = "changed"
+        if len(words) > 100:
+            words[rng.randrange(8, len(words) - 8)] = "again"
+        texts.append(f"before {' '.join(words)} after")
+    wanted = leaks(texts, items)
+    docs = frame(spark, [(k, t, None, None, None) for k, t in enumerate(texts)])
+    found = {(r["doc_id"], r["item_id"]) for r in benchmark_matches(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(wanted) > 250 and found <= wanted
+    assert len(found) >= 0.98 * len(wanted)
 
 
 def test_planted_passages_are_found(spark):
