@@ -15,7 +15,8 @@ documents link when ``100 * shared >= percent * union``.
 4. A task that holds the prefixes of a place finds, breadth first, which of its classes share enough prefix shingles and are alike
    in size. Only those get their texts, and only connected ones go on to the same task, which verifies the exact
    overlap: a class is compared with those that no earlier one has reached, so a group of copies costs a pass and not
-   all its pairs. A place with more than ``crowd`` classes is cut into slices, and each pair of slices is one task's work.
+   all its pairs. A place with more than ``crowd`` classes, or of more than ``crowd_shingles`` shingles, is cut into slices,
+   and each pair of slices is one task's work.
 5. Stars become components over all places by rounds of smallest neighbours, written to the shared folder.
 
 Null and empty texts and texts without words have no shingles and link with nothing. Repeated rows and copies are one class; every
@@ -39,7 +40,8 @@ from subtide.llm.bits import holds, key_bits
 from subtide.llm.shared import bounded, quoted, split_join, text_column, unused, written
 
 SKETCH_BITS = 18
-CROWD = 4096
+# A slice of a place has about so many classes and so many shingles, so about 25 MB of text, at most.
+CROWD, CROWD_SHINGLES = 4096, 4_000_000
 # Shingles by which every prefix is longer than it has to be: at least so many, and a share of large sets;
 # and by how many more the estimated cost may lengthen it.
 EXTENSION, EXTENSION_SHARE, COST_EXTENSION = 12, 1 / 32, 12
@@ -309,15 +311,13 @@ def components(edges: DataFrame, one: str = "one", other: str = "other", rounds:
     return links.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(links.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
 
 
-def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, crowd: int = CROWD, sketch_bits: int = SKETCH_BITS) -> DataFrame:
+def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, crowd: int = CROWD, sketch_bits: int = SKETCH_BITS, crowd_shingles: int = CROWD_SHINGLES) -> DataFrame:
     """One row per document: doc_id, text_hash, n_shingles, component_id (the smallest doc_id reachable by links)."""
     texts = bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_column("text").alias("text"))
     prefixes = Prefixes(frequency_sketch(texts, n, sketch_bits), percent)
     every = written(_prefix_rows(texts, prefixes, n), "prefixes")
     places = written(_places(every), "places")
-    crowds = places.groupBy("leader").agg(F.count("*").alias("classes")).where("classes > 1")
-    sliced = split_join(places, crowds, ["leader"]).withColumn("slices", F.ceil(F.col("classes") / F.lit(crowd)).cast("int"))
-    sliced = sliced.withColumn("slice", F.pmod(F.xxhash64("key"), F.col("slices")).cast("int"))
+    sliced = _sliced(places, crowd, crowd_shingles)
     pair = F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda k: F.struct(F.least(k, F.col("slice")).alias("a"), F.greatest(k, F.col("slice")).alias("b")))
     likely = _likely_groups(sliced.select("leader", "key", "slice", "low", "high", "extension", "live", F.inline(pair)), percent)
     # One text of each class that may link with another; the others are left out before the shuffle, as far as a
@@ -353,6 +353,16 @@ def _places(every: DataFrame) -> DataFrame:
     return enough.select("key", "low", "high", "extension", F.transform("live", lambda x: x["shingle"]).alias("live"), leader)
 
 
+def _sliced(places: DataFrame, crowd: int, crowd_shingles: int) -> DataFrame:
+    """``places`` where several classes meet, plus slices and slice: into how many their place is cut, and which is theirs.
+
+    Long texts fill a task as many classes do, so a place is cut by whichever asks for more; there are no more slices than classes.
+    """
+    asked = F.greatest(F.ceil(F.count("*") / F.lit(crowd)), F.ceil(F.sum("high") / F.lit(crowd_shingles)))
+    crowds = places.groupBy("leader").agg(F.count("*").alias("classes"), F.least(asked, F.count("*")).cast("int").alias("slices")).where("classes > 1")
+    return split_join(places, crowds, ["leader"]).withColumn("slice", F.pmod(F.xxhash64("key"), F.col("slices")).cast("int"))
+
+
 def _with_class(texts: DataFrame, n: int, wanted: np.ndarray) -> DataFrame:
     """class and text of the texts whose class's key the bits of ``wanted`` hold."""
     schema = pa.schema([("class", pa.binary()), ("text", pa.string())])

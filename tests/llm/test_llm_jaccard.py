@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from subtide.llm.jaccard_join import Prefixes, components, jaccard_components, linked_stars, without_near_copies
+from subtide.llm.jaccard_join import Prefixes, _sliced, components, jaccard_components, linked_stars, without_near_copies
 from subtide.llm.queries import QUERIES
 from texts import SCHEMA, components as all_pairs, corpus, frame, same
 
@@ -108,3 +108,19 @@ def test_extensions_grow_with_the_set():
     extensions = [prefixes.extension(s) for s in sizes]
     assert extensions == sorted(extensions)
     assert all(prefixes.matches(s) <= 1 + min(prefixes.extension(t) for t in (prefixes.need(s), s)) for s in sizes)
+
+
+def test_places_are_cut_by_shingles_too(spark, rows):
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_components(frame(spark, rows), crowd_shingles=300).collect()]
+    wanted = all_pairs(rows)
+    same(got, [(rows[k][0], *wanted[k]) if wanted[k][0] else (rows[k][0], 0, rows[k][0]) for k in range(len(rows))])
+    # 200 texts of a megabyte at one place, two short ones at another, one alone.
+    large = spark.range(200).selectExpr("7L AS leader", "id AS key", "170000L AS high")
+    small = spark.createDataFrame([(8, 1000, 40), (8, 1001, 50), (9, 1002, 170_000_000)], "leader long, key long, high long")
+    cut = _sliced(large.unionByName(small), 4096, 4_000_000).collect()
+    assert {(r["leader"], r["slices"]) for r in cut} == {(7, 9), (8, 1)}
+    shingles = [sum(r["high"] for r in cut if r["leader"] == 7 and r["slice"] == k) for k in range(9)]
+    assert sum(shingles) == 200 * 170_000 and max(shingles) < 8_000_000
+    # No more slices than classes, however long the texts are.
+    pair = spark.createDataFrame([(1, 5, 10**9), (1, 6, 10**9)], "leader long, key long, high long")
+    assert {r["slices"] for r in _sliced(pair, 4096, 4_000_000).collect()} == {2}
