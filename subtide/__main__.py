@@ -30,6 +30,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--tables", nargs="+", choices=list(CHECKS), help="what write_checked copies (default: all)")
     parser.add_argument("--sort-by", nargs="+", default=[], metavar="TABLE=COLUMN,...", help="order of the rows that write_checked writes")
     parser.add_argument("--partition-by", nargs="+", default=[], metavar="TABLE=COLUMN", help="date whose days get a folder each in what write_checked writes")
+    parser.add_argument("--bucket-by", nargs="+", default=[], metavar="TABLE=COLUMN:N", help="key and number of buckets of what write_checked writes")
     options = parser.parse_args(arguments)
     if options.report == "write_checked" and not options.output:
         parser.error("write_checked needs --output")
@@ -42,7 +43,9 @@ def main(arguments: list[str] | None = None) -> None:
     if options.report == "write_checked":
         sort_by = {table: columns.split(",") for table, _, columns in (entry.partition("=") for entry in options.sort_by)}
         partition_by = dict(entry.split("=", 1) for entry in options.partition_by)
-        for path in write_checked_tables(spark, options.data, options.output, options.tables, sort_by, options.as_of, options.format, partition_by=partition_by, **reading):
+        bucket_by = {table: (column, int(n)) for table, _, key in (entry.partition("=") for entry in options.bucket_by) for column, _, n in [key.partition(":")]}
+        layout = {"partition_by": partition_by, "bucket_by": bucket_by}
+        for path in write_checked_tables(spark, options.data, options.output, options.tables, sort_by, options.as_of, options.format, **layout, **reading):
             print(path)
         return
     if options.report == "malformed_values":

@@ -143,17 +143,18 @@ def write_checked_tables(
     fmt: str = "parquet",
     target_fmt: str = "parquet",
     partition_by: dict[str, str] | None = None,
+    bucket_by: dict[str, tuple[str, int]] | None = None,
     **reading: bool | str,
 ) -> list[str]:
-    """Copy tables to ``target``, each sorted by its ``sort_by`` columns and in folders by its ``partition_by`` date, if the checks
-    of all of them pass; else write none.
+    """Copy tables to ``target``, each sorted by its ``sort_by`` columns and in folders by its ``partition_by`` date or in the buckets
+    of its ``bucket_by`` key, if the checks of all of them pass; else write none.
 
     Each table is read once, into a folder beside ``target``; the rules of its rows are counted on the way, and if they hold, keys and
     references are checked over what was written there. So a source that changes meanwhile cannot slip through unchecked, and only
     tables whose checks have passed are moved to their place.
     """
     names = names or list(CHECKS)
-    sort_by, partition_by = sort_by or {}, partition_by or {}
+    sort_by, partition_by, bucket_by = sort_by or {}, partition_by or {}, bucket_by or {}
     staging = f"{target.rstrip('/')}.staging-{uuid.uuid4().hex[:12]}"
     sources = load_tables(spark, base_path, names, fmt, **reading)
     try:
@@ -162,7 +163,8 @@ def write_checked_tables(
             rules = _ROW_RULES[name](as_of) if name in _ROW_RULES else {}
             counted = Observation(name)
             observed = (counted, [F.count_if(rule).alias(check) for check, rule in rules.items()]) if rules else None
-            write_table(sources[name], staging, name, target_fmt, sort_by=sort_by.get(name), partition_by=partition_by.get(name), observed=observed)
+            layout = {"sort_by": sort_by.get(name), "partition_by": partition_by.get(name), "bucket_by": bucket_by.get(name)}
+            write_table(sources[name], staging, name, target_fmt, **layout, observed=observed)
             if rules:
                 failed += [(name, check, n) for check, n in counted.get.items() if n]
         raise_failed(failed)

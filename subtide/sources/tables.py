@@ -1,4 +1,4 @@
-"""Read and write the five tables as CSV or Parquet, plain, sorted or in a folder per day.
+"""Read and write the five tables as CSV or Parquet, plain, sorted, in a folder per day or in buckets of a key.
 
 A table partitioned by one of its dates keeps each day's rows in a folder ``<column>=<day>``. Readers see the same columns in the same order;
 filters on the date, also those whose bounds a query computes as it runs, choose folders before any file is opened.
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from subtide.sources.buckets import read_buckets, write_buckets
 from subtide.sources.schemas import SCHEMAS
 
 _CSV_OPTIONS = {
@@ -81,6 +82,8 @@ def read_table(
     if fmt == "csv":
         return read_csv(spark, path, schema, multi_line, bad_values)
     if fmt == "parquet":
+        if (by_bucket := read_buckets(spark, path, schema)) is not None:
+            return by_bucket
         # A partition column comes last from its folders' names.
         return spark.read.schema(schema).parquet(path).select(*schema.names)
     raise ValueError(f"unknown format: {fmt}")
@@ -112,17 +115,24 @@ def write_table(
     sort_by: list[str] | None = None,
     partition_by: str | None = None,
     observed: tuple[Observation, list[Column]] | None = None,
+    bucket_by: tuple[str, int] | None = None,
 ) -> str:
     """Write ``df`` as a folder of part files that ``read_table`` finds; returns its path.
 
     ``sort_by`` orders the rows within and across the part files, which lets later
     filters on those columns skip files and row groups. ``partition_by`` names a date of the table: each
     day gets a folder, and ``sort_by`` orders the rows of its files; rows without the date have a folder of their own.
+    ``bucket_by`` is a key and a number of buckets: ``read_table`` then gives a table whose joins and sums on the key need no shuffle.
     ``observed`` are aggregates of the written rows, taken as they are written. Mode "overwrite" replaces the whole table, "overwrite_days" only the days that ``df`` has.
     """
     path = f"{base_path.rstrip('/')}/{name}.{fmt}"
     if mode == "overwrite_days" and not partition_by:
         raise ValueError("overwrite_days needs partition_by")
+    if bucket_by:
+        if partition_by or fmt != "parquet" or mode != "overwrite":
+            raise ValueError("buckets are for whole Parquet tables without partitions")
+        write_buckets(df.observe(observed[0], *observed[1]) if observed else df, path, *bucket_by, sort_by=sort_by)
+        return path
     if partition_by:
         if dict(df.dtypes).get(partition_by) != "date":
             raise ValueError(f"{name}: {partition_by} is no date column")

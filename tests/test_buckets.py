@@ -1,0 +1,127 @@
+"""Tables in buckets of a key: the same rows, and plans without the shuffles that the buckets replace."""
+
+import re
+
+import pytest
+from tables import rows, table
+from test_plans import plan
+
+from subtide.__main__ import main
+from subtide.operators.profile import avg_events_per_user_by_status, events_by_plan
+from subtide.operators.quality import quality_events
+from subtide.sources.buckets import dealt
+from subtide.sources.schemas import SCHEMAS
+from subtide.sources.tables import read_table, write_table
+
+
+def _events(spark, n=400, hot=0):
+    log = [{"event_id": str(i), "user_id": "hot" if i < hot else f"u{i % 53}" if i % 11 else None, "event_date": f"2024-0{1 + i % 4}-0{1 + i % 5}"} for i in range(n)]
+    return table(spark, "product_events", log).repartition(5)
+
+
+def _subs(spark):
+    return table(spark, "subscriptions", [{"user_id": f"u{i}", "plan": ["starter", "growth"][i % 2], "signup_date": "2024-01-03", "churn_date": "2024-03-04"} for i in range(50)])
+
+
+@pytest.fixture
+def no_broadcast(spark, request):
+    """Tables of a size at which neither side of a join is broadcast."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+
+@pytest.fixture
+def both(spark, tmp_path):
+    """Events and subscriptions, plain and in buckets."""
+    for folder, layout in (("plain", None), ("dealt", ("user_id", 8))):
+        write_table(_events(spark), str(tmp_path / folder), "product_events", bucket_by=layout)
+        write_table(_subs(spark), str(tmp_path / folder), "subscriptions", bucket_by=layout)
+    return [[read_table(spark, str(tmp_path / folder), name) for name in ("product_events", "subscriptions")] for folder in ("plain", "dealt")]
+
+
+def test_buckets_read_as_the_same_table(both):
+    for plain, by_bucket in zip(*both, strict=True):
+        assert by_bucket.schema == plain.schema
+        assert sorted(map(repr, rows(by_bucket))) == sorted(map(repr, rows(plain)))
+
+
+@pytest.mark.parametrize("operator", [events_by_plan, avg_events_per_user_by_status, quality_events])
+def test_results_do_not_depend_on_buckets(both, operator):
+    plain, by_bucket = both
+    assert rows(operator(*by_bucket)) == rows(operator(*plain))
+
+
+def test_joins_and_sums_by_user_shuffle_no_table(both, no_broadcast):
+    plain, by_bucket = both
+    exchange = r"hashpartitioning\(user_id#"
+    assert re.search(exchange, plan(events_by_plan(*plain)))
+    for operator in (events_by_plan, avg_events_per_user_by_status, quality_events):
+        text = plan(operator(*by_bucket))
+        assert not re.search(exchange, text) and "SortMergeJoin [user_id" in text, text
+    # What is left are one row per plan and, for repeated events, the events' own key.
+    assert plan(events_by_plan(*by_bucket)).count("hashpartitioning") == 1
+    assert re.findall(r"hashpartitioning\((\w+)#", plan(quality_events(*by_bucket))) == ["event_id"]
+
+
+def test_buckets_of_one_side_spare_that_side(spark, both, no_broadcast):
+    (_, plain), (by_bucket, _) = both
+    text = plan(events_by_plan(by_bucket, plain))
+    events = text[text.index("SortMergeJoin") : text.index("Bucketed: true")]
+    assert "product_events" in events or "event_id" in events
+    assert "Exchange" not in events and "Exchange hashpartitioning(user_id" in text
+
+
+def test_a_table_with_a_hot_key_is_read_plainly(spark, tmp_path, no_broadcast):
+    write_table(_events(spark, hot=300), str(tmp_path), "product_events", bucket_by=("user_id", 16))
+    found = dealt(spark, str(tmp_path / "product_events.parquet"))
+    assert found["rows"] == 400 and found["largest"] >= 300
+    events = read_table(spark, str(tmp_path), "product_events")
+    assert "Bucketed: true" not in plan(events.groupBy("user_id").count())
+    assert dict(rows(events.groupBy("user_id").count()))["hot"] == 300
+
+
+def test_a_hot_bucket_is_many_files(spark, tmp_path, request):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(name, None)
+    request.addfinalizer(lambda: spark.conf.set(name, old) if old else spark.conf.unset(name))
+    spark.conf.set(name, "32k")
+    events = spark.range(60_000, numPartitions=8).selectExpr(
+        "cast(id AS string) AS event_id", "if(id % 3 = 0, 'hot', concat('u', id)) AS user_id", "'login' AS event_name", "date'2024-01-01' AS event_date", "'web' AS platform", "uuid() AS session_id"
+    )
+    write_table(events, str(tmp_path), "product_events", bucket_by=("user_id", 4))
+    files = [p.name for p in (tmp_path / "product_events.parquet").glob("part-*")]
+    by_bucket = {b: len([f for f in files if f"_{b:05d}." in f]) for b in range(4)}
+    assert max(by_bucket.values()) > 1 and sum(by_bucket.values()) == len(files)
+    assert read_table(spark, str(tmp_path), "product_events").count() == 60_000
+
+
+def test_rewritten_buckets_are_read_anew(spark, tmp_path):
+    for n, layout in ((40, ("user_id", 4)), (70, ("user_id", 4)), (30, ("event_id", 3)), (20, None)):
+        write_table(_events(spark, n), str(tmp_path), "product_events", bucket_by=layout)
+        assert read_table(spark, str(tmp_path), "product_events").count() == n
+    assert dealt(spark, str(tmp_path / "product_events.parquet")) is None
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("subtide_write")]
+
+
+def test_empty_table_in_buckets(spark, tmp_path):
+    write_table(table(spark, "product_events", []), str(tmp_path), "product_events", bucket_by=("user_id", 4))
+    again = read_table(spark, str(tmp_path), "product_events")
+    assert again.schema == SCHEMAS["product_events"] and again.count() == 0
+
+
+def test_buckets_that_cannot_be(spark, tmp_path):
+    events = _events(spark, 5)
+    for options in ({"fmt": "csv"}, {"partition_by": "event_date"}, {"mode": "append"}):
+        with pytest.raises(ValueError, match="whole Parquet tables"):
+            write_table(events, str(tmp_path), "product_events", bucket_by=("user_id", 4), **options)
+    with pytest.raises(ValueError, match="no column nobody"):
+        write_table(events, str(tmp_path), "product_events", bucket_by=("nobody", 4))
+
+
+def test_command_line_writes_checked_buckets(spark, tmp_path, capfd):
+    write_table(table(spark, "subscriptions", [{"user_id": f"u{i}", "signup_date": "2024-01-01"} for i in range(9)]), str(tmp_path / "in"), "subscriptions")
+    target = str(tmp_path / "a folder's")
+    main(["write_checked", str(tmp_path / "in"), "--output", target, "--tables", "subscriptions", "--bucket-by", "subscriptions=user_id:2", "--as-of", "2024-07-15"])
+    assert dealt(spark, f"{target}/subscriptions.parquet")["buckets"] == 2
+    assert read_table(spark, target, "subscriptions").count() == 9
