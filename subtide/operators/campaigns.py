@@ -73,13 +73,10 @@ def campaign_labels(campaigns: DataFrame) -> DataFrame:
     return numbered.select("campaign_id", "campaign_type", "send_date", "ordinal", name.alias("campaign_name"))
 
 
-def _slices(df: DataFrame) -> int:
-    """Into how many slices users are dealt: as many as a shuffle has partitions."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _slice_of_user(slices: int) -> Column:
-    return F.pmod(F.xxhash64("user_id"), F.lit(slices))
+def _dealt(users: DataFrame) -> DataFrame:
+    """``users`` in as many partitions as a shuffle has. A user becomes a row per campaign in the same task, so adaptive
+    execution must not merge partitions by the bytes they have before."""
+    return users.repartition(int(users.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _reach(calendar: DataFrame) -> tuple[Column, Column]:
@@ -87,10 +84,14 @@ def _reach(calendar: DataFrame) -> tuple[Column, Column]:
     return calendar.agg(F.min("send_date")).scalar(), calendar.agg(F.max("send_date")).scalar()
 
 
-def _memberships(subs: DataFrame, reach: tuple[Column, Column], active: bool, churned: bool) -> DataFrame:
-    """Half-open date intervals in which a user is active, or has churned, one row per
-    calendar quarter they share with the campaigns. The scan already leaves out users
-    whom no campaign can reach."""
+def _quarters(calendar: DataFrame) -> Column:
+    """The quarters that have campaigns, as a scalar subquery."""
+    return calendar.agg(F.collect_set(F.trunc("send_date", "quarter"))).scalar()
+
+
+def _users_in_reach(subs: DataFrame, reach: tuple[Column, Column], active: bool, churned: bool) -> DataFrame:
+    """Users with the half-open date intervals in which they are active, or have churned. The scan already leaves out
+    users whom no campaign can reach."""
     first, last = F.col("_first"), F.col("_last")
     signup, churn, no_date = F.col("signup_date"), F.col("churn_date"), F.lit(None).cast("date")
     intervals, in_reach = [], F.lit(False)
@@ -102,18 +103,25 @@ def _memberships(subs: DataFrame, reach: tuple[Column, Column], active: bool, ch
         entry = F.struct(F.lit(_CHURNED).alias("kind"), churn.alias("since"), no_date.alias("until"))
         intervals.append(F.when(F.col("status") == "churned", entry))
         in_reach = in_reach | gone
-    since, until = F.col("since"), F.col("until")
+    return (
+        subs.select("user_id", "plan", "status", "signup_date", "churn_date", reach[0].alias("_first"), reach[1].alias("_last"))
+        .where(in_reach)
+        .select("user_id", "plan", "_first", "_last", F.array(*intervals).alias("_intervals"))
+    )
+
+
+def _memberships(users: DataFrame, wanted: Column) -> DataFrame:
+    """One row per interval of ``users`` and quarter that it shares with the campaigns; ``wanted`` are the quarters that have some."""
+    first, last, since, until = F.col("_first"), F.col("_last"), F.col("since"), F.col("until")
     quarters = F.sequence(
         F.trunc(F.greatest(since, first), "quarter"),
         F.trunc(F.least(F.date_sub(until, 1), last), "quarter"),
         F.expr("interval 3 months"),
     )
     return (
-        subs.select("user_id", "plan", "status", "signup_date", "churn_date", reach[0].alias("_first"), reach[1].alias("_last"))
-        .where(in_reach)
-        .select("user_id", "plan", "_first", "_last", F.inline(F.array(*intervals)))
+        users.select("user_id", "plan", "_first", "_last", F.inline("_intervals"))
         .where((since <= last) & (until.isNull() | ((until > first) & (until > since))))
-        .select("user_id", "plan", "kind", "since", "until", F.explode(quarters).alias("quarter"))
+        .select("user_id", "plan", "kind", "since", "until", F.explode(F.array_intersect(quarters, wanted)).alias("quarter"))
     )
 
 
@@ -156,8 +164,8 @@ def _shifted(function: str, value: Column, by: Column) -> Column:
     return F.call_function(function, value, by)
 
 
-def _recent_days(events: DataFrame, reach: tuple[Column, Column]) -> DataFrame:
-    """Per user and quarter, the days of events that are recent on some date of the quarter, as bits of two words.
+def _recent_days(events: DataFrame, reach: tuple[Column, Column], wanted: Column | None = None) -> DataFrame:
+    """Per user and quarter (of those ``wanted``, if given), the days of events that are recent on some date of the quarter, as bits of two words.
 
     Bit 0 is the first day that is recent when the quarter begins. A day's events matter for its own quarter and, at
     the end of it, for the next. Words are summed map-side, so what is shuffled is at most a row per
@@ -165,7 +173,8 @@ def _recent_days(events: DataFrame, reach: tuple[Column, Column]) -> DataFrame:
     """
     first, last = reach
     span, day = LOW_ACTIVITY_DAYS - 1, F.col("event_date")
-    quarters = F.array_distinct(F.array(F.trunc(day, "quarter"), F.trunc(F.date_add(day, span), "quarter")))
+    quarters = F.array(F.trunc(day, "quarter"), F.trunc(F.date_add(day, span), "quarter"))
+    quarters = F.array_distinct(quarters) if wanted is None else F.array_intersect(quarters, wanted)
     place, one, none = F.col("_place"), F.lit(1).cast("long"), F.lit(0).cast("long")
     return (
         events.where((day >= F.date_sub(first, span)) & (day <= last))
@@ -198,24 +207,26 @@ def campaign_audience(
     nobody qualifies for has no row.
 
     Only low_activity campaigns read the events; what they need of them joins users' quarters, not
-    the much longer audience. ``only`` says that all campaigns have this segment, so that
-    the plan leaves out the others' parts.
+    the much longer audience, and only quarters that have such a campaign. ``only`` says that all campaigns
+    have this segment, so that the plan leaves out the others' parts.
     """
     segment = F.coalesce("segment", F.lit(DEFAULT_SEGMENT))
     calendar = campaigns.where(F.col("send_date").isNotNull()).select(
         "campaign_id", "send_date", segment.alias("segment")
     )
-    reach = _reach(calendar)
     quiet = F.col("segment") == "low_activity"
     parts = []
-    memberships = _memberships(subs, reach, active=only != "churned", churned=only in (None, "churned"))
-    slices = _slices_of_quarters(memberships)
+    users = _users_in_reach(subs, _reach(calendar), active=only != "churned", churned=only in (None, "churned"))
+    slices = _slices_of_quarters(_memberships(users, _quarters(calendar)))
     if only != "low_activity":
-        parts.append(_members(calendar.where(~quiet), memberships, slices))
+        others = calendar.where(~quiet)
+        parts.append(_members(others, _memberships(_dealt(users), _quarters(others)), slices))
     if only in (None, "low_activity"):
-        active = _memberships(subs, reach, active=True, churned=False)
-        with_days = active.join(_recent_days(events, reach), ["user_id", "quarter"], "left")
-        parts.append(_members(calendar.where(quiet), with_days, slices).where(~_recently_active(F.col("send_date"))))
+        quiet_ones = calendar.where(quiet)
+        reach, wanted = _reach(quiet_ones), _quarters(quiet_ones)
+        active = _memberships(_users_in_reach(subs, reach, active=True, churned=False), wanted)
+        with_days = active.join(_recent_days(events, reach, wanted), ["user_id", "quarter"], "left")
+        parts.append(_members(quiet_ones, with_days, slices).where(~_recently_active(F.col("send_date"))))
     return reduce(DataFrame.unionByName, [part.select("campaign_id", "send_date", "user_id") for part in parts])
 
 
@@ -229,14 +240,15 @@ def cap_audience(audience: DataFrame, cap: int = AUDIENCE_CAP) -> DataFrame:
     """At most ``cap`` users of each campaign, the same ones on every run: those with
     the smallest digest of campaign and user.
 
-    Each campaign is first cut within slices of users, so that the final cut of even a
-    campaign to all users sees no more than ``cap`` rows per slice.
+    Each campaign is first cut within slices of its users, so that the final cut of even a
+    campaign to all users sees no more than ``cap`` rows per slice. Any slices give the same rows; the partitions
+    that the audience comes in are cut before anything is shuffled.
     """
-    order, slices = ["_digest", "user_id"], _slices(audience)
+    order = ["_digest", "user_id"]
     sliced = Window.partitionBy("campaign_id", "_slice").orderBy(*order)
     whole = Window.partitionBy("campaign_id").orderBy(*order)
     return (
-        audience.withColumns({"_digest": F.md5(F.concat_ws(":", "campaign_id", "user_id")), "_slice": _slice_of_user(slices)})
+        audience.withColumns({"_digest": F.unhex(F.md5(F.concat_ws(":", "campaign_id", "user_id"))), "_slice": F.spark_partition_id()})
         .withColumn("_rank", F.row_number().over(sliced))
         .where(F.col("_rank") <= cap)
         .withColumn("_rank", F.row_number().over(whole))

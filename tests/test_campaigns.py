@@ -3,6 +3,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from tables import D, rows, table
 
 from subtide.operators import campaigns
@@ -331,3 +332,19 @@ def test_campaigns_are_copied_as_their_quarter_asks(spark, monkeypatch):
     assert found[("2024-01-01", "active")] == 9
     assert all(n == 1 for key, n in found.items() if key != ("2024-01-01", "active"))
     assert [r["n"] for r in quarters.withColumn("n", campaigns._slices_of_quarters(members.limit(0))).collect()] == [1] * 10
+
+
+def test_an_audience_grows_in_many_tasks(spark):
+    """Users that come in one partition are dealt out before each becomes a row per campaign."""
+    people = table(spark, "subscriptions", [{"user_id": f"u{k:03d}", "signup_date": "2023-01-05", "status": "active"} for k in range(400)]).coalesce(1)
+    sent = spark.range(12).selectExpr("concat('c', id) AS campaign_id", "'all_active' AS segment", "add_months(date'2024-01-01', cast(id AS int)) AS send_date")
+    tasks = [r["n"] for r in campaign_audience(sent, people, table(spark, "product_events", EVENTS)).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(tasks) == 4_800 and max(tasks) < 2_400
+
+
+def test_users_have_rows_for_quarters_with_campaigns_only(spark):
+    sent = calendar(spark, ("c1", "all_active", "2010-02-01"), ("c2", "all_active", "2024-11-30"), ("c3", "all_active", "2024-10-01"))
+    people = table(spark, "subscriptions", [{"user_id": "always", "signup_date": "2001-01-01", "status": "active"}, {"user_id": "late", "signup_date": "2020-01-01", "status": "active"}])
+    users = campaigns._users_in_reach(people, campaigns._reach(sent), active=True, churned=False)
+    found = campaigns._memberships(users, campaigns._quarters(sent)).select("user_id", "quarter")
+    assert sorted(rows(found)) == [("always", D("2010-01-01")), ("always", D("2024-10-01")), ("late", D("2024-10-01"))]
