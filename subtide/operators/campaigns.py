@@ -269,30 +269,29 @@ def send_records(
     """One record per campaign and recipient, numbered through the campaigns in send
     order, with the outcomes that ``sends`` observed for the pair (false if none).
 
-    Position and size of a capped audience come from windows over its at most ``cap`` rows, where the cap
-    has put them already; one row of each campaign then gives the number it begins at.
+    A campaign's at most ``cap`` recipients travel as one row until the campaigns are numbered, so that totals and records
+    come from the same capped audience.
     """
     pair = ["campaign_id", "user_id"]
-    campaign = Window.partitionBy("campaign_id")
-    recipients = campaign_audience_capped(campaigns, subs, events, cap).withColumns(
-        {"position": F.row_number().over(campaign.orderBy("user_id")), "size": F.count("*").over(campaign)}
+    recipient = F.struct("user_id", "send_date")
+    capped = campaign_audience_capped(campaigns, subs, events, cap)
+    sizes = capped.groupBy("campaign_id").agg(
+        F.min(recipient)["send_date"].alias("send_date"), F.count("*").alias("size"), F.sort_array(F.collect_list(recipient)).alias("recipients")
     )
-    sizes = recipients.where("position = 1").select("campaign_id", "send_date", "size")
-    offsets = running_total(sizes, F.col("size"), day="send_date", key="campaign_id", name="last_number", keys=campaigns).select(
-        "campaign_id", (F.col("last_number") - F.col("size")).alias("before")
+    numbered = running_total(sizes, F.col("size"), day="send_date", key="campaign_id", name="last_number", keys=campaigns)
+    records = (
+        numbered.where(F.col("campaign_id").isNotNull())
+        .select("campaign_id", (F.col("last_number") - F.col("size")).alias("before"), F.posexplode("recipients").alias("position", "recipient"))
+        .select("campaign_id", "recipient.*", (F.col("before") + F.col("position") + 1).alias("number"))
     )
     flags = ["opened", "clicked", "replied", "unsubscribed"]
     outcomes = sends.groupBy(*pair).agg(*[F.bool_or(flag).alias(flag) for flag in flags])
-    return (
-        recipients.join(offsets, "campaign_id")
-        .join(outcomes, pair, "left")
-        .select(
-            F.format_string("snd_%06d", F.col("before") + F.col("position")).alias("send_id"),
-            "campaign_id",
-            "user_id",
-            "send_date",
-            *[F.coalesce(flag, F.lit(False)).alias(flag) for flag in flags],
-        )
+    return records.join(outcomes, pair, "left").select(
+        F.format_string("snd_%06d", "number").alias("send_id"),
+        "campaign_id",
+        "user_id",
+        "send_date",
+        *[F.coalesce(flag, F.lit(False)).alias(flag) for flag in flags],
     )
 
 
