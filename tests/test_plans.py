@@ -151,6 +151,14 @@ def test_cap_limits_each_task_before_its_shuffle(t):
     assert re.search(r"hashpartitioning\(campaign_id#\d+, _slice", text)
 
 
+def test_send_records_make_their_audience_once(spark):
+    """The totals and the records read one capped audience, which is shuffled once as the query runs."""
+    records = QUERIES["send_records"](spark, "/root/testdata/sf0.001")
+    records.collect()
+    [final, _] = re.split(r"(?m)^\+- == Initial Plan", plan(records))
+    assert len(re.findall(r"Exchange hashpartitioning\(campaign_id#\d+, _slice", final)) == 1
+
+
 def test_foreign_keys_need_no_join(t):
     leads = plan(quality_leads(t["leads"], t["subscriptions"]))
     sends = plan(quality_campaigns(t["email_campaigns"], t["email_sends"], t["subscriptions"], AS_OF))
